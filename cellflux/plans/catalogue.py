@@ -70,7 +70,11 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(_records(spark, sf_dir))
+    return clean(records_from_events(spark, sf_dir, valid_only=True))
+
+
+def _lineitem_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_totals(clean(records_from_lineitem(spark, sf_dir, valid_only=True)))
 
 
 def _day(column: str = "date") -> Column:
@@ -243,7 +247,7 @@ def _daily_over_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("daily_totals_lineitem")
 def _daily_totals_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_daily(daily_totals(clean(records_from_lineitem(spark, sf_dir))), digits=2)
+    return _show_daily(_lineitem_daily(spark, sf_dir), digits=2)
 
 
 @query("tumbling_totals")
@@ -282,7 +286,7 @@ def _sink_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line item totals are replaced by event totals; no partition of the first may stay."""
     path = scratch_path(spark, "daily")
-    write_daily(daily_totals(clean(records_from_lineitem(spark, sf_dir))), path)
+    write_daily(_lineitem_daily(spark, sf_dir), path)
     write_daily(daily_totals(_events(spark, sf_dir)), path)
     return _show_daily(read_daily(spark, path))
 

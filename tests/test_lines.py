@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from cellflux.operators import clean, decode_lines
+from cellflux.plans import replay_lines
+from cellflux.session import scoped_conf
+from cellflux.sources import read_records
+
+from helpers import lines_df
+
+T0 = 1383260400000
+
+# One line per edge case, and whether the file reader and the stream decoder keep it.
+CASES = {
+    "null, negative, NaN": ("1\t1383260400123\t39\t0.5\t\t-1.0\tNaN\t2.5", True, True),
+    "short": ("2\t1383260400999\t39\t0.5", True, False),
+    "long": (f"3\t{T0}\t39\t1\t2\t3\t4\t5\t6\t7", True, False),
+    "bad cell": (f"abc\t{T0}\t39\t1\t2\t3\t4\t5", False, False),
+    "cell 0": (f"0\t{T0}\t39\t1\t2\t3\t4\t5", False, False),
+    "cell 10001": (f"10001\t{T0}\t39\t1\t2\t3\t4\t5", False, False),
+    "cell 10000, no time": ("10000\t\t39\t1\t2\t3\t4\t5", True, True),
+    "bad time and measure": ("4\tbad\t39\t1\tx\t3\t4\t5", True, True),
+    "negative time": ("5\t-500\t39\t-0.0\tInfinity\t-Infinity\tInf\t-Inf", True, True),
+    "leading space": (f" 6\t{T0}\t39\t 1.5\t2 \t3\t4\t5", False, True),
+    "empty": ("", False, False),
+    "blank": ("  ", False, False),
+    "trailing empty": (f"7\t{T0}\t39\t1\t2\t3\t4\t", True, True),
+    "quoted number": (f'8\t{T0}\t39\t"1.5"\t2\t3\t4\t5', True, True),
+    "quoted tab": (f'9\t{T0}\t39\t"a\tb"\t2\t3\t4\t5', True, False),
+    "bad country": (f"11\t{T0}\tx\t1\t2\t3\t4\t5", True, True),
+    "one field": ("12", True, False),
+}
+
+
+def by_cell(df):
+    return {r.cell_id: r for r in clean(df).collect()}
+
+
+def expected(column):
+    return {
+        int(case[0].split("\t")[0])
+        for case in CASES.values()
+        if case[column]
+    }
+
+
+LINES = [case[0] for case in CASES.values()]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_file_reader_keeps(spark, line_file, ansi):
+    with scoped_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        rows = by_cell(read_records(spark, line_file(LINES)))
+    assert rows.keys() == expected(1)
+    assert (rows[1].sms_in, rows[1].sms_out, rows[1].call_in) == (0.5, 0.0, 0.0)
+    assert math.isnan(rows[1].call_out)
+    assert rows[2][3:8] == (0.5, 0.0, 0.0, 0.0, 0.0)
+    assert rows[3][3:8] == (1.0, 2.0, 3.0, 4.0, 5.0)
+    assert (rows[4].timestamp, rows[4].date, rows[4].hour, rows[4].sms_out) == (None,) * 3 + (0.0,)
+    assert rows[7].internet == 0.0
+    assert rows[8].sms_in == 1.5  # quotes are removed
+    assert rows[9][3:8] == (0.0, 2.0, 3.0, 4.0, 5.0)  # one quoted field
+    assert rows[11].country_code is None
+    assert rows[10000].date is None
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_decoder_keeps(spark, ansi):
+    with scoped_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        rows = by_cell(decode_lines(lines_df(spark, LINES + [None])))
+    assert rows.keys() == expected(2)
+    assert math.isnan(rows[1].call_out)
+    assert rows[1].event_time.microsecond == 123000
+    assert rows[5][4:8] == (math.inf, 0.0, math.inf, 0.0)
+    assert (str(rows[5].date), rows[5].hour) == ("1969-12-31", 23)
+    assert rows[6][3:5] == (1.5, 2.0)
+    assert rows[7].internet == 0.0
+    assert rows[8].sms_in == 0.0  # quotes are no number
+    assert rows[10000].event_time is None
+
+
+def test_padding_decoder_keeps_short_and_long_lines(spark):
+    rows = by_cell(decode_lines(lines_df(spark, LINES + [None]), arity="pad"))
+    assert rows.keys() == expected(1) | {6}
+    assert rows[2][3:8] == (0.5, 0.0, 0.0, 0.0, 0.0)
+    assert rows[3][3:8] == (1.0, 2.0, 3.0, 4.0, 5.0)
+
+
+def test_padding_decoder_skips_blank_lines(spark):
+    assert decode_lines(lines_df(spark, ["", "  ", None]), arity="pad").count() == 0
+
+
+def test_decoder_takes_binary_values(spark):
+    lines = lines_df(spark, LINES)
+    text, binary = lines, lines.select(F.encode("value", "UTF-8").alias("value"))
+    assert sorted(map(repr, decode_lines(text).collect())) == sorted(
+        map(repr, decode_lines(binary).collect())
+    )
+
+
+def test_unknown_arity(spark):
+    with pytest.raises(ValueError, match="arity"):
+        decode_lines(lines_df(spark, []), arity="loose")
+
+
+def test_stripped_line_with_trailing_empty_fields_is_lost(spark):
+    from cellflux.functions import strip_line
+
+    lines = lines_df(spark, [f"1\t{T0}\t39\t1\t2\t3\t4\t", f"2\t{T0}\t39\t1\t2\t3\t4\t5"])
+    assert decode_lines(lines).count() == 2
+    stripped = lines.select(strip_line("value").alias("value"))
+    assert [r.cell_id for r in decode_lines(stripped).collect()] == [2]
+
+
+def test_head_is_in_file_order_across_blocks(spark, line_file):
+    lines = [f"{i}\tx" for i in range(5000)]
+    folder = line_file(lines)
+    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "4000"}):
+        head = replay_lines(spark, f"{folder}/records.txt", max_lines=3000)
+        assert spark.read.text(folder).rdd.getNumPartitions() > 5
+        assert [r.value for r in head.collect()] == lines[:3000]
+
+
+def test_head_goes_through_files_by_name(spark, line_file):
+    line_file(["c", "d"], name="b.txt")
+    folder = line_file(["a", "b"], name="a.txt")
+    got = replay_lines(spark, f"{folder}/*.txt", max_lines=3).collect()
+    assert [r.value for r in got] == ["a", "b", "c"]
+
+
+def test_replay_without_limit_is_whole(spark, line_file):
+    folder = line_file([f"{i}\t " for i in range(6000)])
+    assert replay_lines(spark, folder, max_lines=None).distinct().count() == 6000
+    assert replay_lines(spark, folder).count() == 5000
+    stripped = replay_lines(spark, folder, max_lines=2, strip=True).collect()
+    assert [r.value for r in stripped] == ["0", "1"]
