@@ -1,0 +1,342 @@
+from __future__ import annotations
+
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from cellflux import Settings, StreamSettings
+from cellflux.operators import clean, decode_lines, encode_records, hourly_totals, tumbling_totals
+from cellflux.plans import StreamPaths, run_stream
+from cellflux.plans.catalogue import QUERIES
+from cellflux.schema import EVENTS_SCHEMA, HOURLY_PARTITIONS, WINDOWED_SCHEMA
+from cellflux.session import scoped_conf
+from cellflux.sources import read_events, read_hourly, read_windowed, stream_text_lines
+from cellflux.sources.adapters import records_from_events
+from cellflux.streaming import (
+    start_both,
+    start_events,
+    start_hourly,
+    streamed_hourly_totals,
+    supervise,
+)
+
+from helpers import at_time, parquet_files, rounded
+
+NOW = StreamSettings(available_now=True, state_partitions=4)
+HOUR = 3_600_000
+SLICES = 4
+
+
+def line(cell, millis, value=1.0):
+    return f"{cell}\t{millis}\t39" + f"\t{value}" * 5
+
+
+def clean_stream(spark, folder, per_trigger=1):
+    return clean(decode_lines(stream_text_lines(spark, folder, max_files_per_trigger=per_trigger)))
+
+
+def drain(query):
+    assert supervise([query], until_all_end=True) == "finished"
+    return query
+
+
+def dropped(query):
+    return sum(
+        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
+    )
+
+
+@pytest.fixture
+def arrive(tmp_path):
+    """Write a file of lines; each one is newer than the one before."""
+    folder = tmp_path / "arriving"
+    folder.mkdir()
+
+    def write(lines):
+        n = len(list(folder.iterdir()))
+        target = folder / f"{n:05d}.txt"
+        hidden = tmp_path / f"tmp-{n}"
+        hidden.write_text("".join(x + "\n" for x in lines), encoding="utf-8")
+        at_time(hidden, 1_700_000_000 + n)
+        hidden.rename(target)
+        return str(folder)
+
+    return write
+
+
+@pytest.fixture(scope="module")
+def ordered_lines(spark, sf_dir):
+    """The event records as lines, in time order."""
+    df = records_from_events(spark, sf_dir)
+    return [r.value for r in encode_records(df.orderBy("timestamp")).collect()]
+
+
+@pytest.fixture(scope="module")
+def batch_events(spark, sf_dir):
+    return clean(records_from_events(spark, sf_dir))
+
+
+def closed_hours(events):
+    """Batch totals of the windows that the final watermark has passed."""
+    latest = events.agg(F.max("event_time").alias("latest"))
+    windows = tumbling_totals(events).crossJoin(latest)
+    return windows.filter(F.expr("window_end <= latest - INTERVAL 10 MINUTES")).drop(
+        "latest", "window_start", "window_end"
+    )
+
+
+def sliced(items, n):
+    size = -(-len(items) // n)
+    return [items[i : i + size] for i in range(0, len(items), size)]
+
+
+def test_ordered_replay_gives_the_batch_totals_of_closed_windows(
+    spark, arrive, ordered_lines, batch_events, tmp_path
+):
+    for part in sliced(ordered_lines, SLICES):
+        folder = arrive(part)
+    out = str(tmp_path / "out")
+    query = drain(
+        start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=NOW)
+    )
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == SLICES
+    assert dropped(query) == 0
+    got, want = read_hourly(spark, out), closed_hours(batch_events)
+    assert rounded(got) == rounded(want)
+    missing = hourly_totals(batch_events).count() - got.count()
+    assert 0 < missing < 10  # the last windows are still open
+
+
+def test_each_folder_gets_one_file_per_batch(spark, arrive, ordered_lines, tmp_path):
+    folder = arrive(ordered_lines)
+    out = str(tmp_path / "out")
+    drain(start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=NOW))
+    folders = read_hourly(spark, out).select(*HOURLY_PARTITIONS).distinct().count()
+    assert len(parquet_files(out)) == folders
+
+
+def test_streamed_events_equal_batch_events(
+    spark, arrive, ordered_lines, batch_events, tmp_path
+):
+    for part in sliced(ordered_lines, 2):
+        folder = arrive(part)
+    out = str(tmp_path / "out")
+    drain(start_events(clean_stream(spark, folder), out, str(tmp_path / "cp"), NOW))
+    back = read_events(spark, out)
+    assert back.schema == EVENTS_SCHEMA
+    assert rounded(back.select(batch_events.columns)) == rounded(batch_events)
+
+
+def test_late_rows_are_dropped_and_counted(spark, arrive, tmp_path):
+    arrive([line(1, 0), line(1, 10 * HOUR)])
+    arrive([line(1, 10 * HOUR + 1)])
+    # the watermark is 09:50: hours 0 and 8 are closed, hours 9 and 10 are open
+    folder = arrive(
+        [line(1, 5), line(2, 8 * HOUR), line(3, 9 * HOUR), line(1, 10 * HOUR + 2), line(1, 12 * HOUR)]
+    )
+    out = str(tmp_path / "out")
+    query = drain(
+        start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=NOW)
+    )
+    assert dropped(query) == 2
+    got = {(r.hour, r.cell_id): r.sms_in_total for r in read_hourly(spark, out).collect()}
+    assert got == {(0, 1): 1.0, (9, 3): 1.0, (10, 1): 3.0}
+
+
+def test_rows_within_the_watermark_are_counted(spark, arrive, tmp_path):
+    arrive([line(1, 0), line(1, HOUR + 9 * 60_000)])  # watermark 00:59
+    folder = arrive([line(1, HOUR - 1), line(1, 3 * HOUR)])
+    out = str(tmp_path / "out")
+    query = drain(
+        start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=NOW)
+    )
+    assert dropped(query) == 0
+    got = {r.hour: r.sms_in_total for r in read_hourly(spark, out).collect()}
+    assert got == {0: 2.0, 1: 1.0}
+
+
+def test_invalid_cells_do_not_move_the_watermark(spark, arrive, tmp_path):
+    arrive([line(1, 0), line(0, 100 * HOUR), line(10001, 100 * HOUR)])
+    folder = arrive([line(1, 1), line(1, 2 * HOUR)])
+    out = str(tmp_path / "out")
+    query = drain(
+        start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=NOW)
+    )
+    assert dropped(query) == 0
+    assert {r.hour: r.sms_in_total for r in read_hourly(spark, out).collect()} == {0: 2.0}
+
+
+def test_rows_without_time_are_kept_as_events_only(spark, arrive, tmp_path):
+    folder = arrive([line(1, ""), line(1, 0), line(1, 5 * HOUR)])
+    out, events = str(tmp_path / "out"), str(tmp_path / "events")
+    source = clean_stream(spark, folder)
+    drain(start_hourly(source, out, str(tmp_path / "cp1"), stream=NOW))
+    drain(start_events(source, events, str(tmp_path / "cp2"), NOW))
+    assert {r.hour: r.sms_in_total for r in read_hourly(spark, out).collect()} == {0: 1.0}
+    assert sorted(str(r.date) for r in read_events(spark, events).collect()) == [
+        "1970-01-01", "1970-01-01", "None",
+    ]
+
+
+def test_resume_from_checkpoint_adds_nothing_twice(
+    spark, arrive, ordered_lines, batch_events, tmp_path
+):
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    counts = []
+    for part in sliced(ordered_lines, 3):
+        folder = arrive(part)
+        drain(start_hourly(clean_stream(spark, folder), out, cp, stream=NOW))
+        counts.append(read_hourly(spark, out).count())
+    drain(start_hourly(clean_stream(spark, folder), out, cp, stream=NOW))  # nothing new
+    assert counts == sorted(set(counts))
+    assert rounded(read_hourly(spark, out)) == rounded(closed_hours(batch_events))
+
+
+def test_state_width_is_fixed_by_the_first_start(spark, arrive, tmp_path):
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    folder = arrive([line(1, 0)])
+    drain(start_hourly(clean_stream(spark, folder), out, cp, stream=NOW))
+    folder = arrive([line(1, 1), line(1, 9 * HOUR)])
+    wider = StreamSettings(available_now=True, state_partitions=16)
+    query = drain(start_hourly(clean_stream(spark, folder), out, cp, stream=wider))
+    widths = {op["numShufflePartitions"] for p in query.recentProgress for op in p["stateOperators"]}
+    assert widths == {4}
+    assert {r.hour: r.sms_in_total for r in read_hourly(spark, out).collect()} == {0: 2.0}
+
+
+def test_default_state_store_gives_the_same(spark, arrive, ordered_lines, batch_events, tmp_path):
+    folder = arrive(ordered_lines)
+    out = str(tmp_path / "out")
+    plain = StreamSettings(available_now=True, state_partitions=4, rocksdb_state=False)
+    drain(start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=plain))
+    assert rounded(read_hourly(spark, out)) == rounded(closed_hours(batch_events))
+
+
+def test_starting_leaves_the_session_as_it_was(spark, arrive, tmp_path):
+    keys = [
+        "spark.sql.shuffle.partitions",
+        "spark.sql.streaming.stateStore.providerClass",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+    ]
+    before = [spark.conf.get(k, None) for k in keys]
+    folder = arrive([line(1, 0)])
+    drain(
+        start_hourly(
+            clean_stream(spark, folder), str(tmp_path / "o"), str(tmp_path / "c"), stream=NOW
+        )
+    )
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_windowed_schema_of_the_stream(spark, arrive):
+    totals = streamed_hourly_totals(clean_stream(spark, arrive([line(1, 0)])))
+    assert totals.isStreaming
+    assert [f.name for f in totals.schema] == WINDOWED_SCHEMA.fieldNames()
+    assert "window" not in totals.columns
+
+
+def test_window_bounds_are_written(spark, arrive, tmp_path):
+    folder = arrive([line(1, 0), line(1, 5 * HOUR)])
+    out = str(tmp_path / "out")
+    drain(start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=NOW))
+    (row,) = read_windowed(spark, out).collect()
+    assert (row.window_end - row.window_start).total_seconds() == 3600
+
+
+def test_triggers():
+    live = StreamSettings()
+    assert live.trigger(live.events_trigger) == {"processingTime": "30 seconds"}
+    assert live.trigger(live.hourly_trigger) == {"processingTime": "1 minute"}
+    assert NOW.trigger("1 minute") == {"availableNow": True}
+    assert (Settings().watermark, Settings().window) == ("10 minutes", "1 hour")
+
+
+def test_job_ends_at_its_time_limit_and_stops_both_queries(spark, arrive, tmp_path):
+    folder = arrive([line(1, 0), line(1, 5 * HOUR)])
+    stream = StreamSettings(
+        events_trigger="1 second",
+        hourly_trigger="1 second",
+        state_partitions=2,
+        time_limit_seconds=12,
+    )
+    out = str(tmp_path / "out")
+    began = time.monotonic()
+    outcome = run_stream(
+        stream_text_lines(spark, folder), out, str(tmp_path / "cp"), stream=stream
+    )
+    assert outcome == "time_limit"
+    assert 10 < time.monotonic() - began < 60
+    assert not spark.streams.active
+    assert read_events(spark, StreamPaths(out).events).count() == 2
+    assert read_hourly(spark, StreamPaths(out).hourly).count() == 1
+
+
+def failing(events):
+    """A stream that fails in its tasks."""
+    return events.withColumn("cell_id", F.raise_error(F.lit("broken row")).cast("int"))
+
+
+def test_failure_is_raised_and_the_other_query_is_stopped(spark, arrive, tmp_path):
+    events = clean_stream(spark, arrive([line(1, 0)]))
+    live = StreamSettings(events_trigger="1 second", hourly_trigger="1 second")
+    good = start_events(events, str(tmp_path / "o1"), str(tmp_path / "c1"), live)
+    bad = start_events(failing(events), str(tmp_path / "o2"), str(tmp_path / "c2"), live)
+    with pytest.raises(StreamingQueryException, match="broken row"):
+        supervise([good, bad], poll_seconds=0.5)
+    assert not good.isActive and not bad.isActive
+
+
+def test_failure_of_the_first_query_is_raised(spark, arrive, tmp_path):
+    events = clean_stream(spark, arrive([line(1, 0)]))
+    bad = start_events(failing(events), str(tmp_path / "o"), str(tmp_path / "c"), NOW)
+    with pytest.raises(StreamingQueryException, match="broken row"):
+        supervise([bad], until_all_end=True)
+
+
+def test_a_query_stopped_from_outside_ends_the_run(spark, arrive, tmp_path):
+    events = clean_stream(spark, arrive([line(1, 0)]))
+    live = StreamSettings(events_trigger="1 second")
+    one = start_events(events, str(tmp_path / "o1"), str(tmp_path / "c1"), live)
+    two = start_events(events, str(tmp_path / "o2"), str(tmp_path / "c2"), live)
+    two.stop()
+    assert supervise([one, two], poll_seconds=0.5) == "stopped"
+    assert not one.isActive
+
+
+def test_first_query_is_stopped_when_the_second_cannot_start(spark, arrive, tmp_path):
+    events = clean_stream(spark, arrive([line(1, 0)]))
+    with pytest.raises(Exception, match="(?i)delay|interval|watermark"):
+        start_both(
+            events,
+            events_path=str(tmp_path / "e"),
+            hourly_path=str(tmp_path / "h"),
+            checkpoints=str(tmp_path / "c"),
+            settings=Settings(watermark="soon"),
+            stream=StreamSettings(),
+        )
+    assert not spark.streams.active
+
+
+def test_both_queries_have_their_own_checkpoint(spark, arrive, tmp_path):
+    folder = arrive([line(1, 0), line(1, 5 * HOUR)])
+    out, cp = str(tmp_path / "out"), tmp_path / "cp"
+    outcome = run_stream(stream_text_lines(spark, folder), out, str(cp), stream=NOW)
+    assert outcome == "finished"
+    assert sorted(p.name for p in cp.iterdir()) == ["events", "hourly"]
+    assert read_events(spark, StreamPaths(out).events).count() == 2
+
+
+def test_scoped_conf_restores_after_an_error(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(RuntimeError):
+        with scoped_conf(spark, {"spark.sql.shuffle.partitions": "77"}):
+            raise RuntimeError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_replayed_table_is_late_in_full(spark, sf_dir):
+    """The catalogue's late query against the same table streamed once."""
+    once, twice = (QUERIES[n](spark, sf_dir) for n in ("stream_hourly", "stream_late"))
+    assert rounded(once) == rounded(twice)
