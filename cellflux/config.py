@@ -47,6 +47,7 @@ def object_store_conf(
     ``committer="directory"`` where magic paths are off. Credentials come from
     the S3A provider chain (environment, instance role), never from here.
     """
+    # The public setting names of S3A and of Spark's cloud committers.
     conf = {
         "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
         "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),

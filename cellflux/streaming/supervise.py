@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from contextlib import ExitStack
 from typing import Literal
 
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +26,9 @@ def supervise(
     should have run on, and ``time_limit`` when the time was up.
     """
     deadline = None if time_limit_seconds is None else time.monotonic() + time_limit_seconds
-    try:
+    with ExitStack() as on_exit:
+        for query in queries:
+            on_exit.callback(query.stop)  # each one, even if stopping another fails
         while True:
             for query in queries:
                 if failure := query.exception():
@@ -41,6 +44,3 @@ def supervise(
                 if wait <= 0:
                     return "time_limit"
             active[0].awaitTermination(wait)  # raises if this query fails
-    finally:
-        for query in queries:
-            query.stop()
