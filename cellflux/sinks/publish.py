@@ -32,9 +32,11 @@ def messages(lines: DataFrame) -> DataFrame:
     return lines.select(F.encode("value", "UTF-8").alias("value"))
 
 
-def publish_to_kafka(lines: DataFrame, options: Mapping[str, str]) -> None:
-    """Needs Spark's Kafka connector."""
-    messages(lines).write.format("kafka").options(**options).save()
+def publish_to_kafka(
+    lines: DataFrame, options: Mapping[str, str], *, connector: str = "kafka"
+) -> None:
+    """Needs Spark's Kafka connector, or another connector that takes the same options."""
+    messages(lines).write.format(connector).options(**options).mode("append").save()
 
 
 def publish_to_text(lines: DataFrame, path: str, *, mode: str = "errorifexists") -> None:

@@ -36,9 +36,13 @@ def kafka_options(
     return {**options, **(extra or {})}
 
 
-def stream_kafka_lines(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """Messages of a topic as a binary `value`. Needs Spark's Kafka connector."""
-    return spark.readStream.format("kafka").options(**options).load().select("value")
+def stream_kafka_lines(
+    spark: SparkSession, options: Mapping[str, str], *, connector: str = "kafka"
+) -> DataFrame:
+    """Messages of a topic as a binary `value`. Needs Spark's Kafka connector, or another
+    connector that takes the same options.
+    """
+    return spark.readStream.format(connector).options(**options).load().select("value")
 
 
 def stream_text_lines(

@@ -295,6 +295,27 @@ def test_failure_of_the_first_query_is_raised(spark, arrive, tmp_path):
         supervise([bad], until_all_end=True)
 
 
+def test_a_failed_batch_is_run_again_whole(
+    spark, arrive, ordered_lines, batch_events, tmp_path
+):
+    """The second batch fails in its tasks; the resumed query counts each row once."""
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    first, second = sliced(ordered_lines, 2)
+    folder = arrive(first)
+    drain(start_hourly(clean_stream(spark, folder), out, cp, stream=NOW))
+    arrive(second)
+    poison = int(second[len(second) // 2].split("\t")[1])
+    breaking = clean_stream(spark, folder).withColumn(
+        "cell_id",
+        F.when(F.col("timestamp") == poison, F.raise_error(F.lit("broken row")).cast("int"))
+        .otherwise(F.col("cell_id")),
+    )
+    with pytest.raises(StreamingQueryException, match="broken row"):
+        drain(start_hourly(breaking, out, cp, stream=NOW))
+    drain(start_hourly(clean_stream(spark, folder), out, cp, stream=NOW))
+    assert rounded(read_hourly(spark, out)) == rounded(closed_hours(batch_events))
+
+
 def test_a_query_stopped_from_outside_ends_the_run(spark, arrive, tmp_path):
     events = clean_stream(spark, arrive([line(1, 0)]))
     live = StreamSettings(events_trigger="1 second")
