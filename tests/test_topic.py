@@ -9,11 +9,12 @@ from pyspark import cloudpickle
 
 import topic
 from cellflux import StreamSettings
-from cellflux.operators import clean, encode_records, hourly_totals
-from cellflux.plans import StreamPaths, run_replay, run_stream
+from cellflux.operators import clean, decode_lines, encode_records, hourly_totals
+from cellflux.plans import StreamPaths, run_replay
 from cellflux.sinks import kafka_sink_options, publish_to_kafka, publish_to_text
 from cellflux.sources import kafka_options, read_events, read_hourly, stream_kafka_lines
 from cellflux.sources.adapters import records_from_events
+from cellflux.streaming import start_both, supervise
 
 from helpers import rounded
 
@@ -38,20 +39,27 @@ def test_replayed_table_streams_back_whole(spark, sf_dir, servers, tmp_path):
     run_replay(spark, source, publish)
     assert len(topic.messages_in(f"{servers}/activity")) == 1000
 
-    lines = stream_kafka_lines(spark, kafka_options(servers, "activity"), connector=CONNECTOR)
+    options = kafka_options(servers, "activity", max_offsets_per_trigger=300)
+    lines = stream_kafka_lines(spark, options, connector=CONNECTOR)
     assert lines.dtypes == [("value", "binary")]
-    out = str(tmp_path / "out")
-    stream = StreamSettings(available_now=True, state_partitions=2)
-    # For this source Spark runs a single batch per start; the second start, without
-    # new messages, emits the windows that the first one's watermark has closed.
-    for _ in range(2):
-        assert run_stream(lines, out, str(tmp_path / "cp"), stream=stream) == "finished"
+    paths = StreamPaths(str(tmp_path / "out"))
+    queries = start_both(
+        clean(decode_lines(lines)),
+        events_path=paths.events,
+        hourly_path=paths.hourly,
+        checkpoints=str(tmp_path / "cp"),
+        stream=StreamSettings("1 second", "1 second", state_partitions=2),
+    )
+    for query in queries:
+        query.processAllAvailable()
+        assert sorted(p["numInputRows"] for p in query.recentProgress)[-4:] == [100, 300, 300, 300]
+    assert supervise(queries, time_limit_seconds=0) == "time_limit"
 
     events = clean(records_from_events(spark, sf_dir))
-    back = read_events(spark, StreamPaths(out).events)
+    back = read_events(spark, paths.events)
     assert rounded(back.select(events.columns)) == rounded(events)
     hours = rounded(hourly_totals(events))
-    streamed = rounded(read_hourly(spark, StreamPaths(out).hourly))
+    streamed = rounded(read_hourly(spark, paths.hourly))
     assert set(streamed) <= set(hours) and len(hours) - len(streamed) < 10
 
 
