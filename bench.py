@@ -19,6 +19,7 @@ import time
 from pyspark.sql import SparkSession
 
 from cellflux.plans.catalogue import QUERIES
+from cellflux.session import build_session
 
 HEADLINE = [
     "hourly_totals",
@@ -47,16 +48,16 @@ def once(spark: SparkSession, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("cellflux-bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cellflux-bench-"))
-        .getOrCreate()
+    spark = build_session(
+        "cellflux-bench",
+        extra={
+            "spark.master": f"local[{cpus}]",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="cellflux-bench-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     times = {}

@@ -18,7 +18,10 @@ class Settings:
 
 @dataclass(frozen=True)
 class StreamSettings:
-    """How the streaming queries run; none of this changes a finished window."""
+    """How the streaming queries run; none of this changes a finished window.
+
+    The trigger intervals are fixed values.
+    """
 
     events_trigger: str = "30 seconds"
     hourly_trigger: str = "1 minute"

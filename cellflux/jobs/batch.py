@@ -15,6 +15,9 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="Record files to cleaned events and totals")
     p.add_argument("input", help="folder of *.txt record files, or a glob")
     p.add_argument("output", help="folder or URI for the datasets")
+    p.add_argument(
+        "--regroup-events", action="store_true", help="for input files that mix many dates"
+    )
     add_time_zone(p)
     add_object_store(p, committer="magic")
     return p
@@ -24,7 +27,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     settings = Settings(time_zone=args.time_zone)
     spark = build_session("cellflux-batch", settings, object_store(args))
-    run_batch(spark, args.input, args.output, settings)
+    run_batch(spark, args.input, args.output, settings, regroup_events=args.regroup_events)
 
 
 if __name__ == "__main__":

@@ -41,11 +41,18 @@ class BatchPaths:
 
 
 def run_batch(
-    spark: SparkSession, input_path: str, output: str, settings: Settings | None = None
+    spark: SparkSession,
+    input_path: str,
+    output: str,
+    settings: Settings | None = None,
+    *,
+    regroup_events: bool = False,
 ) -> BatchPaths:
+    """`regroup_events` is for input files that mix many dates; see `write_events`."""
     use_time_zone(spark, settings)
     paths = BatchPaths(output)
-    write_events(clean(read_records(spark, input_path), settings), paths.events)
+    events = clean(read_records(spark, input_path), settings)
+    write_events(events, paths.events, regroup=regroup_events)
     write_hourly(hourly_totals(read_events(spark, paths.events)), paths.hourly)
     write_daily(daily_from_hourly(read_hourly(spark, paths.hourly)), paths.daily)
     return paths

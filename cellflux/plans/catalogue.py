@@ -268,6 +268,13 @@ def _sink_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_events(read_events(spark, path))
 
 
+@query("sink_clean_regrouped")
+def _sink_clean_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "events")
+    write_events(_events(spark, sf_dir), path, regroup=True)
+    return _show_events(read_events(spark, path))
+
+
 @query("sink_daily")
 def _sink_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "daily")

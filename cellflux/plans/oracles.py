@@ -144,6 +144,7 @@ SELECT event_id, {", ".join(
     "daily_totals_lineitem": _daily(_LINEITEM_RECORDS, 2),
     "tumbling_totals": _TUMBLING,
     "sink_clean": _CLEAN_EVENTS,
+    "sink_clean_regrouped": _CLEAN_EVENTS,
     "sink_daily": _DAILY,
     "sink_hourly": _HOURLY,
     "sink_overwrite": _DAILY,

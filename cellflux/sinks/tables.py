@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from cellflux.schema import DAILY_PARTITIONS, EVENTS_PARTITIONS, HOURLY_PARTITIONS
+from cellflux.session import scoped_conf
 
 
 def _replace(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -23,9 +24,22 @@ def _one_file_per_partition(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
-def write_events(events: DataFrame, path: str) -> None:
-    """Cleaned events by date, without a shuffle: each scan task writes its own files."""
-    _replace(events, path, EVENTS_PARTITIONS)
+def write_events(
+    events: DataFrame, path: str, *, regroup: bool = False, task_bytes: str = "256m"
+) -> None:
+    """Cleaned events by date, without a shuffle: each scan task writes its own files.
+
+    That suits input whose files hold a date or two each. Where dates are mixed in every
+    file, each task would leave a small file for every date; `regroup` then brings the
+    rows of a date together in one shuffle, in tasks of about `task_bytes`. Adaptive
+    execution splits a date that is larger over several tasks and merges smaller ones.
+    """
+    if not regroup:
+        _replace(events, path, EVENTS_PARTITIONS)
+        return
+    sized = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes}
+    with scoped_conf(events.sparkSession, sized):
+        _replace(events.hint("rebalance", *EVENTS_PARTITIONS), path, EVENTS_PARTITIONS)
 
 
 def write_daily(daily: DataFrame, path: str) -> None:

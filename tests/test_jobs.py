@@ -25,7 +25,7 @@ def record_folder(spark, sf_dir, tmp_path):
 def test_batch_job(spark, sf_dir, record_folder, tmp_path):
     out = str(tmp_path / "out")
     batch.main([record_folder, out])
-    batch.main([record_folder, out])  # running again replaces everything
+    batch.main([record_folder, out, "--regroup-events"])  # again, replacing everything
     paths = BatchPaths(out)
     assert [p.rsplit("/", 1)[1] for p in (paths.events, paths.hourly, paths.daily)] == [
         "raw_events", "hourly_aggregates", "daily_aggregates",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cellflux.operators import clean, daily_totals, encode_records, hourly_totals
 from cellflux.schema import DAILY_SCHEMA, EVENTS_SCHEMA, HOURLY_SCHEMA, RECORD_SCHEMA
+from cellflux.session import scoped_conf
 from cellflux.sinks import (
     kafka_sink_options,
     publish_to_kafka,
@@ -68,6 +69,42 @@ def test_readers_prune_partitions(spark, events, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan_of(one)
 
 
+@pytest.fixture
+def eight_tasks(spark, tmp_path):
+    """Rows spread over eight files, each of which is read by a task of its own."""
+
+    def spread(df):
+        path = str(tmp_path / "spread")
+        df.repartition(8).write.parquet(path)
+        return spark.read.parquet(path)
+
+    with scoped_conf(spark, {"spark.sql.files.openCostInBytes": "1g"}):
+        yield spread
+
+
+def test_mixed_dates_make_few_files_when_regrouped(spark, events, eight_tasks, tmp_path):
+    mixed = eight_tasks(events)
+    write_events(mixed, str(tmp_path / "plain"))
+    write_events(mixed, str(tmp_path / "grouped"), regroup=True)
+    days = events.select("date").distinct().count()
+    assert len(parquet_files(tmp_path / "plain")) > 4 * days
+    assert len(parquet_files(tmp_path / "grouped")) <= 2 * days
+    back = read_events(spark, str(tmp_path / "grouped"))
+    assert rounded(back.select(events.columns)) == rounded(events)
+
+
+def test_a_hot_date_is_split_over_tasks_when_regrouped(spark, events, eight_tasks, tmp_path):
+    """A third of the rows on one date, far above the task size: many files, nothing lost."""
+    hot_day = F.when(F.col("cell_id") % 3 == 0, F.lit("2024-01-31").cast("date"))
+    skewed = eight_tasks(events.withColumn("date", F.coalesce(hot_day, "date")))
+    path = tmp_path / "grouped"
+    write_events(skewed, str(path), regroup=True, task_bytes="4k")
+    assert len(list((path / "date=2024-01-31").glob("*.parquet"))) > 2
+    assert rounded(read_events(spark, str(path)).select(events.columns)) == rounded(
+        skewed.select(events.columns)
+    )
+
+
 def test_overwrite_leaves_nothing_behind(spark, events, tmp_path):
     path = str(tmp_path / "daily")
     write_daily(daily_totals(events), path)
@@ -79,8 +116,6 @@ def test_overwrite_leaves_nothing_behind(spark, events, tmp_path):
 
 
 def test_overwrite_is_static_even_in_a_dynamic_session(spark, events, tmp_path):
-    from cellflux.session import scoped_conf
-
     path = str(tmp_path / "daily")
     with scoped_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         write_daily(daily_totals(events), path)
