@@ -30,10 +30,11 @@ def supervise(
         for query in queries:
             on_exit.callback(query.stop)  # each one, even if stopping another fails
         while True:
+            # Activity first: a query seen as ended has its failure, if any, set by then.
+            active = [query for query in queries if query.isActive]
             for query in queries:
                 if failure := query.exception():
                     raise failure
-            active = [query for query in queries if query.isActive]
             if until_all_end and not active:
                 return "finished"
             if not until_all_end and len(active) < len(queries):

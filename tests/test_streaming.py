@@ -134,7 +134,8 @@ def test_late_rows_are_dropped_and_counted(spark, arrive, tmp_path):
     arrive([line(1, 10 * HOUR + 1)])
     # the watermark is 09:50: hours 0 and 8 are closed, hours 9 and 10 are open
     folder = arrive(
-        [line(1, 5), line(2, 8 * HOUR), line(3, 9 * HOUR), line(1, 10 * HOUR + 2), line(1, 12 * HOUR)]
+        [line(1, 5), line(2, 8 * HOUR), line(3, 9 * HOUR)]
+        + [line(1, 10 * HOUR + 2), line(1, 12 * HOUR)]
     )
     out = str(tmp_path / "out")
     query = drain(
@@ -201,7 +202,8 @@ def test_state_width_is_fixed_by_the_first_start(spark, arrive, tmp_path):
     folder = arrive([line(1, 1), line(1, 9 * HOUR)])
     wider = StreamSettings(available_now=True, state_partitions=16)
     query = drain(start_hourly(clean_stream(spark, folder), out, cp, stream=wider))
-    widths = {op["numShufflePartitions"] for p in query.recentProgress for op in p["stateOperators"]}
+    operators = [op for p in query.recentProgress for op in p["stateOperators"]]
+    widths = {op["numShufflePartitions"] for op in operators}
     assert widths == {4}
     assert {r.hour: r.sms_in_total for r in read_hourly(spark, out).collect()} == {0: 2.0}
 
@@ -316,6 +318,39 @@ def test_a_failed_batch_is_run_again_whole(
     assert rounded(read_hourly(spark, out)) == rounded(closed_hours(batch_events))
 
 
+class FailsBetweenLooks:
+    """A query that fails right after it was seen without a failure."""
+
+    def __init__(self):
+        self.looks = 0
+        self.stopped = False
+
+    def _step(self):
+        self.looks += 1
+        return self.looks
+
+    @property
+    def isActive(self):
+        return self._step() < 3
+
+    def exception(self):
+        return RuntimeError("broken row") if self._step() >= 3 else None
+
+    def awaitTermination(self, timeout):
+        return False
+
+    def stop(self):
+        self.stopped = True
+
+
+@pytest.mark.parametrize("until_all_end", [True, False])
+def test_a_failure_at_any_moment_is_raised(until_all_end):
+    query = FailsBetweenLooks()
+    with pytest.raises(RuntimeError, match="broken row"):
+        supervise([query], until_all_end=until_all_end)
+    assert query.stopped
+
+
 def test_a_query_stopped_from_outside_ends_the_run(spark, arrive, tmp_path):
     events = clean_stream(spark, arrive([line(1, 0)]))
     live = StreamSettings(events_trigger="1 second")
