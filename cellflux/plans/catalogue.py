@@ -31,7 +31,7 @@ from cellflux.plans.batch import run_batch
 from cellflux.plans.replay import run_replay
 from cellflux.plans.stream import StreamPaths, run_stream
 from cellflux.schema import MEASURES, RECORD_FIELDS, TOTALS
-from cellflux.session import scratch_path, use_time_zone
+from cellflux.session import scoped_conf, scratch_path, use_time_zone
 from cellflux.sinks import publish_to_text, write_daily, write_events, write_hourly
 from cellflux.sources import (
     read_daily,
@@ -258,6 +258,21 @@ def _tumbling_by_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("hourly_totals_zone")
+def _hourly_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same instants in a zone half an hour off: other dates and hours."""
+    records = records_from_events(spark, sf_dir, valid_only=True)
+    with scoped_conf(spark, {"spark.sql.session.timeZone": "+05:30"}):
+        return _show_hourly(hourly_totals(clean(records)))
+
+
+@query("malformed_daily_totals")
+def _malformed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines through the file reader: short lines count, bad times have no date."""
+    source = _written_lines(spark, _damaged_lines(spark, sf_dir))
+    return _show_daily(daily_totals(clean(read_records(spark, source))))
+
+
 # --- sinks and the batch job ------------------------------------------------
 
 
@@ -383,8 +398,8 @@ def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_hourly(read_hourly(spark, out))
 
 
-def _stream_job(spark: SparkSession, sf_dir: str) -> StreamPaths:
-    source = _written_lines(spark, encode_records(_records(spark, sf_dir)))
+def _stream_job(spark: SparkSession, lines: DataFrame) -> StreamPaths:
+    source = _written_lines(spark, lines)
     paths = StreamPaths(scratch_path(spark, "stream"))
     run_stream(
         stream_text_lines(spark, source),
@@ -397,9 +412,25 @@ def _stream_job(spark: SparkSession, sf_dir: str) -> StreamPaths:
 
 @query("stream_job_events")
 def _stream_job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_events(read_events(spark, _stream_job(spark, sf_dir).events))
+    paths = _stream_job(spark, encode_records(_records(spark, sf_dir)))
+    return _show_events(read_events(spark, paths.events))
 
 
 @query("stream_job_hourly")
 def _stream_job_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_hourly(read_hourly(spark, _stream_job(spark, sf_dir).hourly))
+    paths = _stream_job(spark, encode_records(_records(spark, sf_dir)))
+    return _show_hourly(read_hourly(spark, paths.hourly))
+
+
+@query("malformed_stream_events")
+def _malformed_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines through the stream: short and long lines are gone, bad times are kept."""
+    paths = _stream_job(spark, _damaged_lines(spark, sf_dir))
+    return _show_events(read_events(spark, paths.events))
+
+
+@query("malformed_stream_hourly")
+def _malformed_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines through the stream: rows without time are in no window."""
+    paths = _stream_job(spark, _damaged_lines(spark, sf_dir))
+    return _show_hourly(read_hourly(spark, paths.hourly))

@@ -28,7 +28,7 @@ def _records(value: str = "value") -> str:
 
 _REPAIRED = ",\n    ".join(f"CASE WHEN {m} >= 0 THEN {m} ELSE 0.0 END AS {m}" for m in MEASURES)
 
-_CLEAN = f"""cleaned AS (
+_CLEAN_BODY = f"""
   SELECT cell_id, "timestamp", country_code,
     {_REPAIRED},
     date_trunc('millisecond', ts) AS event_time,
@@ -36,7 +36,9 @@ _CLEAN = f"""cleaned AS (
     CAST(extract(hour FROM ts) AS INTEGER) AS "hour"
   FROM records
   WHERE cell_id BETWEEN 1 AND 10000
-)"""
+"""
+
+_CLEAN = f"cleaned AS ({_CLEAN_BODY})"
 
 _LINEITEM_RECORDS = """records AS (
   SELECT CAST(l_orderkey AS INTEGER) AS cell_id,
@@ -59,31 +61,36 @@ _DAY = "strftime(\"date\", '%Y-%m-%d') AS \"date\""
 
 _TYPED = f"WITH {_records()} SELECT {_FIELDS} FROM records"
 
-_CLEAN_EVENTS = f"""WITH {_records()}, {_CLEAN}
-SELECT {_FIELDS}, strftime(event_time, '%Y-%m-%d %H:%M:%S.%g') AS event_time, {_DAY}, "hour"
+_SHOW_EVENTS = f"""SELECT {_FIELDS},
+  strftime(event_time, '%Y-%m-%d %H:%M:%S.%g') AS event_time, {_DAY}, "hour"
 FROM cleaned"""
 
+_CLEAN_EVENTS = f"WITH {_records()}, {_CLEAN} {_SHOW_EVENTS}"
+
 
-def _daily(records: str, digits: int) -> str:
-    return f"""WITH {records}, {_CLEAN}
-SELECT {_DAY}, cell_id, {_sums(digits)}
+def _show_daily(digits: int) -> str:
+    return f"""SELECT {_DAY}, cell_id, {_sums(digits)}
 FROM cleaned GROUP BY cleaned."date", cell_id"""
 
 
-_DAILY = _daily(_records(), 4)
+_DAILY = f"WITH {_records()}, {_CLEAN} {_show_daily(4)}"
 
-_HOURLY = f"""WITH {_records()}, {_CLEAN}
-SELECT {_DAY}, "hour", cell_id, {_sums(4)}
+_SHOW_HOURLY = f"""SELECT {_DAY}, "hour", cell_id, {_sums(4)}
 FROM cleaned GROUP BY cleaned."date", "hour", cell_id"""
 
+_HOURLY = f"WITH {_records()}, {_CLEAN} {_SHOW_HOURLY}"
+
 # A window is out once the watermark, ten minutes behind the latest event, has passed its end.
-_STREAM_HOURLY = f"""WITH {_records()}, {_CLEAN},
-closing AS (SELECT max(event_time) - INTERVAL 10 MINUTE AS watermark FROM cleaned)
+_SHOW_CLOSED = f""", closing AS (
+  SELECT max(event_time) - INTERVAL 10 MINUTE AS watermark FROM cleaned
+)
 SELECT {_DAY}, "hour", cell_id, {_sums(4)}
 FROM cleaned, closing
 GROUP BY cleaned."date", "hour", cell_id, watermark
 HAVING max(date_trunc('hour', event_time)) + INTERVAL 1 HOUR <= watermark"""
 
+_STREAM_HOURLY = f"WITH {_records()}, {_CLEAN} {_SHOW_CLOSED}"
+
 _TUMBLING = f"""WITH {_records()}, {_CLEAN},
 windowed AS (SELECT *, date_trunc('hour', event_time) AS w FROM cleaned)
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -104,7 +111,27 @@ _PADDED_FIELDS = ", ".join(
     + [_unless(m, 1) for m in MEASURES[1:]]
 )
 _PADDED = f"WITH {_records()} SELECT {_PADDED_FIELDS} FROM records"
-_STRICT = f"{_PADDED} WHERE event_id % 10 NOT IN (1, 2)"
+
+# The damaged records, cleaned from their fields alone.
+_CLEAN_DAMAGED = f"""cleaned AS (
+  SELECT cell_id, "timestamp", country_code,
+    {_REPAIRED},
+    make_timestamp("timestamp" * 1000) AS event_time,
+    CAST(make_timestamp("timestamp" * 1000) AS DATE) AS "date",
+    CAST(extract(hour FROM make_timestamp("timestamp" * 1000)) AS INTEGER) AS "hour"
+  FROM damaged
+  WHERE cell_id BETWEEN 1 AND 10000
+)"""
+
+
+def _damaged(where: str = "true") -> str:
+    return f"""{_records()},
+damaged AS (SELECT {_PADDED_FIELDS} FROM records WHERE {where}), {_CLEAN_DAMAGED}"""
+
+
+_FULL_LINES = "event_id % 10 NOT IN (1, 2)"
+
+_STRICT = f"{_PADDED} WHERE {_FULL_LINES}"
 
 _LINE = " || chr(9) || ".join(_TEXT_FIELDS)
 
@@ -141,7 +168,17 @@ SELECT event_id, {", ".join(
     "hourly_totals": _HOURLY,
     "daily_totals": _DAILY,
     "daily_from_hourly": _DAILY,
-    "daily_totals_lineitem": _daily(_LINEITEM_RECORDS, 2),
+    "daily_totals_lineitem": f"WITH {_LINEITEM_RECORDS}, {_CLEAN} {_show_daily(2)}",
+    "hourly_totals_zone": f"""WITH {_records()}, utc AS ({_CLEAN_BODY}),
+cleaned AS (
+  SELECT * REPLACE (
+    CAST(event_time + INTERVAL 330 MINUTE AS DATE) AS "date",
+    CAST(extract(hour FROM event_time + INTERVAL 330 MINUTE) AS INTEGER) AS "hour"
+  ) FROM utc
+) {_SHOW_HOURLY}""",
+    "malformed_daily_totals": f"WITH {_damaged()} {_show_daily(4)}",
+    "malformed_stream_events": f"WITH {_damaged(_FULL_LINES)} {_SHOW_EVENTS}",
+    "malformed_stream_hourly": f"WITH {_damaged(_FULL_LINES)} {_SHOW_CLOSED}",
     "tumbling_totals": _TUMBLING,
     "sink_clean": _CLEAN_EVENTS,
     "sink_clean_regrouped": _CLEAN_EVENTS,
