@@ -37,8 +37,11 @@ def write_events(
     if not regroup:
         _replace(events, path, EVENTS_PARTITIONS)
         return
-    sized = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes}
-    with scoped_conf(events.sparkSession, sized):
+    adaptive = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes,
+    }
+    with scoped_conf(events.sparkSession, adaptive):
         _replace(events.hint("rebalance", *EVENTS_PARTITIONS), path, EVENTS_PARTITIONS)
 
 

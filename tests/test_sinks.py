@@ -93,12 +93,16 @@ def test_mixed_dates_make_few_files_when_regrouped(spark, events, eight_tasks, t
     assert rounded(back.select(events.columns)) == rounded(events)
 
 
-def test_a_hot_date_is_split_over_tasks_when_regrouped(spark, events, eight_tasks, tmp_path):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_hot_date_is_split_over_tasks_when_regrouped(
+    spark, events, eight_tasks, tmp_path, adaptive
+):
     """A third of the rows on one date, far above the task size: many files, nothing lost."""
     hot_day = F.when(F.col("cell_id") % 3 == 0, F.lit("2024-01-31").cast("date"))
     skewed = eight_tasks(events.withColumn("date", F.coalesce(hot_day, "date")))
     path = tmp_path / "grouped"
-    write_events(skewed, str(path), regroup=True, task_bytes="4k")
+    with scoped_conf(spark, {"spark.sql.adaptive.enabled": adaptive}):
+        write_events(skewed, str(path), regroup=True, task_bytes="4k")
     assert len(list((path / "date=2024-01-31").glob("*.parquet"))) > 2
     assert rounded(read_events(spark, str(path)).select(events.columns)) == rounded(
         skewed.select(events.columns)
