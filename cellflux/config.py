@@ -26,6 +26,9 @@ class StreamSettings:
     events_trigger: str = "30 seconds"
     hourly_trigger: str = "1 minute"
     available_now: bool = False  # drain what is there, then stop
+    # Merge the source tasks of the event query into this many, each of which writes one
+    # file per date and trigger. For topics of many partitions and short triggers.
+    events_tasks: int | None = None
     # Shuffle partitions of the stateful query. Spark fixes the number in the
     # checkpoint at the first start, so choose it for the cluster's full size.
     state_partitions: int | None = None

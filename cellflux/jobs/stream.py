@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--available-now", action="store_true", help="drain the input, then end")
     p.add_argument("--time-limit", type=float, help="seconds to run")
     p.add_argument("--state-partitions", type=int)
+    p.add_argument("--events-tasks", type=int, help="tasks, and so files, per event trigger")
     p.add_argument("--watermark", default=Settings.watermark)
     add_time_zone(p)
     add_object_store(p, committer="directory")
@@ -56,6 +57,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         hourly_trigger=args.hourly_trigger,
         available_now=args.available_now,
         state_partitions=args.state_partitions,
+        events_tasks=args.events_tasks,
         time_limit_seconds=args.time_limit,
     )
     run_stream(lines, args.output, args.checkpoints, settings, stream)

@@ -49,6 +49,8 @@ def start_events(
     """Append cleaned events by date. No shuffle: each source task writes its own files."""
     stream = stream or StreamSettings()
     trigger = stream.trigger(stream.events_trigger)
+    if stream.events_tasks:
+        events = events.coalesce(stream.events_tasks)
     return _writer(events, path, checkpoint, EVENTS_PARTITIONS, trigger).start()
 
 

@@ -129,6 +129,19 @@ def test_streamed_events_equal_batch_events(
     assert rounded(back.select(batch_events.columns)) == rounded(batch_events)
 
 
+@pytest.mark.parametrize("tasks, files", [(None, 6), (2, 2)])
+def test_event_files_per_trigger(spark, arrive, tmp_path, tasks, files):
+    for i in range(6):
+        folder = arrive([line(1, i)])
+    out = str(tmp_path / "out")
+    stream = StreamSettings(available_now=True, events_tasks=tasks)
+    with scoped_conf(spark, {"spark.sql.files.openCostInBytes": "1g"}):  # a task per file
+        source = clean_stream(spark, folder, per_trigger=None)
+        drain(start_events(source, out, str(tmp_path / "cp"), stream))
+    assert len(parquet_files(out)) == files
+    assert read_events(spark, out).count() == 6
+
+
 def test_late_rows_are_dropped_and_counted(spark, arrive, tmp_path):
     arrive([line(1, 0), line(1, 10 * HOUR)])
     arrive([line(1, 10 * HOUR + 1)])

@@ -48,7 +48,9 @@ def test_replayed_table_streams_back_whole(spark, sf_dir, servers, tmp_path):
         events_path=paths.events,
         hourly_path=paths.hourly,
         checkpoints=str(tmp_path / "cp"),
-        stream=StreamSettings("1 second", "1 second", state_partitions=2),
+        stream=StreamSettings(
+            events_trigger="1 second", hourly_trigger="1 second", state_partitions=2
+        ),
     )
     for query in queries:
         query.processAllAvailable()
