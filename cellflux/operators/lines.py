@@ -26,14 +26,16 @@ def decode_lines(lines: DataFrame, arity: Arity = "strict") -> DataFrame:
 
     `explode` over a one-element array keeps one row per line and makes each line
     be split once: as a plain projection, Spark would push the later filters below
-    it and repeat the split in each of them.
+    it and repeat the split in each of them. One field more than a record has is enough to
+    see that a line is too long.
     """
     if arity not in ("strict", "pad"):
         raise ValueError(f"arity must be 'strict' or 'pad', not {arity!r}")
     line = F.col("value").cast("string")
     if arity == "pad":
         lines = lines.filter(line.rlike(r"[^\x00-\x20]"))  # blank lines are no records
-    split = lines.select(F.explode(F.array(F.split(line, SEPARATOR, -1))).alias("fields"))
+    fields = F.split(line, SEPARATOR, len(RECORD_FIELDS) + 1)
+    split = lines.select(F.explode(F.array(fields)).alias("fields"))
     if arity == "strict":
         split = split.filter(F.size("fields") == len(RECORD_FIELDS))
     return split.select(

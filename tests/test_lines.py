@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cellflux.operators import clean, decode_lines
@@ -102,6 +105,48 @@ def test_decoder_takes_binary_values(spark):
     )
 
 
+def whole_number(text, bits):
+    found = re.fullmatch(r"\s*([+-]?)(\d*)(\.\d*)?\s*", text)
+    if not found or not (found[2] or found[3]):
+        return None
+    value = int(found[1] + "0" + found[2])
+    return value if -(2 ** (bits - 1)) <= value < 2 ** (bits - 1) else None
+
+
+def number(text):
+    try:
+        return float(text)
+    except ValueError:
+        return None
+
+
+def by_hand(line):
+    fields = line.split("\t")
+    if len(fields) != 8:
+        return None
+    cell, millis, country, *measures = fields
+    return (
+        whole_number(cell, 32),
+        whole_number(millis, 64),
+        whole_number(country, 32),
+        *map(number, measures),
+    )
+
+
+FIELD = st.text(alphabet="0123456789.+-e ", max_size=6) | st.integers(-(2**66), 2**66).map(str)
+LINES_OF_ANY_LENGTH = st.lists(
+    st.lists(FIELD, min_size=7, max_size=9).map("\t".join), min_size=1, max_size=60
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(LINES_OF_ANY_LENGTH)
+def test_strict_decoder_matches_a_decoder_by_hand(spark, lines):
+    want = [row for row in map(by_hand, lines) if row is not None]
+    got = [tuple(r) for r in decode_lines(lines_df(spark, lines)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_unknown_arity(spark):
     with pytest.raises(ValueError, match="arity"):
         decode_lines(lines_df(spark, []), arity="loose")
