@@ -7,7 +7,13 @@ from cellflux.operators.aggregate import (
     tumbling_totals,
 )
 from cellflux.operators.clean import clean, repair_measures, valid_cells, with_event_time
-from cellflux.operators.lines import decode_lines, encode_records, file_order, head_lines
+from cellflux.operators.lines import (
+    decode_lines,
+    encode_records,
+    file_order,
+    head_lines,
+    head_of_files,
+)
 
 __all__ = [
     "clean",
@@ -17,6 +23,7 @@ __all__ = [
     "encode_records",
     "file_order",
     "head_lines",
+    "head_of_files",
     "hourly_totals",
     "repair_measures",
     "tumbling_totals",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellflux.functions import field_value, record_line
@@ -60,5 +60,38 @@ def file_order() -> list[Column]:
 
 
 def head_lines(lines: DataFrame, limit: int, order: list[Column]) -> DataFrame:
-    """The first `limit` lines under a stated order, as a top-k: no full sort is made."""
+    """The first `limit` lines under a stated order, as a top-k: no full sort is made.
+
+    One task merges the result, in that order. For long heads of files, see `head_of_files`.
+    """
     return lines.orderBy(*order).limit(limit).select("value")
+
+
+def head_of_files(lines: DataFrame, limit: int) -> DataFrame:
+    """The first `limit` lines of a text scan in file order, of any length and in any number
+    of tasks; the lines are the same as those of `head_lines`, without their order.
+
+    A first scan counts the lines of each file block and finds the block in which the
+    head ends; the result is a filter on that place. Only the counts, one row per block,
+    come together in one task.
+    """
+    path, block, line = file_order()
+    placed = lines.select("value", path.alias("path"), block.alias("block"), line.alias("line"))
+    blocks = placed.groupBy("path", "block").agg(
+        F.count(F.lit(1)).alias("lines"), F.min("line").alias("first")
+    )
+    through = F.sum("lines").over(Window.orderBy("path", "block"))
+    end = (
+        blocks.withColumn("through", through)
+        .filter(F.col("through") >= limit)
+        .orderBy("through")
+        .first()
+    )
+    if end is None:  # fewer lines than the limit
+        return lines.select("value")
+    room = limit - (end.through - end.lines)
+    before = (F.col("path") < end.path) | (
+        (F.col("path") == end.path) & (F.col("block") < end.block)
+    )
+    last = (F.col("path") == end.path) & (F.col("block") == end.block)
+    return placed.filter(before | (last & (F.col("line") < end.first + room))).select("value")

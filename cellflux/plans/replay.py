@@ -7,20 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cellflux.functions import strip_line
-from cellflux.operators import file_order, head_lines
+from cellflux.operators import file_order, head_lines, head_of_files
 from cellflux.sources import read_lines
 
 # Fixed value: lines replayed unless told otherwise.
 MAX_LINES = 5000
 
+# Up to here the head is a top-k, which one task merges and publishes in file order.
+TOP_K_LINES = 1_000_000
+
 
 def replay_lines(
     spark: SparkSession, path: str, *, max_lines: int | None = MAX_LINES, strip: bool = False
 ) -> DataFrame:
-    """The first lines in file order, or all lines in no order with ``max_lines=None``."""
+    """The first lines of the files, or all lines with ``max_lines=None``."""
     lines = read_lines(spark, path)
-    if max_lines is not None:
+    if max_lines is not None and max_lines <= TOP_K_LINES:
         lines = head_lines(lines, max_lines, file_order())
+    elif max_lines is not None:
+        lines = head_of_files(lines, max_lines)
     if strip:
         lines = lines.select(strip_line("value").alias("value"))
     return lines

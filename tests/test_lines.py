@@ -8,10 +8,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cellflux.operators import clean, decode_lines
+from cellflux.operators import clean, decode_lines, file_order, head_lines, head_of_files
 from cellflux.plans import replay_lines
 from cellflux.session import scoped_conf
-from cellflux.sources import read_records
+from cellflux.sources import read_lines, read_records
 
 from helpers import lines_df
 
@@ -177,6 +177,40 @@ def test_head_goes_through_files_by_name(spark, line_file):
     assert [r.value for r in got] == ["a", "b", "c"]
 
 
+@pytest.mark.parametrize("limit", [1, 999, 1000, 1001, 2500, 3999, 4000, 9999])
+def test_long_head_is_the_same_as_the_top_k(spark, line_file, limit):
+    line_file([f"b{i}\tx" for i in range(1000)], name="b.txt")
+    line_file([f"c{i}\tx" for i in range(2000)], name="c.txt")
+    folder = line_file([f"a{i}\tx" for i in range(1000)], name="a.txt")
+    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "1500"}):
+        lines = read_lines(spark, folder)
+        assert lines.rdd.getNumPartitions() > 8
+        long, top = head_of_files(lines, limit), head_lines(lines, limit, file_order())
+        assert long.rdd.getNumPartitions() > 8
+        assert sorted(r.value for r in long.collect()) == sorted(r.value for r in top.collect())
+
+
+def test_long_head_with_several_files_per_task(spark, line_file):
+    """Spark packs small files into one task, the largest first."""
+    for i, name in enumerate("dbca"):
+        folder = line_file([f"{name}{j}" for j in range(10 * (i + 1))], name=f"{name}.txt")
+    lines = read_lines(spark, folder)
+    with scoped_conf(spark, {"spark.sql.files.openCostInBytes": "0"}):
+        for limit in (5, 40, 45, 70, 71, 99, 100):
+            got = sorted(r.value for r in head_of_files(lines, limit).collect())
+            want = sorted(r.value for r in head_lines(lines, limit, file_order()).collect())
+            assert got == want and len(got) == limit
+
+
+def test_replay_uses_the_long_head_beyond_the_top_k(spark, line_file, monkeypatch):
+    import cellflux.plans.replay as replay
+
+    monkeypatch.setattr(replay, "TOP_K_LINES", 10)
+    folder = line_file([str(i) for i in range(50)])
+    got = replay.replay_lines(spark, folder, max_lines=20).collect()
+    assert sorted(int(r.value) for r in got) == list(range(20))
+
+
 def test_replay_without_limit_is_whole(spark, line_file):
     folder = line_file([f"{i}\t " for i in range(6000)])
     assert replay_lines(spark, folder, max_lines=None).distinct().count() == 6000
