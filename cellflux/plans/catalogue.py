@@ -21,6 +21,7 @@ from cellflux.operators import (
     decode_lines,
     encode_records,
     head_lines,
+    head_of_files,
     hourly_totals,
     repair_measures,
     tumbling_totals,
@@ -37,6 +38,7 @@ from cellflux.sources import (
     read_daily,
     read_events,
     read_hourly,
+    read_lines,
     read_records,
     stream_text_lines,
 )
@@ -186,6 +188,28 @@ def _replay_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head_lines(lines, REPLAY_HEAD, [F.col("event_id")])
 
 
+def _ordered_files(spark: SparkSession, sf_dir: str) -> str:
+    """Record files that hold the lines in the order of `event_id`."""
+    lines = records_from_events(spark, sf_dir).select("event_id", record_line().alias("value"))
+    ordered = lines.repartitionByRange("event_id").sortWithinPartitions("event_id")
+    return _written_lines(spark, ordered)
+
+
+@query("replay_files")
+def _replay_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replay job: the first lines of the files to the text sink."""
+    sink = scratch_path(spark, "published")
+    source = _ordered_files(spark, sf_dir)
+    run_replay(spark, source, lambda lines: publish_to_text(lines, sink))
+    return spark.read.text(sink)
+
+
+@query("replay_long_head")
+def _replay_long_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same head by its place in the files."""
+    return head_of_files(read_lines(spark, _ordered_files(spark, sf_dir)), REPLAY_HEAD)
+
+
 # --- cleaning ---------------------------------------------------------------
 
 

@@ -137,6 +137,8 @@ _LINE = " || chr(9) || ".join(_TEXT_FIELDS)
 
 _LINES = f"WITH {_records()} SELECT event_id, {_LINE} AS line FROM records"
 
+_HEAD = f"WITH {_records()} SELECT {_LINE} AS value FROM records ORDER BY event_id LIMIT 5000"
+
 ORACLES: dict[str, str] = {
     "typed_projection": _TYPED,
     "tsv_scan": _TYPED,
@@ -147,9 +149,9 @@ ORACLES: dict[str, str] = {
     "arity_filter": _STRICT,
     "wire_strip": f"{_TYPED} WHERE internet IS NOT NULL",
     "publish_lines": _TYPED,
-    "replay_head": (
-        f"WITH {_records()} SELECT {_LINE} AS value FROM records ORDER BY event_id LIMIT 5000"
-    ),
+    "replay_head": _HEAD,
+    "replay_files": _HEAD,
+    "replay_long_head": _HEAD,
     "event_time_parts": f"""WITH {_records()}
 SELECT event_id, "timestamp", strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS event_time,
   strftime(ts, '%Y-%m-%d') AS "date", CAST(extract(hour FROM ts) AS INTEGER) AS "hour"
