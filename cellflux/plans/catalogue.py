@@ -97,6 +97,11 @@ def _show_events(events: DataFrame) -> DataFrame:
     )
 
 
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be missing, as text: engines hand those over in different types."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 def _show_daily(daily: DataFrame, digits: int = 4) -> DataFrame:
     return daily.select(_day(), "cell_id", *_rounded(digits))
 
@@ -141,7 +146,8 @@ def _tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tsv_malformed")
 def _tsv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_records(spark, _written_lines(spark, _damaged_lines(spark, sf_dir)))
+    records = read_records(spark, _written_lines(spark, _damaged_lines(spark, sf_dir)))
+    return _as_text(records, "cell_id", "timestamp")
 
 
 @query("wire_encode")
@@ -157,12 +163,14 @@ def _wire_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("wire_decode_pad")
 def _wire_decode_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_lines(_damaged_lines(spark, sf_dir), arity="pad")
+    records = decode_lines(_damaged_lines(spark, sf_dir), arity="pad")
+    return _as_text(records, "cell_id", "timestamp")
 
 
 @query("arity_filter")
 def _arity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_lines(_damaged_lines(spark, sf_dir), arity="strict")
+    records = decode_lines(_damaged_lines(spark, sf_dir), arity="strict")
+    return _as_text(records, "cell_id", "timestamp")
 
 
 @query("wire_strip")
@@ -450,7 +458,7 @@ def _stream_job_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _malformed_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged lines through the stream: short and long lines are gone, bad times are kept."""
     paths = _stream_job(spark, _damaged_lines(spark, sf_dir))
-    return _show_events(read_events(spark, paths.events))
+    return _as_text(_show_events(read_events(spark, paths.events)), "timestamp", "hour")
 
 
 @query("malformed_stream_hourly")

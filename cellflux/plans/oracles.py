@@ -110,6 +110,13 @@ _PADDED_FIELDS = ", ".join(
     [_unless("cell_id", 3), _unless("timestamp", 0), "country_code", "sms_in"]
     + [_unless(m, 1) for m in MEASURES[1:]]
 )
+
+
+def _as_text(answer: str, *columns: str) -> str:
+    texts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in columns)
+    return f"SELECT * REPLACE ({texts}) FROM ({answer})"
+
+
 _PADDED = f"WITH {_records()} SELECT {_PADDED_FIELDS} FROM records"
 
 # The damaged records, cleaned from their fields alone.
@@ -142,11 +149,11 @@ _HEAD = f"WITH {_records()} SELECT {_LINE} AS value FROM records ORDER BY event_
 ORACLES: dict[str, str] = {
     "typed_projection": _TYPED,
     "tsv_scan": _TYPED,
-    "tsv_malformed": _PADDED,
+    "tsv_malformed": _as_text(_PADDED, "cell_id", "timestamp"),
     "wire_encode": _LINES,
     "wire_decode": _TYPED,
-    "wire_decode_pad": _PADDED,
-    "arity_filter": _STRICT,
+    "wire_decode_pad": _as_text(_PADDED, "cell_id", "timestamp"),
+    "arity_filter": _as_text(_STRICT, "cell_id", "timestamp"),
     "wire_strip": f"{_TYPED} WHERE internet IS NOT NULL",
     "publish_lines": _TYPED,
     "replay_head": _HEAD,
@@ -179,7 +186,9 @@ cleaned AS (
   ) FROM utc
 ) {_SHOW_HOURLY}""",
     "malformed_daily_totals": f"WITH {_damaged()} {_show_daily(4)}",
-    "malformed_stream_events": f"WITH {_damaged(_FULL_LINES)} {_SHOW_EVENTS}",
+    "malformed_stream_events": _as_text(
+        f"WITH {_damaged(_FULL_LINES)} {_SHOW_EVENTS}", "timestamp", "hour"
+    ),
     "malformed_stream_hourly": f"WITH {_damaged(_FULL_LINES)} {_SHOW_CLOSED}",
     "tumbling_totals": _TUMBLING,
     "sink_clean": _CLEAN_EVENTS,
