@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spark keeps timestamps as 64-bit microseconds; milliseconds beyond this
-# cannot be held and would make `timestamp_millis` fail the whole job.
-_MAX_MILLIS = (2**63 - 1) // 1000
+# Spark keeps timestamps as 64-bit microseconds; milliseconds beyond this cannot be held
+# and would make `timestamp_millis` fail the whole job. The bound stays a year short of
+# that, so that the window around an instant can be held too.
+_YEAR_MILLIS = 366 * 24 * 3_600_000
+_MAX_MILLIS = (2**63 - 1) // 1000 - _YEAR_MILLIS
 
 
 def event_instant(millis: str | Column) -> Column:

@@ -106,6 +106,22 @@ def test_windows_close_on_the_hour(spark):
     ]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("sign", [1, -1])
+def test_extreme_timestamps_fail_nothing(spark, ansi, sign):
+    """Next to the largest instants, windows would overflow; those rows have no time."""
+    largest = (2**63 - 1) // 1000
+    far, farther = largest - 367 * 24 * HOUR, largest - HOUR // 2
+    with scoped_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        events = clean(records(spark, row(1, sign * far), row(2, sign * farther), row(3, 0)))
+        windows = tumbling_totals(events).select(
+            "cell_id", F.col("window_end").cast("long") - F.col("window_start").cast("long")
+        )
+        assert sorted(map(tuple, windows.collect())) == [(1, 3600), (3, 3600)]
+        hours = hourly_totals(events).select("cell_id", F.col("date").isNull())
+        assert sorted(map(tuple, hours.collect())) == [(1, False), (2, True), (3, False)]
+
+
 def test_zone_decides_the_day(spark):
     df = records(spark, row(1, 1383260400000))
     assert [str(r.date) for r in daily_totals(clean(df)).collect()] == ["2013-10-31"]
