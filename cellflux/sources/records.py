@@ -9,6 +9,10 @@ from cellflux.schema import RECORD_SCHEMA, SEPARATOR
 # Fixed value: the files of a record folder.
 RECORD_FILES = "*.txt"
 
+# Spark's reader fails the job at a line of more fields than this. Its usual bound is
+# 20,480, which one damaged line can pass.
+_MAX_FIELDS = 1_000_000
+
 
 def _files(path: str) -> str:
     """A folder means its record files; a glob or a record file is taken as it is."""
@@ -24,7 +28,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     extra fields are ignored. A path without files is an error.
     """
     return spark.read.csv(
-        _files(path), sep=SEPARATOR, header=False, schema=RECORD_SCHEMA, mode="PERMISSIVE"
+        _files(path),
+        sep=SEPARATOR,
+        header=False,
+        schema=RECORD_SCHEMA,
+        mode="PERMISSIVE",
+        maxColumns=_MAX_FIELDS,
     )
 
 

@@ -86,6 +86,26 @@ def test_strict_decoder_keeps(spark, ansi):
     assert rows[10000].event_time is None
 
 
+DAMAGED = {
+    "very many fields": (b"2" + b"\t3" * 30_000, {1, 2}, {1}),
+    "zero byte": (b"3\x00\t1\t2\t3\t4\t5\t6\t7", {1}, {1, 3}),
+    "not UTF-8": (b"4\t1383260400000\t39\t\xff\xfe\t2\t3\t4\t5", {1, 4}, {1, 4}),
+    "open quote": (b'5\t1383260400000\t39\t"1.5\t2\t3\t4\t5', {1, 5}, {1, 5}),
+    "long number": (b"6\t1383260400000\t39\t" + b"9" * 400 + b"\t2\t3\t4\t5", {1, 6}, {1, 6}),
+    "long field": (b"7\t1383260400000\t39\t" + b"x" * 10**6 + b"\t2\t3\t4\t5", {1, 7}, {1, 7}),
+    "byte order mark": (b"\xef\xbb\xbf8\t1383260400000\t39\t1\t2\t3\t4\t5", {1, 8}, {1, 8}),
+}
+
+
+@pytest.mark.parametrize("name", DAMAGED)
+def test_a_damaged_line_does_not_fail_the_scan(spark, tmp_path, name):
+    line, by_file, by_stream = DAMAGED[name]
+    good = b"1\t1383260400000\t39\t1\t2\t3\t4\t5"
+    (tmp_path / "a.txt").write_bytes(line + b"\n" + good + b"\n")
+    assert by_cell(read_records(spark, str(tmp_path))).keys() == by_file
+    assert by_cell(decode_lines(read_lines(spark, str(tmp_path)))).keys() == by_stream
+
+
 def test_padding_decoder_keeps_short_and_long_lines(spark):
     rows = by_cell(decode_lines(lines_df(spark, LINES + [None]), arity="pad"))
     assert rows.keys() == expected(1) | {6}
