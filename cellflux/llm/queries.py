@@ -10,12 +10,25 @@ from pyspark.sql import functions as F
 from cellflux.llm.common import materialise, table
 from cellflux.llm.licences import licence_matches, licence_sql
 from cellflux.llm.mixing import mixed, mixing_sql, word_count
+from cellflux.llm.packing import packed
 from cellflux.llm.rollup import RollupStore
 from cellflux.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def word_tokenizer() -> str:
+    """The public vocabulary file that the packing query is stated for."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, each window with the corpus's shares of sources."""
+    return packed(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's raked weight, its probability and whether the sample has it."""
     return mixed(table(spark, sf_dir, "documents")).select(
@@ -98,6 +111,7 @@ SELECT source, lang, 'pieces', count(*), sum(pieces)::BIGINT FROM counted GROUP
 """
 
 QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
     "op7_mixture": op7_mixture,
     "op8_licences": op8_licences,
     "op9_token_rollup": op9_token_rollup,
