@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellflux.llm.common import materialise, table
+from cellflux.llm.common import id_fold, materialise, table
 from cellflux.llm.licences import licence_matches, licence_sql
 from cellflux.llm.mixing import mixed, mixing_sql, word_count
 from cellflux.llm.packing import packed
 from cellflux.llm.rollup import RollupStore
+from cellflux.llm.toxicity import fitted, scored
 from cellflux.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,11 +111,24 @@ UNION ALL
 SELECT source, lang, 'pieces', count(*), sum(pieces)::BIGINT FROM counted GROUP BY source, lang
 """
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the fold 0 of five are never learned from."""
+    documents = table(spark, sf_dir, "documents")
+    machine = fitted(documents, table(spark, sf_dir, "labels"))
+    return scored(documents.select("doc_id", "text"), machine).select(
+        "doc_id",
+        (id_fold("doc_id") == 0).alias("held_out"),
+        F.col("_toxicity").alias("score"),
+        F.when(F.col("_toxicity") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op7_mixture": op7_mixture,
     "op8_licences": op8_licences,
     "op9_token_rollup": op9_token_rollup,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op7_mixture": mixing_sql(),
