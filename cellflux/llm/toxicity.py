@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cellflux.llm.common import id_fold
 
@@ -369,7 +370,7 @@ def scored(documents: DataFrame, machine: Machine, column: str = "_toxicity") ->
     documents = documents.drop(column)
     sent = documents.sparkSession.sparkContext.broadcast(machine)
     name = f"{machine.bias!r}:{machine.coefficients!r}:{float(np.abs(machine.table).sum())!r}"
-    schema = documents.schema.add(column, "double")
+    schema = StructType([*documents.schema.fields, StructField(column, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
