@@ -12,12 +12,28 @@ from cellflux.llm.licences import licence_matches, licence_sql
 from cellflux.llm.mixing import mixed, mixing_sql, word_count
 from cellflux.llm.packing import packed
 from cellflux.llm.rollup import RollupStore
+from cellflux.llm.simhash import edited_pairs, likeness
 from cellflux.llm.toxicity import fitted, scored
 from cellflux.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts, and how like they are to those of the edited and the next text."""
+    prints = edited_pairs(table(spark, sf_dir, "documents"))
+    own = F.col("fingerprint")
+    return prints.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(own, F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 def word_tokenizer() -> str:
     """The public vocabulary file that the packing query is stated for."""
     import public_tokenizers
@@ -124,6 +140,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op7_mixture": op7_mixture,
     "op8_licences": op8_licences,
