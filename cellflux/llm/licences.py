@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,6 +76,20 @@ def _template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
+def _probe_pattern(probes: set[str]) -> str:
+    """A pattern for raw text in which one of the bigrams stands, whatever marks are between its words.
+
+    Bigrams are grouped by their first two characters, so that a word is rarely compared
+    with more than a few of them.
+    """
+    between = "[^A-Za-z0-9]+"
+    groups = []
+    for start, group in groupby(sorted(probes), key=lambda g: g[:2] if g[1] != " " else g[0]):
+        rest = "|".join(g[len(start) :].replace(" ", between) for g in group)
+        groups.append(f"{start}(?:{rest})")
+    return f"(?i)(?<![A-Za-z0-9])(?:{'|'.join(groups)})(?![A-Za-z0-9])"
+
+
 def licence_matches(
     documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -84,8 +98,9 @@ def licence_matches(
     A unit is the whole text, a paragraph, a line or a sentence; `units` counts the distinct units of
     the document that reach the threshold, `dice` is the best of them. A unit of `a` bigrams can reach
     `t` with a template of `b` only if `a` lies between `b*t/(2-t)` and `b*(2-t)/t`, and only if
-    it holds one of any `b - ceil(b*t/(2-t)) + 1` bigrams of that template; both bounds are exact, and
-    are applied before any coefficient is worked out. The templates are a parameter held in the plan,
+    it holds one of any `b - ceil(b*t/(2-t)) + 1` bigrams of that template. Both bounds are exact; the
+    second is first put to the raw text, so that a document without any such bigram costs
+    one pass of a pattern. The templates are a parameter held in the plan,
     never a table that grows. No shuffle but that of the matches, summed per task.
 
     A missing or empty text has no matches; rows with equal doc_id are one document; columns
@@ -97,14 +112,15 @@ def licence_matches(
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least = {k: -int(-len(b) * low // 1) for k, b in known.items()}
 
-    # Bigrams of few templates first, so that the probe has few entries.
+    # Bigrams that few templates share, and long ones, are the rarest in other texts.
     shared = {g: sum(g in b for b in known.values()) for b in known.values() for g in b}
     probes = {
         g
         for k, b in known.items()
-        for g in sorted(b, key=lambda g: (-shared[g], g))[: len(b) - least[k] + 1]
+        for g in sorted(b, key=lambda g: (shared[g], -len(g), g))[: len(b) - least[k] + 1]
     }
 
+    documents = documents.filter(F.col("text").rlike(_probe_pattern(probes)))
     text = normalised("text")
     units = F.array_distinct(
         F.concat(
@@ -112,9 +128,6 @@ def licence_matches(
         )
     )
     opened = documents.select("doc_id", F.explode(units).alias("unit"))
-    # The first word of every probe is looked for in the text before bigrams are made.
-    first = "|".join(sorted({g.split(" ")[0] for g in probes}))
-    opened = opened.filter(F.col("unit").rlike(rf"(?:^|[ \n\x01])(?:{first})[ \n\x01]"))
     sized = opened.select("doc_id", _words(F.col("unit")).alias("words")).filter(
         F.size("words") > min(least.values())
     )
