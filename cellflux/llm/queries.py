@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellflux.llm.common import id_fold, materialise, table
+from cellflux.llm.jaccard import near_groups
 from cellflux.llm.licences import licence_matches, licence_sql
 from cellflux.llm.mixing import mixed, mixing_sql, word_count
 from cellflux.llm.packing import packed
@@ -46,6 +47,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's raked weight, its probability and whether the sample has it."""
     return mixed(table(spark, sf_dir, "documents")).select(
@@ -142,6 +148,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
+    "op5_jaccard": op5_jaccard,
     "op7_mixture": op7_mixture,
     "op8_licences": op8_licences,
     "op9_token_rollup": op9_token_rollup,
