@@ -18,7 +18,8 @@ END = 1  # the id after each document
 WINDOW_SEQUENCES = 32  # sequences in which the sources meet their shares
 ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 10_000
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 500_000
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SEPARATOR = "<|endoftext|>"
 
 
@@ -26,9 +27,10 @@ class WordEncoder:
     """Ids of a text, word by word, with the ids of words seen before kept.
 
     The tokenizer cuts at blanks before anything else, so that a text has the ids of its blank-free
-    parts one after the other. Unknown words go to the tokenizer joined, many at a time. Plain
-    words (Latin-1 letters, perhaps one full stop or comma) are told apart by the word-end
-    tokens, all others by a special token put between them.
+    words one after the other. It also lower-cases, and cuts between letters and marks. So a plain word
+    (Latin-1 letters, then perhaps ASCII marks but no apostrophe) has the ids of its lower-case letters
+    and then of its marks; only letters not met before go to the tokenizer, many words at a time, and
+    are told apart by the word-end tokens. All other words are told apart by a special token put between.
     """
 
     def __init__(self, path: str):
@@ -41,52 +43,63 @@ class WordEncoder:
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
         self.separator = vocabulary[_SEPARATOR]
-        self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def _parts(word: str) -> int:
-        """Tokenizer words in a plain word; 0 for any other."""
-        stem = word[:-1] if word[-1] in ".," else word
-        return (1 + (len(stem) < len(word))) if stem.isalpha() and max(stem) < "Ā" else 0
+        self.known: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {"": b""}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn_letters(self, words: list[str]) -> None:
         size = np.dtype(self.kind).itemsize
-        plain = [(w, n) for w in words if (n := self._parts(w))]
-        if plain:
-            ids = self._ids(" ".join(w for w, _ in plain))
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            ids = self._ids(" ".join(part))
             ends = np.flatnonzero(self.ends[ids]) + 1
-            stops = np.cumsum([n for _, n in plain])
-            if len(ends) != stops[-1]:
+            if len(ends) != len(part):
                 raise ValueError("the tokenizer's word ends do not follow its words")
             raw, start = ids.tobytes(), 0
-            for (word, _), stop in zip(plain, (ends[stops - 1] * size).tolist(), strict=True):
-                self.known[word] = raw[start:stop]
+            for word, stop in zip(part, (ends * size).tolist(), strict=True):
+                self.letters[word] = raw[start:stop]
                 start = stop
-        others = [w for w in words if not self._parts(w)]
-        alone = [w for w in others if _SEPARATOR in w]
-        for word in alone:
+
+    def _learn_others(self, words: list[str]) -> None:
+        size = np.dtype(self.kind).itemsize
+        for word in [w for w in words if _SEPARATOR in w]:
             self.known[word] = self._ids(word).tobytes()
-        others = [w for w in others if _SEPARATOR not in w]
-        if others:
-            ids = self._ids(f" {_SEPARATOR} ".join(others))
+        words = [w for w in words if _SEPARATOR not in w]
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            ids = self._ids(f" {_SEPARATOR} ".join(part))
             cuts = np.flatnonzero(ids == self.separator)
             raw, start = ids.tobytes(), 0
-            for word, cut in zip(others, [*cuts.tolist(), len(ids)], strict=True):
+            for word, cut in zip(part, [*cuts.tolist(), len(ids)], strict=True):
                 self.known[word] = raw[start * size : cut * size]
                 start = cut + 1
 
+    def _learn(self, words: list[str]) -> None:
+        plain, others = [], []
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            if not stem or (stem.isalpha() and max(stem) < "Ā"):
+                plain.append((word, stem.lower(), word[len(stem) :]))
+            else:
+                others.append(word)
+        self._learn_letters(list({stem for _, stem, _ in plain} - self.letters.keys()))
+        for mark in {mark for _, _, mark in plain} - self.marks.keys():
+            self.marks[mark] = self._ids(mark).tobytes()
+        letters, marks = self.letters, self.marks
+        self.known.update((word, letters[stem] + marks[mark]) for word, stem, mark in plain)
+        self._learn_others(others)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of `kind`."""
-        if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
-        self.known[""] = b""
+        for cache in (self.known, self.letters, self.marks):
+            if len(cache) > _CACHE_WORDS:
+                cache.clear()
+                cache[""] = b""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = [w for w in set().union(*split) if w not in self.known]
-        for i in range(0, len(new), 2000):
-            self._learn(new[i : i + 2000])
+        self._learn(list(set().union(*split) - self.known.keys()))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellflux.llm.common import id_fold, materialise, table
+from cellflux.llm.graphs import nearest
 from cellflux.llm.jaccard import near_groups
 from cellflux.llm.licences import licence_matches, licence_sql
 from cellflux.llm.mixing import mixed, mixing_sql, word_count
@@ -52,6 +53,11 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's raked weight, its probability and whether the sample has it."""
     return mixed(table(spark, sf_dir, "documents")).select(
@@ -149,6 +155,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op5_jaccard": op5_jaccard,
+    "op6_graph_search": op6_graph_search,
     "op7_mixture": op7_mixture,
     "op8_licences": op8_licences,
     "op9_token_rollup": op9_token_rollup,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cellflux.llm.common import WORD, ascii_lower, materialise
 
 BITS = 128
-ROWS_PER_RANGE = 10_000
+ROWS_PER_RANGE = 2_500
 MAX_RANGES = 10_000
 _LANE = 32  # two votes share a long; each side counts up to 2^31 terms
 
