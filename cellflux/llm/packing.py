@@ -12,25 +12,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellflux.llm.common import materialise
+from cellflux.llm.words import NOT_BLANK, PART, hashed
 
 SEQUENCE = 2048
 END = 1  # the id after each document
 WINDOW_SEQUENCES = 32  # sequences in which the sources meet their shares
 ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 10_000
-_CACHE_WORDS = 500_000
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_KNOWN_WORDS = 900_000
 _SEPARATOR = "<|endoftext|>"
+_WHOLE = 1 << 23  # bytes; a longer text is not worth a table of its words
+
+
+def _byte_kinds() -> np.ndarray:
+    """Blanks 0, letters and bytes beyond ASCII 1, digits 2, marks and control bytes 3."""
+    kinds = np.full(256, 3, np.uint8)
+    kinds[NOT_BLANK == 0] = 0
+    for first, last in (("A", "Z"), ("a", "z")):
+        kinds[ord(first) : ord(last) + 1] = 1
+    kinds[128:] = 1
+    kinds[ord("0") : ord("9") + 1] = 2
+    return kinds
+
+
+_KINDS = _byte_kinds()
+
+
+def _is_plain(text: bytes) -> bool:
+    """ASCII without apostrophes, and small or capital Latin-1 letters: the two-byte points of 0xC3."""
+    if b"'" in text or b"|>" in text:
+        return False
+    if text.isascii():
+        return True
+    points = np.frombuffer(text, np.uint8)
+    lead = np.flatnonzero(points >= 0xC0)
+    after = points[lead + 1]
+    return bool((points[lead] == 0xC3).all() and not np.isin(after, (0x97, 0xB7)).any())
 
 
 class WordEncoder:
     """Ids of a text, word by word, with the ids of words seen before kept.
 
-    The tokenizer cuts at blanks before anything else, so that a text has the ids of its blank-free
-    words one after the other. It also lower-cases, and cuts between letters and marks. So a plain word
-    (Latin-1 letters, then perhaps ASCII marks but no apostrophe) has the ids of its lower-case letters
-    and then of its marks; only letters not met before go to the tokenizer, many words at a time, and
-    are told apart by the word-end tokens. All other words are told apart by a special token put between.
+    The tokenizer lower-cases, cuts at blanks, and then between letters, digits and marks, so that in a
+    plain text each run of one kind has its ids whatever stands around it. (Apostrophes join in some runs, and other
+    scripts have letters and marks that bytes do not tell apart.) Any other text is cut at
+    blanks only. Words not met before go to the tokenizer, many at a time: letters are told apart by
+    the word-end tokens, other words by a special token put between.
     """
 
     def __init__(self, path: str):
@@ -38,69 +65,84 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.kind = np.uint16 if max(vocabulary.values()) < 2**16 else np.uint32
+        self.kind = np.dtype(np.uint16 if max(vocabulary.values()) < 2**16 else np.uint32)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
         self.separator = vocabulary[_SEPARATOR]
-        self.known: dict[str, bytes] = {"": b""}
-        self.letters: dict[str, bytes] = {"": b""}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def _learn_letters(self, words: list[str]) -> None:
-        size = np.dtype(self.kind).itemsize
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            ids = self._ids(" ".join(part))
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer's word ends do not follow its words")
-            raw, start = ids.tobytes(), 0
-            for word, stop in zip(part, (ends * size).tolist(), strict=True):
-                self.letters[word] = raw[start:stop]
-                start = stop
-
-    def _learn_others(self, words: list[str]) -> None:
-        size = np.dtype(self.kind).itemsize
-        for word in [w for w in words if _SEPARATOR in w]:
-            self.known[word] = self._ids(word).tobytes()
-        words = [w for w in words if _SEPARATOR not in w]
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            ids = self._ids(f" {_SEPARATOR} ".join(part))
-            cuts = np.flatnonzero(ids == self.separator)
-            raw, start = ids.tobytes(), 0
-            for word, cut in zip(part, [*cuts.tolist(), len(ids)], strict=True):
-                self.known[word] = raw[start * size : cut * size]
-                start = cut + 1
-
-    def _learn(self, words: list[str]) -> None:
-        plain, others = [], []
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            if not stem or (stem.isalpha() and max(stem) < "Ā"):
-                plain.append((word, stem.lower(), word[len(stem) :]))
+    def _learn(self, words: list[bytes], *, plain: bool) -> None:
+        letters = [w for w in words if plain and _KINDS[w[0]] == 1]
+        others = [w for w in words if not plain or _KINDS[w[0]] != 1]
+        for part, text, is_end in (
+            (letters, " ", lambda ids: self.ends[ids]),
+            (others, f" {_SEPARATOR} ", lambda ids: ids == self.separator),
+        ):
+            for at in range(0, len(part), 2000):
+                some = part[at : at + 2000]
+                ids = self._ids(text.join(w.decode() for w in some))
+                stops = np.flatnonzero(is_end(ids))
+                if part is letters:
+                    starts = np.r_[0, stops[:-1] + 1]
+                    stops = stops + 1
+                else:
+                    starts, stops = np.r_[0, stops + 1], np.r_[stops, len(ids)]
+                if len(stops) != len(some):
+                    raise ValueError("the tokenizer's word ends do not follow its words")
+                raw, size = ids.tobytes(), self.kind.itemsize
+                for word, a, b in zip(some, (starts * size).tolist(), (stops * size).tolist(), strict=True):
+                    self.known[word] = raw[a:b]
+
+    def _encode_group(self, texts: list[bytes], *, plain: bool) -> list[bytes]:
+        """Ids of the distinct words of all texts, dealt out to where the words stand."""
+        if len(self.known) > _KNOWN_WORDS:
+            self.known.clear()
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        buffer = b" ".join(texts).lower()
+        value, starts, stops = hashed(buffer, _KINDS if plain else NOT_BLANK)
+        _, first, which = np.unique(value, return_index=True, return_inverse=True)
+        words = [buffer[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
+        self._learn([w for w in words if w not in self.known], plain=plain)
+        pieces = [self.known[w] for w in words]
+        flat = np.frombuffer(b"".join(pieces), self.kind)
+        sizes = np.array([len(p) for p in pieces], np.int64) // self.kind.itemsize
+        begins = np.cumsum(sizes) - sizes
+        lengths = sizes[which]
+        through = np.cumsum(lengths)
+        at = np.repeat(begins[which] - through + lengths, lengths) + np.arange(lengths.sum())
+        cuts = np.r_[0, through][np.searchsorted(starts, ends[:-1])]
+        return [part.tobytes() for part in np.split(flat[at], cuts)]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text (UTF-8) as little-endian integers of `kind`.
+
+        A text that may name a special token, which the tokenizer finds before all else, goes to it whole, as
+        does one too long to be worth a table of its words.
+        """
+        out: list[bytes] = [b""] * len(texts)
+        groups: dict[bool, list[int]] = {True: [], False: []}
+        for i, text in enumerate(texts):
+            if b"|>" in text or len(text) > _WHOLE:
+                out[i] = self._ids(text.decode()).tobytes()
             else:
-                others.append(word)
-        self._learn_letters(list({stem for _, stem, _ in plain} - self.letters.keys()))
-        for mark in {mark for _, _, mark in plain} - self.marks.keys():
-            self.marks[mark] = self._ids(mark).tobytes()
-        letters, marks = self.letters, self.marks
-        self.known.update((word, letters[stem] + marks[mark]) for word, stem, mark in plain)
-        self._learn_others(others)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian integers of `kind`."""
-        for cache in (self.known, self.letters, self.marks):
-            if len(cache) > _CACHE_WORDS:
-                cache.clear()
-                cache[""] = b""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(list(set().union(*split) - self.known.keys()))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+                groups[_is_plain(text)].append(i)
+        for plain, members in groups.items():
+            at = 0
+            while at < len(members):
+                held, stop = 0, at
+                while stop < len(members) and (stop == at or held + len(texts[members[stop]]) <= PART):
+                    held += len(texts[members[stop]])
+                    stop += 1
+                part = members[at:stop]
+                ids = self._encode_group([texts[i] for i in part], plain=plain)
+                for i, own in zip(part, ids, strict=True):
+                    out[i] = own
+                at = stop
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # per Python worker, so that words stay known between tasks
@@ -112,9 +154,9 @@ def _tokens(path: str):
         _ENCODERS[path] = encoder
         end = np.array([END], encoder.kind).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                texts = [t or "" for t in part.column("text").to_pylist()]
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
                 ids = [x + end for x in encoder.encode(texts)]
                 size = len(end)
                 yield pa.RecordBatch.from_arrays(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellflux.llm.common import id_fold, materialise, table
 from cellflux.llm.graphs import nearest
 from cellflux.llm.jaccard import near_groups
+from cellflux.llm.lattice import likelihoods, vocabulary
 from cellflux.llm.licences import licence_matches, licence_sql
 from cellflux.llm.mixing import mixed, mixing_sql, word_count
 from cellflux.llm.packing import packed
@@ -21,6 +22,14 @@ from cellflux.session import scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under a subword lattice fitted to four folds of five."""
+    import public_tokenizers
+
+    pieces, start = vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return likelihoods(table(spark, sf_dir, "documents"), pieces, start)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all texts, and how like they are to those of the edited and the next text."""
     prints = edited_pairs(table(spark, sf_dir, "documents"))
@@ -152,6 +161,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_lattice": op2_lattice,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op5_jaccard": op5_jaccard,
