@@ -14,6 +14,7 @@ from cellflux.llm.lattice import likelihoods, vocabulary
 from cellflux.llm.licences import licence_matches, licence_sql
 from cellflux.llm.mixing import mixed, mixing_sql, word_count
 from cellflux.llm.packing import packed
+from cellflux.llm.pages import extracted
 from cellflux.llm.rollup import RollupStore
 from cellflux.llm.simhash import edited_pairs, likeness
 from cellflux.llm.toxicity import fitted, scored
@@ -22,6 +23,11 @@ from cellflux.session import scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every text under a subword lattice fitted to four folds of five."""
     import public_tokenizers
@@ -161,6 +167,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_main_text": op1_main_text,
     "op2_lattice": op2_lattice,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,

@@ -1,4 +1,8 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences, stage by stage.
+
+Each stage takes all documents that the one before kept, with the columns of `documents`; the last
+one gives the pieces of the packed sequences. Null texts are empty texts; an empty table passes through.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellflux.llm.common import materialise, table
+from cellflux.llm.jaccard import BROADCAST_IDS, near_groups
 from cellflux.llm.mixing import mixed
+from cellflux.llm.packing import packed
+from cellflux.llm.queries import word_tokenizer
+from cellflux.llm.toxicity import fitted, scored
+
+TOXIC = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine, fitted on their labels, does not reject."""
+    machine = fitted(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, machine).filter(F.col("_toxicity") < TOXIC).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each near-duplicate group.
+
+    Documents without id are in no group and stay. Of several rows with one id, one stays. Only the ids
+    to be dropped are joined with the texts, and these are broadcast if they are few.
+    """
+    groups = materialise(near_groups(docs), "pipeline-groups")
+    dropped = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    if dropped.count() <= BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    twice = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,9 +48,19 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed(docs).filter("_kept").select(docs.columns)
 
 
-STAGES = [("mix", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 tokens."""
+    return packed(docs, word_tokenizer())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("mixture", mix),
+    ("packing", pack),
+]
 
-# The first stage is a trained model, which SQL cannot express.
+# The first stage is a trained model, and the last a tokenizer's ids, which SQL cannot express.
 ORACLE_SQL = None
 
 
