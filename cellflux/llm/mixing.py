@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellflux.llm.common import WORD, materialise
 
 DIMENSIONS = ("source", "lang", "topic")
-TEMPER = 0.7  # targets of the query: token shares to this power
+TEMPER = 0.85  # targets of the query: token shares to this power
 ITERATIONS = 10
 SEED = "mix-1"
 # A cell table up to this many rows is broadcast; a larger one is joined over salts.

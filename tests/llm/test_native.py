@@ -1,0 +1,142 @@
+"""Fingerprints, mixing, licences and rollups against brute force and SQL."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cellflux.llm import licences, mixing, rollup, simhash
+from cellflux.llm.queries import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_its_sql(spark, duck, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    answer = duck.sql(ORACLES[name])
+    columns = sorted(df.columns)
+    picks = [answer.columns.index(c) for c in columns]
+    got = sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+    assert got == sorted((tuple(r[i] for i in picks) for r in answer.fetchall()), key=repr)
+    assert got
+
+
+def _edited(rows):
+    """(id, length, digest of the edited text) by the definition; missing ids first."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    out = []
+    for i, (doc, text) in enumerate(order):
+        cut, after = len(text) // 4, order[(i + 1) % len(order)][1]
+        edited = text[: len(text) - cut] + after[:cut]
+        out.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_simhash_edits_follow_the_definition(spark, odd_documents, documents, monkeypatch):
+    monkeypatch.setattr(simhash, "ROWS_PER_RANGE", 3)  # several ranges
+    for df in (odd_documents, documents):
+        got = simhash.edited_pairs(df).collect()
+        rows = [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+        assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == _edited(rows)
+        assert all(len(r.fingerprint) == simhash.BITS // 4 for r in got)
+    by_id = {r.doc_id: r for r in simhash.edited_pairs(odd_documents).collect()}
+    assert by_id[4].fingerprint == by_id[7].fingerprint
+    assert int(by_id[1].fingerprint, 16) == int(by_id[3].fingerprint, 16) == 0
+
+
+def test_simhash_likens_copies_more_than_strangers(spark, sf_dir):
+    rows = QUERIES["op3_simhash"](spark, sf_dir).collect()
+    mean = lambda c: sum(r[c] for r in rows) / len(rows)
+    assert mean("near_edited") > 0.72 and mean("near_next") < 0.6
+
+
+def test_simhash_votes_by_hand(spark):
+    rows = spark.createDataFrame([(1, "a b a b c")], "k int, text string")
+    got = simhash.fingerprints(rows, ["k"]).first().fingerprint
+    pairs = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "b"), ("b", "c")], "a string, b string")
+    want = ""
+    for word in range(simhash.BITS // 64):
+        hashes = [r[0] & (2**64 - 1) for r in pairs.select(F.xxhash64(F.lit(word), "a", "b")).collect()]
+        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        want += f"{bits:016x}"
+    assert got == want
+
+
+@pytest.mark.parametrize("radius", [0, 3, 6])
+def test_block_tables_find_all_within_the_radius(spark, radius):
+    draw = random.Random(radius)
+    base = [draw.getrandbits(128) for _ in range(30)]
+    for b in list(base):
+        flipped = b
+        for bit in draw.sample(range(128), draw.randint(1, 8)):
+            flipped ^= 1 << bit
+        base.append(flipped)
+    texts = [f"{b:032x}" for b in base]
+    df = spark.createDataFrame([(t,) for t in [*texts, texts[0], None]], "fingerprint string")
+    got = {(r.query, r.found, r.distance) for r in simhash.near_fingerprints(df, df, radius).collect()}
+    want = {
+        (a, b, (int(a, 16) ^ int(b, 16)).bit_count())
+        for a in texts
+        for b in texts
+        if a != b and (int(a, 16) ^ int(b, 16)).bit_count() <= radius
+    }
+    assert got == want
+
+
+def test_raked_weights_meet_the_targets(spark):
+    cells = spark.createDataFrame(
+        [(s, l, t, 10 * (i + 1) + j * 7 + k) for i, s in enumerate("ab") for j, l in enumerate(["x", None]) for k, t in enumerate("pq")],
+        "source string, lang string, topic string, tokens long",
+    )
+    share = lambda c, *rows: spark.createDataFrame(list(rows), f"{c} string, share double")
+    targets = {
+        "source": share("source", ("a", 0.7), ("b", 0.3)),
+        "lang": share("lang", ("x", 0.4), (None, 0.6)),
+        "topic": share("topic", ("p", 0.5), ("q", 0.5)),
+    }
+    rows = mixing.raked(cells, targets, 30).collect()
+    for column, want in (("source", {"a": 0.7, "b": 0.3}), ("lang", {"x": 0.4, None: 0.6}), ("topic", {"p": 0.5, "q": 0.5})):
+        for value, goal in want.items():
+            assert sum(r.weight for r in rows if r[column] == value) == pytest.approx(goal, abs=1e-6)
+    assert max(r.probability for r in rows) == pytest.approx(1)
+
+
+def test_mixture_of_odd_rows(odd_documents, no_documents, monkeypatch):
+    rows = mixing.mixed(odd_documents).collect()
+    assert len(rows) == odd_documents.count()
+    assert all(0 <= r._probability <= 1 and r._tokens >= 0 for r in rows)
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 0)  # the way of many cells
+    salted = mixing.mixed(odd_documents).collect()
+    assert sorted(map(repr, salted)) == sorted(map(repr, rows))
+    assert mixing.mixed(no_documents).count() == 0
+
+
+def test_licences_of_odd_rows(spark, odd_documents, no_documents):
+    assert licences.licence_matches(odd_documents).count() == 0
+    assert licences.licence_matches(no_documents).count() == 0
+    texts = [(1, "Intro.\nreleased under the MIT license"), (1, "Released under the MIT License."), (2, "released under mit")]
+    got = licences.licence_matches(spark.createDataFrame(texts, "doc_id int, text string")).collect()
+    assert [(r.doc_id, r.template, r.dice, r.units) for r in got] == [(1, "mit", 1.0, 2)]
+
+
+def test_rollup_takes_each_batch_once(spark, tmp_path):
+    def events(*rows):
+        return spark.createDataFrame(
+            list(rows), "source string, lang string, tokenizer string, action string, tokens long, old_tokens long"
+        )
+
+    store = rollup.RollupStore(spark, str(tmp_path / "store"))
+    first = events(("a", "en", "t1", "insert", 10, None), (None, "en", "t1", "insert", None, None), ("a", "en", "t1", None, 5, None))
+    assert store.commit("1", first) and not store.commit("1", first)
+    assert store.commit("2", events(("a", "en", "t1", "revise", 12, 10), ("a", "en", "t2", "insert", 3, None)))
+    assert store.commit("3", events(("a", "en", "t2", "delete", 3, None)))
+    assert store.commit("4", events(("z", "z", "z", "what", 3, None)))  # no effect, but committed
+    assert not store.commit("4", events(("z", "z", "z", "insert", 3, None)))
+    want = {(None, "en", "t1", 1, 0), ("a", "en", "t1", 1, 12)}
+    assert {tuple(r) for r in store.totals().collect()} == want
+    smaller = store.compacted(str(tmp_path / "small"))
+    assert {tuple(r) for r in smaller.totals().collect()} == want
+    assert all(smaller.has(b) for b in "1234") and not smaller.commit("3", first)
+    assert rollup.RollupStore(spark, str(tmp_path / "small")).totals().count() == 2  # opened again
