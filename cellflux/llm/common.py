@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellflux.session import scratch_path
+from cellflux.session import scoped_conf, scratch_path
 
 # Fixed value: a word is a run of anything but these ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,15 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
     """Write to the cluster's shared folder and read back.
 
     Cuts the lineage, so that a lost executor costs no earlier stage, and gives every
-    later use of the result the same rows in the same files.
+    later use of the result the same rows in the same files. `batch` bounds the rows that a
+    Python worker gets at a time, for rows that may be long.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    conf = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch)} if batch else {}
+    with scoped_conf(spark, conf):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
