@@ -30,6 +30,16 @@ def materialise(df: DataFrame, label: str, batch: int | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WORKER: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps in a Python worker between tasks; another operator's goes first."""
+    if owner not in _WORKER:
+        _WORKER.clear()
+    return _WORKER.setdefault(owner, {})
+
+
 def ascii_lower(text: str | Column) -> Column:
     """Lower-case A to Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellflux.llm.common import materialise
+from cellflux.llm.common import materialise, worker_cache
 from cellflux.llm.words import NOT_BLANK, PART, hashed
 
 SEQUENCE = 2048
@@ -19,7 +19,7 @@ END = 1  # the id after each document
 WINDOW_SEQUENCES = 32  # sequences in which the sources meet their shares
 ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 10_000
-_KNOWN_WORDS = 900_000
+_KNOWN_WORDS = 600_000
 _SEPARATOR = "<|endoftext|>"
 _WHOLE = 1 << 23  # bytes; a longer text is not worth a table of its words
 
@@ -145,13 +145,10 @@ class WordEncoder:
         return out
 
 
-_ENCODERS: dict[str, WordEncoder] = {}  # per Python worker, so that words stay known between tasks
-
-
 def _tokens(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(path, None) or WordEncoder(path)
-        _ENCODERS[path] = encoder
+        encoders = worker_cache("encoder")
+        encoder = encoders.get(path) or encoders.setdefault(path, WordEncoder(path))
         end = np.array([END], encoder.kind).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):

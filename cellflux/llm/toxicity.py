@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cellflux.llm.common import id_fold
+from cellflux.llm.common import id_fold, worker_cache
 
 # Bounds of the sample of labelled rows that the machine is fitted on.
 FIT_TOXIC = 1200
@@ -44,7 +44,7 @@ _WIDTH = 32  # longer units are read in overlapping parts of this width
 _STRIDE = _WIDTH - _SPAN + 1
 _PAIRS = [(a, b) for b in range(2, _SPAN) for a in range(1, b)]
 _WEIGHTS = np.array([_DECAY ** (b - 2) for b in range(2, _SPAN)], dtype=np.float32)
-_CACHE = 400_000
+_CACHE = 250_000
 _FLOOR = -2.0  # the score of nothing
 _HIGH = -0.3  # units above this count towards a document's sum
 
@@ -358,9 +358,6 @@ def fitted(documents: DataFrame, labels: DataFrame, fold: int = 0) -> Machine:
     return fit([r.text for r in rows], [r.toxic for r in rows])
 
 
-_SCORES: dict[str, dict[str, float]] = {}  # per Python worker and machine, across tasks
-
-
 def scored(documents: DataFrame, machine: Machine, column: str = "_toxicity") -> DataFrame:
     """Documents with the probability of being toxic, from the whole text.
 
@@ -369,14 +366,12 @@ def scored(documents: DataFrame, machine: Machine, column: str = "_toxicity") ->
     """
     documents = documents.drop(column)
     sent = documents.sparkSession.sparkContext.broadcast(machine)
-    name = f"{machine.bias!r}:{machine.coefficients!r}:{float(np.abs(machine.table).sum())!r}"
+    name = f"toxicity:{machine.bias!r}:{machine.coefficients!r}:{float(np.abs(machine.table).sum())!r}"
     schema = StructType([*documents.schema.fields, StructField(column, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for other in [k for k in _SCORES if k != name]:
-            del _SCORES[other]
-        known = _SCORES.setdefault(name, {})
+        known = worker_cache(name)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
