@@ -33,6 +33,10 @@ class StreamSettings:
     # checkpoint at the first start, so choose it for the cluster's full size.
     state_partitions: int | None = None
     rocksdb_state: bool = True
+    # Tasks that write closed windows, and files per window and batch. With many more cells than
+    # 10,000, raise both.
+    hourly_tasks: int = 8
+    files_per_window: int = 1
     time_limit_seconds: float | None = None
 
     def trigger(self, interval: str) -> dict:

@@ -1,6 +1,6 @@
 """Column expressions; all of them Spark built-ins that stay in generated code."""
 
-from cellflux.functions.event_time import event_day, event_hour, event_instant
+from cellflux.functions.event_time import event_day, event_hour, event_instant, windowed_instant
 from cellflux.functions.measures import repaired, total_columns
 from cellflux.functions.wire import field_value, record_line, strip_line
 
@@ -13,4 +13,5 @@ __all__ = [
     "repaired",
     "strip_line",
     "total_columns",
+    "windowed_instant",
 ]

@@ -16,7 +16,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("input", help="folder of *.txt record files, or a glob")
     p.add_argument("output", help="folder or URI for the datasets")
     p.add_argument(
-        "--regroup-events", action="store_true", help="for input files that mix many dates"
+        "--regroup-events", action="store_true", help="for input files that mix many dates; without it each input split writes a file per date"
+    )
+    p.add_argument(
+        "--any-width", action="store_true", help="survive lines of over a million fields; slower"
     )
     add_time_zone(p)
     add_object_store(p, committer="magic")
@@ -26,8 +29,15 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     settings = Settings(time_zone=args.time_zone)
-    spark = build_session("cellflux-batch", settings, object_store(args))
-    run_batch(spark, args.input, args.output, settings, regroup_events=args.regroup_events)
+    spark = build_session("cellflux-batch", object_store(args))
+    run_batch(
+        spark,
+        args.input,
+        args.output,
+        settings,
+        regroup_events=args.regroup_events,
+        any_width=args.any_width,
+    )
 
 
 if __name__ == "__main__":

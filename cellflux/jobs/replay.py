@@ -6,9 +6,8 @@ import argparse
 from collections.abc import Sequence
 from functools import partial
 
-from cellflux.jobs.options import add_kafka
+from cellflux.jobs.options import add_kafka, add_object_store, number_or_none, object_store
 from cellflux.plans import run_replay
-from cellflux.plans.replay import MAX_LINES
 from cellflux.session import build_session
 from cellflux.sinks import kafka_sink_options, publish_to_kafka, publish_to_text
 
@@ -16,13 +15,16 @@ from cellflux.sinks import kafka_sink_options, publish_to_kafka, publish_to_text
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="Publish the lines of record files")
     p.add_argument("input", help="a *.txt file, a glob, or a folder of *.txt files")
-    p.add_argument("--max-lines", type=int, default=MAX_LINES)
-    p.add_argument("--all-lines", action="store_true", help="no limit")
+    p.add_argument("--max-lines", type=number_or_none, metavar="N|none", help="default: all lines")
+    p.add_argument(
+        "--ordered", action="store_true", help="publish in the order of the files, by one task"
+    )
     p.add_argument(
         "--strip", action="store_true", help="strip lines; loses trailing empty fields"
     )
     p.add_argument("--text-output", help="folder for text files instead of a topic")
     add_kafka(p, required=False)
+    add_object_store(p, committer="magic")
     return p
 
 
@@ -36,9 +38,15 @@ def main(argv: Sequence[str] | None = None) -> None:
         publish = partial(publish_to_kafka, options=options)
     else:
         p.error("give --servers and --topic, or --text-output")
-    spark = build_session("cellflux-replay")
-    limit = None if args.all_lines else args.max_lines
-    run_replay(spark, args.input, publish, max_lines=limit, strip=args.strip)
+    spark = build_session("cellflux-replay", object_store(args))
+    run_replay(
+        spark,
+        args.input,
+        publish,
+        max_lines=args.max_lines,
+        ordered=args.ordered,
+        strip=args.strip,
+    )
 
 
 if __name__ == "__main__":

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellflux.config import Settings
-from cellflux.functions import event_day, event_hour, total_columns
+from cellflux.functions import event_day, event_hour, total_columns, windowed_instant
 from cellflux.schema import DAILY_SCHEMA, HOURLY_SCHEMA, TOTALS, WINDOWED_SCHEMA
 
 
@@ -35,12 +35,13 @@ def tumbling_totals(events: DataFrame, settings: Settings | None = None) -> Data
     """Totals per cell and event-time window; rows without event time have no window."""
     settings = settings or Settings()
     span = F.window("event_time", settings.window).alias("span")
-    totals = events.groupBy(span, "cell_id").agg(*total_columns())
+    timed = events.filter(windowed_instant("event_time").isNotNull())
+    totals = timed.groupBy(span, "cell_id").agg(*total_columns())
     return totals.select(
         F.col("span.start").alias("window_start"),
         F.col("span.end").alias("window_end"),
         "cell_id",
         *TOTALS,
-        event_day("span.start").alias("date"),
-        event_hour("span.start").alias("hour"),
+        event_day("span.start", settings.time_zone).alias("date"),
+        event_hour("span.start", settings.time_zone).alias("hour"),
     ).select(WINDOWED_SCHEMA.fieldNames())

@@ -10,10 +10,11 @@ from cellflux.functions import event_day, event_hour, event_instant, repaired
 from cellflux.schema import MEASURES, RECORD_FIELDS
 
 
-def with_event_time(records: DataFrame) -> DataFrame:
-    """Add `event_time`, `date` and `hour`; all NULL where the timestamp is."""
+def with_event_time(records: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """Add `event_time`, and `date` and `hour` in the settings' zone; all NULL where the timestamp is."""
+    zone = (settings or Settings()).time_zone
     return records.withColumn("event_time", event_instant("timestamp")).withColumns(
-        {"date": event_day("event_time"), "hour": event_hour("event_time")}
+        {"date": event_day("event_time", zone), "hour": event_hour("event_time", zone)}
     )
 
 
@@ -29,5 +30,5 @@ def valid_cells(records: DataFrame, settings: Settings | None = None) -> DataFra
 
 def clean(records: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Records of valid cells, with repaired measures and event time."""
-    cleaned = with_event_time(repair_measures(valid_cells(records, settings)))
+    cleaned = with_event_time(repair_measures(valid_cells(records, settings)), settings)
     return cleaned.select(*RECORD_FIELDS, "event_time", "date", "hour")

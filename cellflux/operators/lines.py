@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from typing import Literal
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellflux.functions import field_value, record_line
 from cellflux.schema import RECORD_FIELDS, RECORD_SCHEMA, SEPARATOR
+from cellflux.session import scratch_path
 
 Arity = Literal["strict", "pad"]
 
@@ -46,12 +48,25 @@ def decode_lines(lines: DataFrame, arity: Arity = "strict") -> DataFrame:
     )
 
 
-def file_order() -> list[Column]:
-    """Sort columns that put the rows of a text scan in the order of their files.
+def head_lines(lines: DataFrame, limit: int, order: list[Column]) -> DataFrame:
+    """The first `limit` lines under a stated order, as a top-k: no full sort is made.
 
-    Spark reads a file in blocks and gives no order among them. Within a block,
-    ids of one scan increase line by line.
+    One task merges the result, in that order. For heads of files, see `head_of_files`.
     """
+    return lines.orderBy(*order).limit(limit).select("value")
+
+
+_PLACE = ["path", "block", "line"]
+
+
+def file_order(lines: DataFrame) -> list[Column]:
+    """Sort columns that put lines of text files in the order of their files.
+
+    Spark reads a file in blocks and gives no order among them. Within a block, ids of one scan
+    increase line by line. A head has these columns from the scan that cut it.
+    """
+    if set(_PLACE) <= set(lines.columns):
+        return [lines[c] for c in _PLACE]
     return [
         F.col("_metadata.file_path"),
         F.col("_metadata.file_block_start"),
@@ -59,39 +74,57 @@ def file_order() -> list[Column]:
     ]
 
 
-def head_lines(lines: DataFrame, limit: int, order: list[Column]) -> DataFrame:
-    """The first `limit` lines under a stated order, as a top-k: no full sort is made.
+def _placed(lines: DataFrame) -> DataFrame:
+    path, block, line = file_order(lines)
+    return lines.select("value", path.alias("path"), block.alias("block"), line.alias("line"))
 
-    One task merges the result, in that order. For long heads of files, see `head_of_files`.
-    """
-    return lines.orderBy(*order).limit(limit).select("value")
+
+def _name(path: str) -> str:
+    """One spelling of a path, which Spark's listing and its scans write differently."""
+    return unquote(path).replace(":///", ":/")
 
 
 def head_of_files(lines: DataFrame, limit: int) -> DataFrame:
-    """The first `limit` lines of a text scan in file order, of any length and in any number
-    of tasks; the lines are the same as those of `head_lines`, without their order.
+    """The first `limit` lines of a scan of text files, in the order of the files' paths.
 
-    A first scan counts the lines of each file block and finds the block in which the
-    head ends; the result is a filter on that place. Only the counts, one row per block,
-    come together in one task.
+    Files are counted in groups that double, until they hold enough lines: no later file is read. All
+    files but the last are taken whole. Lines of the last one, where the head ends, are written
+    with their places once, to the shared folder; its blocks are counted and cut there, so that nothing depends on how
+    Spark splits a file from one scan to the next. The driver gets one row per file looked at.
     """
-    path, block, line = file_order()
-    placed = lines.select("value", path.alias("path"), block.alias("block"), line.alias("line"))
-    blocks = placed.groupBy("path", "block").agg(
-        F.count(F.lit(1)).alias("lines"), F.min("line").alias("first")
-    )
-    through = F.sum("lines").over(Window.orderBy("path", "block"))
-    end = (
-        blocks.withColumn("through", through)
-        .filter(F.col("through") >= limit)
-        .orderBy("through")
-        .first()
+    spark = lines.sparkSession
+    paths = sorted(lines.inputFiles())
+    before, at, step = 0, 0, 1
+    while at < len(paths):
+        group = paths[at : at + step]
+        counts = {
+            _name(r.path): r.lines
+            for r in spark.read.text(group)
+            .groupBy(F.col("_metadata.file_path").alias("path"))
+            .agg(F.count(F.lit(1)).alias("lines"))
+            .collect()
+        }
+        for path in group:
+            own = counts.get(_name(path), 0)
+            if before + own >= limit:
+                return _cut(spark, paths[: paths.index(path)], path, limit - before)
+            before += own
+        at, step = at + step, step * 2
+    return _placed(lines)  # fewer lines than the limit
+
+
+def _cut(spark: SparkSession, whole: list[str], last: str, room: int) -> DataFrame:
+    """All lines of the files `whole`, and the first `room` ones of `last`."""
+    path = scratch_path(spark, "head")
+    _placed(spark.read.text(last)).write.parquet(path)
+    placed = spark.read.parquet(path)
+    blocks = placed.groupBy("block").agg(F.count(F.lit(1)).alias("lines"), F.min("line").alias("first"))
+    through = F.sum("lines").over(Window.orderBy("block"))  # the blocks of one file
+    starts = blocks.select(
+        F.col("block").alias("_block"), "first", (through - F.col("lines")).alias("ahead")
     )
-    if end is None:  # fewer lines than the limit
-        return lines.select("value")
-    room = limit - (end.through - end.lines)
-    before = (F.col("path") < end.path) | (
-        (F.col("path") == end.path) & (F.col("block") < end.block)
+    cut = placed.join(starts, F.col("block") == F.col("_block")).filter(
+        F.col("ahead") + F.col("line") - F.col("first") < room
     )
-    last = (F.col("path") == end.path) & (F.col("block") == end.block)
-    return placed.filter(before | (last & (F.col("line") < end.first + room))).select("value")
+    cut = cut.select("value", *_PLACE)
+    return _placed(spark.read.text(whole)).unionByName(cut) if whole else cut

@@ -13,7 +13,6 @@ from pyspark.sql import SparkSession
 
 from cellflux.config import Settings
 from cellflux.operators import clean, daily_from_hourly, hourly_totals
-from cellflux.session import use_time_zone
 from cellflux.sinks import write_daily, write_events, write_hourly
 from cellflux.sources import read_events, read_hourly, read_records
 
@@ -47,11 +46,14 @@ def run_batch(
     settings: Settings | None = None,
     *,
     regroup_events: bool = False,
+    any_width: bool = False,
 ) -> BatchPaths:
-    """`regroup_events` is for input files that mix many dates; see `write_events`."""
-    use_time_zone(spark, settings)
+    """`regroup_events` is for input files that mix many dates; see `write_events`.
+
+    `any_width` is for files with lines of more than a million fields; see `read_records`.
+    """
     paths = BatchPaths(output)
-    events = clean(read_records(spark, input_path), settings)
+    events = clean(read_records(spark, input_path, any_width=any_width), settings)
     write_events(events, paths.events, regroup=regroup_events)
     write_hourly(hourly_totals(read_events(spark, paths.events)), paths.hourly)
     write_daily(daily_from_hourly(read_hourly(spark, paths.hourly)), paths.daily)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellflux.config import StreamSettings
+from cellflux.config import Settings, StreamSettings
 from cellflux.functions import record_line, repaired, strip_line
 from cellflux.operators import (
     clean,
@@ -32,7 +32,7 @@ from cellflux.plans.batch import run_batch
 from cellflux.plans.replay import run_replay
 from cellflux.plans.stream import StreamPaths, run_stream
 from cellflux.schema import MEASURES, RECORD_FIELDS, TOTALS
-from cellflux.session import scoped_conf, scratch_path, use_time_zone
+from cellflux.session import scoped_conf, scratch_path
 from cellflux.sinks import publish_to_text, write_daily, write_events, write_hourly
 from cellflux.sources import (
     read_daily,
@@ -56,7 +56,8 @@ def query(name: str) -> Callable[[Query], Query]:
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(use_time_zone(spark), sf_dir)
+            with scoped_conf(spark, {"spark.sql.session.timeZone": "UTC"}):
+                return function(spark, sf_dir)
 
         QUERIES[name] = run
         return function
@@ -141,12 +142,17 @@ def _typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tsv_scan")
 def _tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_records(spark, _written_lines(spark, encode_records(_records(spark, sf_dir))))
+    """Five files, and one with another suffix, which holds the first lines once more and is not read."""
+    lines = encode_records(_records(spark, sf_dir))
+    path = _written_lines(spark, lines.repartition(5))
+    lines.limit(100).write.option("compression", "gzip").mode("append").text(path)
+    return read_records(spark, path)
 
 
 @query("tsv_malformed")
 def _tsv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = read_records(spark, _written_lines(spark, _damaged_lines(spark, sf_dir)))
+    path = _written_lines(spark, _damaged_lines(spark, sf_dir))
+    records = read_records(spark, path, any_width=True)
     return _as_text(records, "cell_id", "timestamp")
 
 
@@ -185,7 +191,7 @@ def _publish_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record files replayed whole to the text sink, then decoded."""
     source = _written_lines(spark, encode_records(_records(spark, sf_dir)))
     sink = scratch_path(spark, "published")
-    run_replay(spark, source, lambda lines: publish_to_text(lines, sink), max_lines=None)
+    run_replay(spark, source, lambda lines: publish_to_text(lines, sink))
     return decode_lines(spark.read.text(sink))
 
 
@@ -208,14 +214,22 @@ def _replay_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The replay job: the first lines of the files to the text sink."""
     sink = scratch_path(spark, "published")
     source = _ordered_files(spark, sf_dir)
-    run_replay(spark, source, lambda lines: publish_to_text(lines, sink))
+    run_replay(
+        spark,
+        source,
+        lambda lines: publish_to_text(lines, sink),
+        max_lines=REPLAY_HEAD,
+        ordered=True,
+    )
     return spark.read.text(sink)
 
 
 @query("replay_long_head")
 def _replay_long_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same head by its place in the files."""
-    return head_of_files(read_lines(spark, _ordered_files(spark, sf_dir)), REPLAY_HEAD)
+    return head_of_files(read_lines(spark, _ordered_files(spark, sf_dir)), REPLAY_HEAD).select(
+        "value"
+    )
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -293,9 +307,9 @@ def _tumbling_by_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hourly_totals_zone")
 def _hourly_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same instants in a zone half an hour off: other dates and hours."""
-    records = records_from_events(spark, sf_dir, valid_only=True)
-    with scoped_conf(spark, {"spark.sql.session.timeZone": "+05:30"}):
-        return _show_hourly(hourly_totals(clean(records)))
+    return _show_hourly(
+        hourly_totals(clean(records_from_events(spark, sf_dir), Settings(time_zone="+05:30")))
+    )
 
 
 @query("malformed_daily_totals")
@@ -404,6 +418,24 @@ def _stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_hourly(read_hourly(spark, out))
 
 
+@query("stream_hourly_steps")
+def _stream_hourly_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five files in the order of time, one per trigger; the last holds rows without a time too."""
+    records = _records(spark, sf_dir)
+    span = records.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    source, out = scratch_path(spark, "lines"), scratch_path(spark, "streamed_hourly")
+    step = F.coalesce(
+        F.floor((F.col("timestamp") - span.lo) * 5 / F.lit(span.hi - span.lo + 1)), F.lit(4)
+    )
+    for number in range(5):  # one after the other, as a stream takes files by their time of arrival
+        _arrive(encode_records(records.filter(step == number)).coalesce(1), source)
+    events = clean(decode_lines(stream_text_lines(spark, source, max_files_per_trigger=1)))
+    checkpoint = scratch_path(spark, "progress")
+    running = start_hourly(events, out, checkpoint, stream=_stream_settings(spark))
+    supervise([running], until_all_end=True)
+    return _show_hourly(read_hourly(spark, out))
+
+
 @query("stream_late")
 def _stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table arrives twice. The second time, every row of a closed window is late."""
@@ -418,13 +450,14 @@ def _stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_restart")
 def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two halves in time; the query ends after the first and resumes from its checkpoint."""
+    """Two halves in time, rows without one in the second; the query ends after the first and resumes from its checkpoint."""
     records = _records(spark, sf_dir)
     span = records.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     middle = (span.lo + span.hi) // 2
     source, out = scratch_path(spark, "lines"), scratch_path(spark, "streamed_hourly")
     checkpoint = scratch_path(spark, "progress")
-    for half in (F.col("timestamp") < middle, F.col("timestamp") >= middle):
+    early = F.coalesce(F.col("timestamp") < middle, F.lit(False))
+    for half in (early, ~early):
         _arrive(encode_records(records.filter(half)), source)
         _drain_hourly(spark, source, out, checkpoint)
     return _show_hourly(read_hourly(spark, out))

@@ -201,6 +201,7 @@ cleaned AS (
     "batch_job_daily": _DAILY,
     "stream_clean": _CLEAN_EVENTS,
     "stream_hourly": _STREAM_HOURLY,
+    "stream_hourly_steps": _STREAM_HOURLY,
     "stream_late": _STREAM_HOURLY,
     "stream_restart": _STREAM_HOURLY,
     "stream_job_events": _CLEAN_EVENTS,

@@ -7,28 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cellflux.functions import strip_line
-from cellflux.operators import file_order, head_lines, head_of_files
+from cellflux.operators import file_order, head_of_files
 from cellflux.sources import read_lines
 
-# Fixed value: lines replayed unless told otherwise.
-MAX_LINES = 5000
-
-# Up to here the head is a top-k, which one task merges and publishes in file order.
-TOP_K_LINES = 1_000_000
-
 
 def replay_lines(
-    spark: SparkSession, path: str, *, max_lines: int | None = MAX_LINES, strip: bool = False
+    spark: SparkSession,
+    path: str,
+    *,
+    max_lines: int | None = None,
+    ordered: bool = False,
+    strip: bool = False,
 ) -> DataFrame:
-    """The first lines of the files, or all lines with ``max_lines=None``."""
+    """All lines of the files, or the first `max_lines` in the order of their paths.
+
+    `ordered` brings them into one task in the order of the files; otherwise as many tasks as read them
+    have them in no order. The lines are the same.
+    """
     lines = read_lines(spark, path)
-    if max_lines is not None and max_lines <= TOP_K_LINES:
-        lines = head_lines(lines, max_lines, file_order())
-    elif max_lines is not None:
+    if max_lines is not None:
         lines = head_of_files(lines, max_lines)
-    if strip:
-        lines = lines.select(strip_line("value").alias("value"))
-    return lines
+    if ordered:
+        lines = lines.orderBy(*file_order(lines)).coalesce(1)
+    value = strip_line("value") if strip else lines["value"]
+    return lines.select(value.alias("value"))
 
 
 def run_replay(
@@ -36,7 +38,8 @@ def run_replay(
     path: str,
     publish: Callable[[DataFrame], None],
     *,
-    max_lines: int | None = MAX_LINES,
+    max_lines: int | None = None,
+    ordered: bool = False,
     strip: bool = False,
 ) -> None:
-    publish(replay_lines(spark, path, max_lines=max_lines, strip=strip))
+    publish(replay_lines(spark, path, max_lines=max_lines, ordered=ordered, strip=strip))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from cellflux.config import Settings, StreamSettings
 from cellflux.operators import clean, decode_lines
-from cellflux.session import use_time_zone
 from cellflux.streaming import Outcome, start_both, supervise
 
 
@@ -42,7 +41,6 @@ def run_stream(
     stream: StreamSettings | None = None,
 ) -> Outcome:
     """Run both queries on a streaming `value` column until they end or the time is up."""
-    use_time_zone(lines.sparkSession, settings)
     stream = stream or StreamSettings()
     paths = StreamPaths(output)
     queries = start_both(

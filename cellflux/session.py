@@ -7,10 +7,9 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-from cellflux.config import Settings
-
 # Values for the jobs where the submitter has given none.
 _JOB_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -22,34 +21,27 @@ _JOB_DEFAULTS = {
     "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Unlike Spark's default type, this one has statistics that filters can use.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Adaptive execution merges small shuffle partitions but cannot split a total's large
+    # ones. This does not depend on the cores that have registered so far.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
 }
 
-# Adaptive execution merges small shuffle partitions but cannot split a total's
-# large ones, so the jobs start from several per core.
-_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-_PARTITIONS_PER_CORE = 4
 
 
 def build_session(
-    app_name: str, settings: Settings | None = None, extra: Mapping[str, str] | None = None
+    app_name: str, extra: Mapping[str, str] | None = None
 ) -> SparkSession:
     """A session for the jobs. What spark-submit sets, cluster size and memory above all, stays."""
     builder = SparkSession.builder.appName(app_name)
+    submitted = SparkConf()  # with the properties that spark-submit gave to this process
     for key, value in (extra or {}).items():
-        builder = builder.config(key, value)
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     given = spark.sparkContext.getConf()
-    cores = spark.sparkContext.defaultParallelism
-    defaults = {**_JOB_DEFAULTS, _INITIAL_PARTITIONS: str(max(200, _PARTITIONS_PER_CORE * cores))}
-    for key, value in defaults.items():
+    for key, value in _JOB_DEFAULTS.items():
         if not given.contains(key):
             spark.conf.set(key, value)
-    return use_time_zone(spark, settings)
-
-
-def use_time_zone(spark: SparkSession, settings: Settings | None = None) -> SparkSession:
-    """Pin the zone in which `date` and `hour` are computed."""
-    spark.conf.set("spark.sql.session.timeZone", (settings or Settings()).time_zone)
     return spark
 
 

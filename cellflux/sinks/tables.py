@@ -13,15 +13,18 @@ def _replace(df: DataFrame, path: str, keys: list[str]) -> None:
     writer.partitionBy(*keys).parquet(path)
 
 
-def _one_file_per_partition(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Send each partition folder to one task, over as many tasks as the cluster runs at once.
+def _regrouped(df: DataFrame, path: str, keys: list[str], task_bytes: str) -> None:
+    """Write with the rows of each folder together, in tasks of about `task_bytes`.
 
-    For totals only: a folder then holds one row per cell, 10,000 at most. Without
-    this, every task of the aggregation would leave a small file in every folder.
-    The number is stated so that adaptive execution does not merge the tasks: what
-    takes time here is the count of files, not the bytes.
+    Adaptive execution merges small folders into one task and splits one that is larger over
+    several, whatever the cluster's size and whichever folder is hot.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+    adaptive = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes,
+    }
+    with scoped_conf(df.sparkSession, adaptive):
+        _replace(df.hint("rebalance", *keys), path, keys)
 
 
 def write_events(
@@ -34,20 +37,20 @@ def write_events(
     rows of a date together in one shuffle, in tasks of about `task_bytes`. Adaptive
     execution splits a date that is larger over several tasks and merges smaller ones.
     """
-    if not regroup:
+    if regroup:
+        _regrouped(events, path, EVENTS_PARTITIONS, task_bytes)
+    else:
         _replace(events, path, EVENTS_PARTITIONS)
-        return
-    adaptive = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes,
-    }
-    with scoped_conf(events.sparkSession, adaptive):
-        _replace(events.hint("rebalance", *EVENTS_PARTITIONS), path, EVENTS_PARTITIONS)
 
 
-def write_daily(daily: DataFrame, path: str) -> None:
-    _replace(_one_file_per_partition(daily, DAILY_PARTITIONS), path, DAILY_PARTITIONS)
+# Totals are small and their folders many. What takes time is the count of files, not the
+# bytes, so tasks are small; a usual folder (10,000 cells) still fits into one.
+_TOTALS_TASK = "1m"
+
+
+def write_daily(daily: DataFrame, path: str, *, task_bytes: str = _TOTALS_TASK) -> None:
+    _regrouped(daily, path, DAILY_PARTITIONS, task_bytes)
 
 
-def write_hourly(hourly: DataFrame, path: str) -> None:
-    _replace(_one_file_per_partition(hourly, HOURLY_PARTITIONS), path, HOURLY_PARTITIONS)
+def write_hourly(hourly: DataFrame, path: str, *, task_bytes: str = _TOTALS_TASK) -> None:
+    _regrouped(hourly, path, HOURLY_PARTITIONS, task_bytes)

@@ -7,6 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
+_ANY_AGE = "36500d"
+
+
 def kafka_options(
     servers: str,
     topic: str,
@@ -52,8 +55,13 @@ def stream_text_lines(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """Lines of the text files in a folder as `value`, oldest file first."""
+    """Lines of the text files in a folder as `value`, oldest file first.
+
+    However old a file is, it is read: Spark would by default leave out files a week older than
+    the newest it has seen. The price is a log of all files ever seen, which is kept in the checkpoint.
+    """
     options = {
+        "maxFileAge": _ANY_AGE,
         "maxFilesPerTrigger": max_files_per_trigger,
         "maxBytesPerTrigger": max_bytes_per_trigger,
     }

@@ -9,6 +9,7 @@ Spark, which follows the sink's commit log.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cellflux.config import Settings, StreamSettings
@@ -63,11 +64,16 @@ def start_hourly(
 ) -> StreamingQuery:
     """Append finished hourly windows by date and hour.
 
-    The closed windows of a micro-batch are regrouped so that each folder gets one
-    file per batch: a window has one row per cell, 10,000 at most.
+    The closed windows of a micro-batch are regrouped so that each folder gets
+    `stream.files_per_window` files per batch. That shuffle has a width of its own: it carries a row
+    per closed window and cell, far less than the state.
     """
     stream = stream or StreamSettings()
-    totals = streamed_hourly_totals(events, settings).repartition(*HOURLY_PARTITIONS)
+    totals = streamed_hourly_totals(events, settings)
+    keys = [F.col(c) for c in HOURLY_PARTITIONS]
+    if stream.files_per_window > 1:
+        keys.append(F.pmod(F.xxhash64("cell_id"), F.lit(stream.files_per_window)))
+    totals = totals.repartition(stream.hourly_tasks, *keys)
     conf = {}
     if stream.rocksdb_state:
         conf["spark.sql.streaming.stateStore.providerClass"] = _ROCKSDB

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellflux.config import Settings
 from cellflux.functions import field_value, record_line, repaired, strip_line
 from cellflux.operators import decode_lines, encode_records, with_event_time
 from cellflux.schema import RECORD_SCHEMA
@@ -38,9 +41,17 @@ def test_event_time_before_1970_goes_down(spark):
     assert parts(spark, -500) == [("1969-12-31 23:59:59.500", "1969-12-31", 23)]
 
 
-def test_event_time_follows_the_zone(spark):
-    with scoped_conf(spark, {"spark.sql.session.timeZone": "Europe/Rome"}):
-        assert parts(spark, 1383260400000) == [("2013-11-01 00:00:00.000", "2013-11-01", 0)]
+@pytest.mark.parametrize("session_zone", ["UTC", "Europe/Rome", "Asia/Kolkata"])
+def test_date_and_hour_are_in_the_settings_zone(spark, session_zone):
+    millis = [1383260400000, 1382830200000, 1382833800000, -1]  # two of them when Rome's clock repeats an hour
+    df = spark.createDataFrame([(m,) for m in millis], "timestamp long")
+    with scoped_conf(spark, {"spark.sql.session.timeZone": session_zone}):
+        for zone in ("UTC", "Europe/Rome", "+05:30"):
+            timed = with_event_time(df, Settings(time_zone=zone)).select("timestamp", "date", "hour")
+            local = timezone(timedelta(hours=5, minutes=30)) if zone[0] == "+" else ZoneInfo(zone)
+            for row in timed.collect():
+                want = datetime.fromtimestamp(row.timestamp / 1000, local)
+                assert (row.date, row.hour) == (want.date(), want.hour)
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

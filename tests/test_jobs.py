@@ -53,7 +53,7 @@ def test_batch_job_without_input_fails_and_writes_nothing(tmp_path):
 
 def test_replay_then_stream(spark, sf_dir, record_folder, tmp_path):
     published, out = str(tmp_path / "published"), str(tmp_path / "out")
-    replay.main([record_folder, "--all-lines", "--text-output", published])
+    replay.main([record_folder, "--text-output", published])
     stream.main(
         [out, str(tmp_path / "cp"), "--text-input", published, "--available-now",
          "--state-partitions", "4"]
@@ -72,7 +72,7 @@ def test_replay_limit_and_strip(spark, line_file, tmp_path):
     out = str(tmp_path / "head")
     replay.main([folder, "--max-lines", "3", "--strip", "--text-output", out])
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["0", "1", "2"]
-    assert replay.parser().parse_args([folder]).max_lines == 5000
+    assert replay.parser().parse_args([folder]).max_lines is None
 
 
 def test_stream_and_batch_hourly_paths_differ():
@@ -124,6 +124,66 @@ def test_object_store_options_of_the_jobs():
     assert options.object_store(args) == object_store_conf(committer="directory")
 
 
+def test_bounds_can_be_left_out():
+    parse = stream.parser().parse_args
+    bounds = ["--max-offsets-per-trigger", "none", "--max-records-per-task", "none"]
+    args = parse(["o", "c", *bounds])
+    assert args.max_offsets_per_trigger is args.max_records_per_task is None
+    kept = parse(["o", "c", "--max-files-per-trigger", "2", "--max-bytes-per-trigger", "1g"])
+    assert (kept.max_offsets_per_trigger, kept.max_files_per_trigger) == (10_000_000, 2)
+    for bad in ("0", "-1"):
+        with pytest.raises(SystemExit):
+            parse(["o", "c", "--max-files-per-trigger", bad])
+
+
+def test_replay_and_path_style_options():
+    args = replay.parser().parse_args(["i", "--s3a", "--s3a-virtual-hosts", "--max-lines", "none"])
+    conf = options.object_store(args)
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "false" and args.max_lines is None
+
+
+def test_a_stopped_query_is_not_a_success(monkeypatch, tmp_path):
+    monkeypatch.setattr(stream, "run_stream", lambda *a: "stopped")
+    with pytest.raises(SystemExit) as ended:
+        stream.main([str(tmp_path / "o"), str(tmp_path / "c"), "--text-input", str(tmp_path)])
+    assert ended.value.code not in (0, None)
+
+
+def test_submitted_settings_win_over_those_of_the_job(spark, monkeypatch):
+    import cellflux.session as session
+
+    given = []
+
+    class Builder:
+        def appName(self, _):
+            return self
+
+        def config(self, key, value):
+            given.append(key)
+            return self
+
+        def getOrCreate(self):
+            return spark
+
+    class Submitted:
+        def contains(self, key):
+            return key == "spark.hadoop.fs.s3a.endpoint"
+
+    monkeypatch.setattr(session, "SparkConf", Submitted)
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    build_session("x", {"spark.hadoop.fs.s3a.endpoint": "a", "spark.x": "b"})
+    assert given == ["spark.x"]
+
+
+def test_runs_leave_the_session_zone(spark, line_file, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    folder = line_file(["1\t1383260400000\t39\t1\t2\t3\t4\t5"])
+    batch.main([folder, str(tmp_path / "o"), "--time-zone", "Europe/Rome"])
+    assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    (row,) = read_hourly(spark, BatchPaths(str(tmp_path / "o")).hourly).collect()
+    assert (str(row.date), row.hour) == ("2013-11-01", 0)
+
+
 def test_job_session_keeps_what_was_submitted(spark):
     session = build_session("again")
     assert session.sparkContext is spark.sparkContext

@@ -13,7 +13,7 @@ from cellflux.plans import replay_lines
 from cellflux.session import scoped_conf
 from cellflux.sources import read_lines, read_records
 
-from helpers import lines_df
+from helpers import lines_df, plan_of
 
 T0 = 1383260400000
 
@@ -185,7 +185,7 @@ def test_head_is_in_file_order_across_blocks(spark, line_file):
     lines = [f"{i}\tx" for i in range(5000)]
     folder = line_file(lines)
     with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "4000"}):
-        head = replay_lines(spark, f"{folder}/records.txt", max_lines=3000)
+        head = replay_lines(spark, f"{folder}/records.txt", max_lines=3000, ordered=True)
         assert spark.read.text(folder).rdd.getNumPartitions() > 5
         assert [r.value for r in head.collect()] == lines[:3000]
 
@@ -193,47 +193,64 @@ def test_head_is_in_file_order_across_blocks(spark, line_file):
 def test_head_goes_through_files_by_name(spark, line_file):
     line_file(["c", "d"], name="b.txt")
     folder = line_file(["a", "b"], name="a.txt")
-    got = replay_lines(spark, f"{folder}/*.txt", max_lines=3).collect()
+    got = replay_lines(spark, f"{folder}/*.txt", max_lines=3, ordered=True).collect()
     assert [r.value for r in got] == ["a", "b", "c"]
 
 
+def heads(spark, folder, limit):
+    return sorted(r.value for r in head_of_files(read_lines(spark, folder), limit).collect())
+
+
 @pytest.mark.parametrize("limit", [1, 999, 1000, 1001, 2500, 3999, 4000, 9999])
-def test_long_head_is_the_same_as_the_top_k(spark, line_file, limit):
+def test_head_of_files_is_the_same_as_the_top_k(spark, line_file, limit):
     line_file([f"b{i}\tx" for i in range(1000)], name="b.txt")
     line_file([f"c{i}\tx" for i in range(2000)], name="c.txt")
     folder = line_file([f"a{i}\tx" for i in range(1000)], name="a.txt")
     with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "1500"}):
         lines = read_lines(spark, folder)
         assert lines.rdd.getNumPartitions() > 8
-        long, top = head_of_files(lines, limit), head_lines(lines, limit, file_order())
-        assert long.rdd.getNumPartitions() > 8
-        assert sorted(r.value for r in long.collect()) == sorted(r.value for r in top.collect())
+        top = head_lines(lines, limit, file_order(lines))
+        assert heads(spark, folder, limit) == sorted(r.value for r in top.collect())
 
 
-def test_long_head_with_several_files_per_task(spark, line_file):
+def test_head_does_not_depend_on_the_splits(spark, line_file):
+    for name in "abcdef":
+        folder = line_file([f"{name}{i:05}" for i in range(2000)], name=f"{name}.txt")
+    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "4000"}):
+        head = head_of_files(read_lines(spark, folder), 5000)
+    for conf in (
+        {"spark.sql.files.maxPartitionBytes": "900"},
+        {"spark.sql.files.minPartitionNum": "64", "spark.sql.files.openCostInBytes": "1"},
+    ):
+        with scoped_conf(spark, conf):
+            got = sorted(r.value for r in head.select("value").collect())
+            assert got == [f"{n}{i:05}" for n in "abc" for i in range(2000)][:5000]
+    assert not any(name in plan_of(head) for name in ("d.txt", "e.txt", "f.txt"))
+    assert sorted(f.rsplit("/", 1)[1] for f in head.inputFiles() if f.endswith(".txt")) == ["a.txt", "b.txt"]
+
+
+def test_head_with_several_files_per_task(spark, line_file):
     """Spark packs small files into one task, the largest first."""
     for i, name in enumerate("dbca"):
         folder = line_file([f"{name}{j}" for j in range(10 * (i + 1))], name=f"{name}.txt")
     lines = read_lines(spark, folder)
     with scoped_conf(spark, {"spark.sql.files.openCostInBytes": "0"}):
         for limit in (5, 40, 45, 70, 71, 99, 100):
-            got = sorted(r.value for r in head_of_files(lines, limit).collect())
-            want = sorted(r.value for r in head_lines(lines, limit, file_order()).collect())
-            assert got == want and len(got) == limit
-
-
-def test_replay_uses_the_long_head_beyond_the_top_k(spark, line_file, monkeypatch):
-    import cellflux.plans.replay as replay
-
-    monkeypatch.setattr(replay, "TOP_K_LINES", 10)
-    folder = line_file([str(i) for i in range(50)])
-    got = replay.replay_lines(spark, folder, max_lines=20).collect()
-    assert sorted(int(r.value) for r in got) == list(range(20))
+            want = sorted(r.value for r in head_lines(lines, limit, file_order(lines)).collect())
+            assert heads(spark, folder, limit) == want and len(want) == limit
 
 
 def test_replay_without_limit_is_whole(spark, line_file):
     folder = line_file([f"{i}\t " for i in range(6000)])
-    assert replay_lines(spark, folder, max_lines=None).distinct().count() == 6000
-    assert replay_lines(spark, folder).count() == 5000
-    stripped = replay_lines(spark, folder, max_lines=2, strip=True).collect()
-    assert [r.value for r in stripped] == ["0", "1"]
+    assert replay_lines(spark, folder).distinct().count() == 6000
+    ordered = replay_lines(spark, folder, max_lines=2, strip=True, ordered=True)
+    assert [r.value for r in ordered.collect()] == ["0", "1"]
+
+
+def test_a_line_of_a_million_fields_is_a_long_line(spark, line_file):
+    long = "7\t1383260400000\t39\t1\t2\t3\t4\t5" + "\t6" * 1_000_002
+    quoted = '"8"\t1383260400000\t39\t1\t2\t3\t4\t"5"\t"' + "x" * 30_000
+    folder = line_file([long, quoted, "9\t1383260400000\t39\t1\t2\t3\t4\t5"])
+    rows = read_records(spark, folder, any_width=True).orderBy("cell_id").collect()
+    assert [tuple(r)[1:] for r in rows] == [tuple(rows[2])[1:]] * 3
+    assert [r.cell_id for r in rows] == [7, 8, 9]

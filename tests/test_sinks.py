@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cellflux.operators import clean, daily_totals, encode_records, hourly_totals
-from cellflux.schema import DAILY_SCHEMA, EVENTS_SCHEMA, HOURLY_SCHEMA, RECORD_SCHEMA
+from cellflux.schema import DAILY_SCHEMA, EVENTS_SCHEMA, HOURLY_SCHEMA, RECORD_SCHEMA, TOTALS
 from cellflux.session import scoped_conf
 from cellflux.sinks import (
     kafka_sink_options,
@@ -182,3 +182,15 @@ def test_kafka_sink_options():
 def test_missing_kafka_connector_is_reported(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         publish_to_kafka(lines_df(spark, ["a"]), kafka_options("h:1", "t"))
+
+
+def test_a_large_folder_is_written_by_several_tasks(spark, tmp_path):
+    hot = spark.range(200_000).select(
+        F.lit("2013-11-01").cast("date").alias("date"),
+        F.lit(5).alias("hour"),
+        F.col("id").cast("int").alias("cell_id"),
+        *[F.rand(i).alias(t) for i, t in enumerate(TOTALS)],
+    )
+    write_hourly(hot, str(tmp_path / "h"), task_bytes="256k")
+    assert len(parquet_files(tmp_path / "h")) > 4
+    assert read_hourly(spark, str(tmp_path / "h")).count() == 200_000

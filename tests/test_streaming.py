@@ -409,3 +409,31 @@ def test_replayed_table_is_late_in_full(spark, sf_dir):
     """The catalogue's late query against the same table streamed once."""
     once, twice = (QUERIES[n](spark, sf_dir) for n in ("stream_hourly", "stream_late"))
     assert rounded(once) == rounded(twice)
+
+
+def test_old_files_are_read(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    now = time.time()
+    for name, age in (("new", 0), ("old", 8 * 24 * 3600), ("newer", -5)):
+        (folder / f"{name}.txt").write_text(f"{name}\n")
+        at_time(folder / f"{name}.txt", now - age)
+        query = (
+            stream_text_lines(spark, str(folder)).writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out)
+        )
+        query.awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == ["new", "newer", "old"]
+
+
+def test_a_window_is_spread_over_the_files_asked_for(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    hot = [f"{i}\t{T}\t39\t1\t2\t3\t4\t5" for T in (1383260400000, 1383270400000) for i in range(1, 200)]
+    (folder / "a.txt").write_text("".join(line + "\n" for line in [*hot, "1\t1383360400000\t39\t1\t2\t3\t4\t5"]))
+    stream = StreamSettings(available_now=True, state_partitions=4, files_per_window=4)
+    events = clean(decode_lines(stream_text_lines(spark, str(folder))))
+    running = start_hourly(events, str(tmp_path / "o"), str(tmp_path / "cp"), stream=stream)
+    supervise([running], until_all_end=True)
+    assert len(parquet_files(str(tmp_path / "o"))) > 4
+    assert read_hourly(spark, str(tmp_path / "o")).count() == 398

@@ -125,8 +125,10 @@ def test_extreme_timestamps_fail_nothing(spark, ansi, sign):
 def test_zone_decides_the_day(spark):
     df = records(spark, row(1, 1383260400000))
     assert [str(r.date) for r in daily_totals(clean(df)).collect()] == ["2013-10-31"]
-    with scoped_conf(spark, {"spark.sql.session.timeZone": "Europe/Rome"}):
-        assert [str(r.date) for r in daily_totals(clean(df)).collect()] == ["2013-11-01"]
+    rome = daily_totals(clean(df, Settings(time_zone="Europe/Rome")))
+    assert [str(r.date) for r in rome.collect()] == ["2013-11-01"]
+    hours = tumbling_totals(clean(df), Settings(time_zone="Europe/Rome")).select("date", "hour")
+    assert [(str(d), h) for d, h in hours.collect()] == [("2013-11-01", 0)]
 
 
 @pytest.mark.parametrize("adapter", [records_from_events, records_from_lineitem])
