@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +44,19 @@ def worker_cache(owner: str) -> dict:
     return _WORKER.setdefault(owner, {})
 
 
+def released(batches: Iterator) -> Iterator:
+    """The batches, after which a Python worker gives the memory it no longer uses back to the system.
+
+    Workers outlive their tasks, and beside them an executor needs the memory for its JVM.
+    """
+    yield from batches
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def ascii_lower(text: str | Column) -> Column:
     """Lower-case A to Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

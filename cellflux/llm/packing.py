@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellflux.llm.common import materialise, worker_cache
+from cellflux.llm.common import materialise, released, worker_cache
 from cellflux.llm.words import NOT_BLANK, PART, hashed
 
 SEQUENCE = 2048
@@ -180,7 +180,9 @@ def tokenised(documents: DataFrame, tokenizer: str) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     schema = "_row bigint, doc_id bigint, source string, tokens bigint, ids binary, id_bytes int"
-    return materialise(rows.mapInArrow(_tokens(tokenizer), schema), "pack-ids")
+    run = _tokens(tokenizer)
+    ids = rows.mapInArrow(lambda batches: released(run(batches)), schema)
+    return materialise(ids, "pack-ids", 1000)
 
 
 def _running(rows: DataFrame, group: list[str], bucket: str, order: list[str], name: str) -> DataFrame:

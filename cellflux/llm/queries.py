@@ -114,8 +114,16 @@ def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(text.cast("binary"), 256).alias("digest"),
     )
     counted = materialise(counted, "token-counts")
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    copies = counted.join(first, "digest").filter(F.col("doc_id") != F.col("first_id"))
+    # A text with very many copies is a row per source and language before it meets the others.
+    kinds = counted.groupBy("digest", "source", "lang", "words", "pieces").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("doc_id")
+    )
+    kinds = materialise(kinds, "token-copies")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "source", "lang")
+    first = kinds.groupBy("digest").agg(F.min(place).alias("first"))
+    copies = kinds.join(first, "digest").withColumn(
+        "times", F.col("rows") - F.when(place.eqNullSafe(F.col("first")), 1).otherwise(0)
+    )
 
     def events(rows: DataFrame, action: str, tokenizer: str, tokens: str, old: str | None = None):
         return rows.select(
@@ -125,6 +133,7 @@ def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(action).alias("action"),
             F.col(tokens).alias("tokens"),
             (F.col(old) if old else F.lit(None).cast("long")).alias("old_tokens"),
+            (F.col("times") if "times" in rows.columns else F.lit(1)).alias("times"),
         )
 
     store = RollupStore(spark, scratch_path(spark, "token-rollup"))
@@ -146,7 +155,7 @@ WITH counted AS (
     SELECT source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words,
         len(regexp_extract_all(t, '[A-Za-z0-9\x{80}-\x{10FFFF}]+|[!-/:-@\[-`{-~]')) AS pieces
     FROM (SELECT *, coalesce(text, '') AS t FROM documents)
-    QUALIFY doc_id = min(doc_id) OVER (PARTITION BY t)
+    QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST, source NULLS FIRST, lang NULLS FIRST) = 1
 )
 SELECT source, lang, 'words' AS tokenizer, count(*) AS docs, sum(words)::BIGINT AS tokens
 FROM counted GROUP BY source, lang

@@ -25,6 +25,7 @@ def signed(events: DataFrame) -> DataFrame:
 
     `events`: source, lang, tokenizer, action, tokens, old_tokens. An insert adds a document
     and its tokens, a delete takes both away, a revision adds what the count has changed by.
+    A column `times`, if there is one, says how many equal events a row stands for.
     A missing count is 0; a missing or unknown action changes nothing; a missing source,
     language or tokenizer is a key of its own. Further columns are ignored.
     """
@@ -36,7 +37,10 @@ def signed(events: DataFrame) -> DataFrame:
         .when(action == "revise", new - F.coalesce("old_tokens", F.lit(0)))
         .otherwise(0)
     )
-    return events.select(*KEYS, docs.cast("long").alias("docs"), tokens.cast("long").alias("tokens"))
+    times = F.col("times") if "times" in events.columns else F.lit(1)
+    return events.select(
+        *KEYS, (docs * times).cast("long").alias("docs"), (tokens * times).cast("long").alias("tokens")
+    )
 
 
 class RollupStore:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cellflux.llm.common import id_fold, worker_cache
+from cellflux.llm.common import id_fold, released, worker_cache
 
 # Bounds of the sample of labelled rows that the machine is fitted on.
 FIT_TOXIC = 1200
@@ -129,8 +129,8 @@ class Machine:
     def unit_scores(self, words: list[str]) -> np.ndarray:
         """Decision value of each unit: kernel to the landmarks, normalised; `_FLOOR` if it has no triple."""
         out = np.full(len(words), _FLOOR, dtype=np.float64)
-        for at in range(0, len(words), 4096):
-            codes, owner = _codes(words[at : at + 4096])
+        for at in range(0, len(words), 1024):
+            codes, owner = _codes(words[at : at + 1024])
             rows, triple, weight = _triples(codes)
             dot = np.bincount(rows, weight * self.table[triple], len(codes))
             norm = np.bincount(rows, weight * weight, len(codes))
@@ -386,4 +386,4 @@ def scored(documents: DataFrame, machine: Machine, column: str = "_toxicity") ->
                     [*part.columns, score], names=[*part.schema.names, column]
                 )
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(lambda batches: released(run(batches)), schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-PART = 1 << 21  # bytes of text hashed at a time
+PART = 1 << 19  # bytes of text hashed at a time
 
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse
