@@ -9,6 +9,7 @@ effect counts as committed too.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +45,20 @@ def signed(events: DataFrame) -> DataFrame:
 
 
 class RollupStore:
-    """Totals by source, language and tokenizer version under a shared folder."""
+    """Totals by source, language and tokenizer version under a shared folder, made if it is not there."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self._write(spark.createDataFrame([], _SCHEMA), _FIRST)
+        if not self._is_there():
+            self._write(spark.createDataFrame([], _SCHEMA), _FIRST)
+
+    def _is_there(self) -> bool:
+        try:
+            return self.has(_FIRST)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
 
     def _write(self, sums: DataFrame, batch_id: str) -> None:
         mark = self.spark.range(1).select(
