@@ -8,6 +8,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +294,38 @@ def test_groups_of_large_families(spark, monkeypatch, frequent):
     assert len(set(assert_groups(spark.createDataFrame(rows, "doc_id long, text string")).values())) > 1
 
 
+class _Sent:
+    """A broadcast value without a session."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def test_dealt_out_lists_lose_no_link():
+    """Pairs of near copies, of shingles counted far more often than the lists of their keys are long."""
+    percent, texts = jaccard.PERCENT, {}
+    for family in range(30):
+        own = [f"p{family}x{k}" for k in range(44)]
+        texts[2 * family] = " ".join(own)
+        texts[2 * family + 1] = " ".join([*own[:-1], "other"])
+    sets = dict(zip(texts, jaccard.shingle_sets(word_hashes([t.encode() for t in texts.values()])), strict=True))
+    heavy = np.unique(np.concatenate(list(sets.values())))
+    rank = np.full(len(heavy), 400 * jaccard.LIST)  # as if counted in many long documents
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(texts.values())], names=["doc_id", "text"])
+    rows = pa.Table.from_batches(jaccard._postings(_Sent(heavy), _Sent(rank), jaccard.WORDS, percent)(iter([batch])))
+    assert pc.min(rows["salt"]).as_py() > 0
+    rows = rows.sort_by([("key", "ascending"), ("salt", "ascending")])
+    met = pa.Table.from_batches(jaccard._meetings(percent)(iter(rows.to_batches(max_chunksize=37))))
+    pairs = {(a, b) for a, b in zip(met["a"].to_pylist(), met["b"].to_pylist(), strict=True) if b is not None}
+    lists = met.filter(pc.is_valid(met["key"])).select(["key", "a", "n", "before", "rest"]).sort_by("key")
+    apart = pa.Table.from_batches(jaccard._component_pairs(percent)(iter(lists.to_batches())))
+    # Each document is a component of its own, as if no pair had been verified yet.
+    pairs |= set(zip(apart["ca"].to_pylist(), apart["cb"].to_pylist(), strict=True))
+    ids = sorted(sets)
+    links = {(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if jaccard.similar(sets[a], sets[b], percent)}
+    assert links and links <= pairs
+
+
 def test_words_are_hashed_as_if_one_by_one():
     texts = ["", " ", "A b\nc", "Ünï x" * 3, "long " * 9, "ẞß"]
     together = word_hashes([t.encode() for t in texts])
