@@ -80,17 +80,20 @@ _TABLE = _symbols()
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of symbols, and the word that each row belongs to.
 
-    A word with marks inside has a second reading without them.
+    A word with marks inside has a second reading without them, which comes first.
     """
     rows, owner = [], []
+
+    def read(reading: str, number: int) -> None:
+        for at in range(0, max(1, len(reading) - _SPAN + 1), _STRIDE):
+            rows.append(reading[at : at + _WIDTH])
+            owner.append(number)
+
     for number, word in enumerate(words):
         marked = "\0" + _EDGES.sub("", word)
         if not word.isalnum() and (plain := "\0" + _MARKS.sub("", word)) != marked:
-            rows.append(plain[:_WIDTH])
-            owner.append(number)
-        for at in range(0, max(1, len(marked) - _SPAN + 1), _STRIDE):
-            rows.append(marked[at : at + _WIDTH])
-            owner.append(number)
+            read(plain, number)
+        read(marked, number)
     flat = "".join(r.ljust(_WIDTH, "￿") for r in rows)
     points = np.frombuffer(flat.encode("utf-32-le", "replace"), np.uint32)
     codes = _TABLE[points % 65536]

@@ -417,6 +417,15 @@ def test_gapped_and_stretched_insults():
         assert score(word) < 0.5, word
 
 
+def test_masked_insults_count_wherever_they_stand():
+    rows = toxic_corpus()
+    machine = toxicity.fit([t for _, t, _ in rows], [y for *_, y in rows])
+    masked, ahead = ".".join("blorfank"), "tendapaloorimisumruvekdatenlopalmiorisoo"
+    assert len(ahead) == 40
+    plain, far, clean = machine.unit_scores([ahead + "blorfank", ahead + masked, ahead + ".".join("sumrupal")])
+    assert far >= plain - 1e-9 and far > clean
+
+
 def test_kernel_table_equals_the_kernel():
     """The folded table gives the same decision as kernels to landmarks do."""
     words, marks = ["abcab", "xaybzc", "aaaa", "b"], ["abcab", "zzabc"]
