@@ -26,21 +26,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group.
+    """The first row of each near-duplicate group.
 
-    Documents without id are in no group and stay. Of several rows with one id, one stays. Only the ids
-    to be dropped are joined with the texts, and these are broadcast if they are few.
+    Rows are grouped by their texts, whatever their ids; rows without any word only with those of the
+    same id, and those without id with each other. First is the row of the smallest id, one without
+    id last; then of the smallest hash of the text, then of the other columns. Only rows to be dropped are
+    joined with the texts, and these are broadcast if they are few.
     """
-    groups = materialise(near_groups(docs), "pipeline-groups")
-    dropped = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    rows = materialise(docs.withColumn("_near_row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = near_groups(rows.select(F.col("_near_row").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_near_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_group")
+    )
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    place = F.struct(
+        F.col("doc_id").isNull().alias("nameless"),
+        "doc_id",
+        F.xxhash64("text").alias("text"),
+        F.xxhash64(F.lit(0), *others).alias("others"),
+        "_near_row",
+    )
+    placed = materialise(rows.select("_near_row", place.alias("place")).join(groups, "_near_row"), "pipeline-groups")
+    wordless = F.when(F.col("_group").isNull(), F.col("place.doc_id"))
+    first = placed.groupBy("_group", wordless).agg(F.min("place").alias("place"))
+    first = first.select(F.col("place._near_row").alias("_near_row"))
+    dropped = materialise(placed.select("_near_row").join(first, "_near_row", "left_anti"), "pipeline-dropped")
     if dropped.count() <= BROADCAST_IDS:
         dropped = F.broadcast(dropped)
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    twice = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return kept
-    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    return rows.join(dropped, "_near_row", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

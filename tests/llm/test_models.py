@@ -499,5 +499,27 @@ def test_stages_on_odd_rows(spark, odd_documents, sf_dir):
     assert sum(r.doc_id is None for r in alone) == 1
 
 
+def test_texts_not_ids_make_near_copies(spark, sf_dir):
+    import corpus_pipeline as pipeline
+
+    rows = [
+        (1, "one text of its own", "en"),
+        (1, "and quite another text under this id", "en"),
+        (2, "One text of  its own", "en"),
+        (3, "and quite another text under this id", "de"),
+        (None, "a text that has no id", "en"),
+        (None, "a text that has no id", "de"),
+        (None, "one text of its own", "en"),
+        (4, "", "en"),
+        (4, None, "en"),
+        (5, "", "en"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    alone = dict(pipeline.STAGES)["near_copies"](spark, docs, sf_dir)
+    assert alone.columns == docs.columns
+    got = [(r.doc_id, (r.text or "")[:7]) for r in alone.collect()]
+    assert sorted(got, key=str) == [(1, "and qui"), (1, "one tex"), (4, ""), (5, ""), (None, "a text ")]
+
+
 def test_every_operator_is_a_query():
     assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
