@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellflux.llm.alignment import aligned
+from cellflux.llm.bytepairs import decoded, encoded
 from cellflux.llm.common import id_fold, materialise, table
 from cellflux.llm.graphs import nearest
 from cellflux.llm.jaccard import near_groups
@@ -18,6 +20,7 @@ from cellflux.llm.pages import extracted
 from cellflux.llm.rollup import RollupStore
 from cellflux.llm.simhash import edited_pairs, likeness
 from cellflux.llm.toxicity import fitted, scored
+from cellflux.llm.whitening import whitened
 from cellflux.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +178,41 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened coordinates of every vector."""
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's byte-level ids and of what they decode to."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = encoded(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return decoded(ids, ranks).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every text's tokens under two tokenizers."""
+    import public_tokenizers
+
+    def digest(groups: Column) -> Column:
+        return F.when(groups == "", "").otherwise(F.sha2(groups.cast("binary"), 256))
+
+    documents, _ = aligned(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        digest,
+    )
+    return documents.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_lattice": op2_lattice,
@@ -186,6 +224,9 @@ QUERIES: dict[str, Query] = {
     "op8_licences": op8_licences,
     "op9_token_rollup": op9_token_rollup,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {
     "op7_mixture": mixing_sql(),
