@@ -14,6 +14,9 @@ class Settings:
     max_cell: int = 10_000
     window: str = "1 hour"
     watermark: str = "10 minutes"
+    # How far event time may run ahead of the clock. A row beyond it stays an event but has no window, so that a
+    # wrong clock does not close the windows of all others. None: any time counts.
+    max_ahead: str | None = "1 day"
 
 
 @dataclass(frozen=True)

@@ -22,6 +22,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument(
         "--strip", action="store_true", help="strip lines; loses trailing empty fields"
     )
+    p.add_argument(
+        "--numbered", action="store_true", help="publish each line's number as the message key"
+    )
     p.add_argument("--text-output", help="folder for text files instead of a topic")
     add_kafka(p, required=False)
     add_object_store(p, committer="magic")
@@ -31,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> None:
     p = parser()
     args = p.parse_args(argv)
+    if args.numbered and (args.text_output or args.ordered or args.max_lines is not None):
+        p.error("--numbered goes with a topic and all lines, in any order")
     if args.text_output:
         publish = partial(publish_to_text, path=args.text_output)
     elif args.servers and args.topic:
@@ -46,6 +51,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         max_lines=args.max_lines,
         ordered=args.ordered,
         strip=args.strip,
+        numbered=args.numbered,
     )
 
 

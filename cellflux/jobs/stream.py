@@ -14,7 +14,7 @@ from cellflux.jobs.options import (
     number_or_none,
     object_store,
 )
-from cellflux.plans import run_stream
+from cellflux.plans import run_shared, run_stream
 from cellflux.session import build_session
 from cellflux.sources import kafka_options, stream_kafka_lines, stream_text_lines
 
@@ -53,6 +53,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--files-per-window", type=int, default=StreamSettings.files_per_window)
     p.add_argument("--events-tasks", type=int, help="tasks, and so files, per event trigger")
     p.add_argument("--watermark", default=Settings.watermark)
+    p.add_argument(
+        "--max-ahead",
+        default=Settings.max_ahead,
+        metavar="INTERVAL|none",
+        help="event time further ahead of the clock has no window (default: %(default)s)",
+    )
+    p.add_argument(
+        "--shared", action="store_true", help="one query over one read; keeps late rows, compacts"
+    )
+    p.add_argument("--drain", action="store_true", help="write the windows still open at the end")
     add_time_zone(p)
     add_object_store(p, committer="directory")
     return p
@@ -63,7 +73,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = p.parse_args(argv)
     if not args.text_input and not (args.servers and args.topic):
         p.error("give --servers and --topic, or --text-input")
-    settings = Settings(time_zone=args.time_zone, watermark=args.watermark)
+    max_ahead = None if args.max_ahead == "none" else args.max_ahead
+    settings = Settings(time_zone=args.time_zone, watermark=args.watermark, max_ahead=max_ahead)
     spark = build_session("cellflux-stream", object_store(args))
     if args.text_input:
         lines = stream_text_lines(
@@ -93,7 +104,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         files_per_window=args.files_per_window,
         time_limit_seconds=args.time_limit,
     )
-    outcome = run_stream(lines, args.output, args.checkpoints, settings, stream)
+    run = run_shared if args.shared else run_stream
+    outcome = run(lines, args.output, args.checkpoints, settings, stream, drain=args.drain)
     if outcome == "stopped":
         sys.exit("a query was stopped that should have run on")
 

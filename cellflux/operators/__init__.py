@@ -13,7 +13,9 @@ from cellflux.operators.lines import (
     file_order,
     head_lines,
     head_of_files,
+    numbered_lines,
 )
+from cellflux.operators.sorting import kept_events, line_counts, rejected_lines, sorted_lines
 
 __all__ = [
     "clean",
@@ -25,7 +27,12 @@ __all__ = [
     "head_lines",
     "head_of_files",
     "hourly_totals",
+    "kept_events",
+    "line_counts",
+    "numbered_lines",
+    "rejected_lines",
     "repair_measures",
+    "sorted_lines",
     "tumbling_totals",
     "valid_cells",
     "with_event_time",

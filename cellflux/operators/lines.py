@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Literal
 from urllib.parse import unquote
 
@@ -79,9 +80,18 @@ def _placed(lines: DataFrame) -> DataFrame:
     return lines.select("value", path.alias("path"), block.alias("block"), line.alias("line"))
 
 
-def _name(path: str) -> str:
-    """One spelling of a path, which Spark's listing and its scans write differently."""
-    return unquote(path).replace(":///", ":/")
+def _name(uri: str) -> str:
+    """One spelling of a file's address, which Spark's listing and its scans begin differently."""
+    return uri.replace(":///", ":/", 1)
+
+
+def as_path(uri: str) -> str:
+    """The path that reads this one file: addresses are encoded, paths are not, and have signs of a pattern escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+
+
+def _read(spark: SparkSession, uris: list[str]) -> DataFrame:
+    return spark.read.text([as_path(u) for u in uris])
 
 
 def head_of_files(lines: DataFrame, limit: int) -> DataFrame:
@@ -93,21 +103,21 @@ def head_of_files(lines: DataFrame, limit: int) -> DataFrame:
     Spark splits a file from one scan to the next. The driver gets one row per file looked at.
     """
     spark = lines.sparkSession
-    paths = sorted(lines.inputFiles())
+    uris = sorted(lines.inputFiles())
     before, at, step = 0, 0, 1
-    while at < len(paths):
-        group = paths[at : at + step]
+    while at < len(uris):
+        group = uris[at : at + step]
         counts = {
             _name(r.path): r.lines
-            for r in spark.read.text(group)
+            for r in _read(spark, group)
             .groupBy(F.col("_metadata.file_path").alias("path"))
             .agg(F.count(F.lit(1)).alias("lines"))
             .collect()
         }
-        for path in group:
-            own = counts.get(_name(path), 0)
+        for uri in group:
+            own = counts.get(_name(uri), 0)
             if before + own >= limit:
-                return _cut(spark, paths[: paths.index(path)], path, limit - before)
+                return _cut(spark, uris[: uris.index(uri)], uri, limit - before)
             before += own
         at, step = at + step, step * 2
     return _placed(lines)  # fewer lines than the limit
@@ -116,7 +126,7 @@ def head_of_files(lines: DataFrame, limit: int) -> DataFrame:
 def _cut(spark: SparkSession, whole: list[str], last: str, room: int) -> DataFrame:
     """All lines of the files `whole`, and the first `room` ones of `last`."""
     path = scratch_path(spark, "head")
-    _placed(spark.read.text(last)).write.parquet(path)
+    _placed(_read(spark, [last])).write.parquet(path)
     placed = spark.read.parquet(path)
     blocks = placed.groupBy("block").agg(F.count(F.lit(1)).alias("lines"), F.min("line").alias("first"))
     through = F.sum("lines").over(Window.orderBy("block"))  # the blocks of one file
@@ -127,4 +137,35 @@ def _cut(spark: SparkSession, whole: list[str], last: str, room: int) -> DataFra
         F.col("ahead") + F.col("line") - F.col("first") < room
     )
     cut = cut.select("value", *_PLACE)
-    return _placed(spark.read.text(whole)).unionByName(cut) if whole else cut
+    return _placed(_read(spark, whole)).unionByName(cut) if whole else cut
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """`number`, from 1, and `value` of all lines of a scan of text files, in the order of the files' paths.
+
+    Lines are written once with their places. A block of a file then counts its lines; what comes before it is the sum
+    of the blocks before, added up in ranges of blocks side by side. Only a sum per range, of which there are as many
+    as shuffle partitions, passes the driver. No line is sorted, and none leaves its block but to
+    meet the block's number.
+    """
+    spark = lines.sparkSession
+    path = scratch_path(spark, "numbered")
+    _placed(lines).write.parquet(path)
+    placed = spark.read.parquet(path)
+    counted = placed.groupBy("path", "block").agg(F.count(F.lit(1)).alias("lines"), F.min("line").alias("first"))
+    ranges = counted.repartitionByRange("path", "block").withColumn("range", F.spark_partition_id())
+    blocks_path = scratch_path(spark, "blocks")
+    ranges.write.parquet(blocks_path)
+    blocks = spark.read.parquet(blocks_path)
+    sums = blocks.groupBy("range").agg(F.sum("lines").alias("lines")).collect()
+    before, ahead = 0, []
+    for row in sorted(sums, key=lambda r: r["range"]):
+        ahead.append((row["range"], before))
+        before += row.lines
+    starts = spark.createDataFrame(ahead, "range int, before long")
+    within = F.sum("lines").over(Window.partitionBy("range").orderBy("path", "block")) - F.col("lines")
+    starts = blocks.withColumn("within", within).join(F.broadcast(starts), "range")
+    offset = (F.col("before") + F.col("within") - F.col("first")).alias("offset")
+    starts = starts.select(F.col("path").alias("_path"), F.col("block").alias("_block"), offset)
+    numbered = placed.join(starts, (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block")))
+    return numbered.select((F.col("offset") + F.col("line") + 1).alias("number"), "value")

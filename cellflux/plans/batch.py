@@ -9,12 +9,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from cellflux.config import Settings
-from cellflux.operators import clean, daily_from_hourly, hourly_totals
-from cellflux.sinks import write_daily, write_events, write_hourly
-from cellflux.sources import read_events, read_hourly, read_records
+from cellflux.operators import (
+    clean,
+    daily_from_hourly,
+    hourly_totals,
+    kept_events,
+    line_counts,
+    sorted_lines,
+)
+from cellflux.sinks import write_daily, write_events, write_hourly, write_sorted
+from cellflux.sources import read_events, read_hourly, read_lines, read_records, read_sorted
 
 
 @dataclass(frozen=True)
@@ -30,6 +37,10 @@ class BatchPaths:
     def events(self) -> str:
         return self._under("raw_events")
 
+    @property
+    def sorted(self) -> str:
+        return self._under("sorted_lines")
+
     @property
     def hourly(self) -> str:
         return self._under("hourly_aggregates")
@@ -39,6 +50,23 @@ class BatchPaths:
         return self._under("daily_aggregates")
 
 
+def run_sorted_batch(
+    spark: SparkSession, input_path: str, output: str, settings: Settings | None = None
+) -> tuple[BatchPaths, dict[str, int]]:
+    """Events and rejected lines from one parse, and how many lines were read, kept and rejected.
+
+    Lines are taken as the file reader takes them: short ones are padded, long ones cut. The totals follow from the
+    events, which are one kind of the rows of `sorted_lines`.
+    """
+    paths, counts = BatchPaths(output), Observation("lines")
+    rows = sorted_lines(read_lines(spark, input_path), settings, "pad")
+    write_sorted(line_counts(rows, counts), paths.sorted)
+    events = kept_events(read_sorted(spark, paths.sorted))
+    write_hourly(hourly_totals(events), paths.hourly)
+    write_daily(daily_from_hourly(read_hourly(spark, paths.hourly)), paths.daily)
+    return paths, counts.get
+
+
 def run_batch(
     spark: SparkSession,
     input_path: str,

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,27 +25,40 @@ from cellflux.operators import (
     head_lines,
     head_of_files,
     hourly_totals,
+    rejected_lines,
     repair_measures,
+    sorted_lines,
     tumbling_totals,
     valid_cells,
     with_event_time,
 )
-from cellflux.plans.batch import run_batch
-from cellflux.plans.replay import run_replay
-from cellflux.plans.stream import StreamPaths, run_stream
+from cellflux.plans.batch import run_batch, run_sorted_batch
+from cellflux.plans.incremental import read_incremental, refresh_daily
+from cellflux.plans.replay import replay_numbered, run_replay
+from cellflux.plans.stream import StreamPaths, run_shared, run_stream
 from cellflux.schema import MEASURES, RECORD_FIELDS, TOTALS
 from cellflux.session import scoped_conf, scratch_path
-from cellflux.sinks import publish_to_text, write_daily, write_events, write_hourly
+from cellflux.sinks import publish_to_text, write_daily, write_events, write_hourly, write_sorted
 from cellflux.sources import (
     read_daily,
     read_events,
     read_hourly,
     read_lines,
     read_records,
+    read_sorted,
     stream_text_lines,
 )
 from cellflux.sources.adapters import read_table, records_from_events, records_from_lineitem
-from cellflux.streaming import start_events, start_hourly, supervise
+from cellflux.streaming import (
+    Compaction,
+    read_drained,
+    read_shared,
+    start_events,
+    start_hourly,
+    start_shared,
+    start_sorted,
+    supervise,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -202,11 +217,13 @@ def _replay_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head_lines(lines, REPLAY_HEAD, [F.col("event_id")])
 
 
-def _ordered_files(spark: SparkSession, sf_dir: str) -> str:
+def _ordered_files(spark: SparkSession, sf_dir: str, start_of_name: str = "part") -> str:
     """Record files that hold the lines in the order of `event_id`."""
     lines = records_from_events(spark, sf_dir).select("event_id", record_line().alias("value"))
-    ordered = lines.repartitionByRange("event_id").sortWithinPartitions("event_id")
-    return _written_lines(spark, ordered)
+    ordered = lines.repartitionByRange("event_id").sortWithinPartitions("event_id").select("value")
+    path = scratch_path(spark, "lines")
+    ordered.write.option("mapreduce.output.basename", start_of_name).text(path)
+    return path
 
 
 @query("replay_files")
@@ -232,6 +249,35 @@ def _replay_long_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("replay_odd_names")
+def _replay_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head of files whose names have a blank, a percent code and signs of a pattern."""
+    source = _ordered_files(spark, sf_dir, "day one%20 [1] {x}")
+    return head_of_files(read_lines(spark, source), REPLAY_HEAD).select("value")
+
+
+@query("replay_numbered")
+def _replay_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines with their numbers in the order of the files."""
+    return replay_numbered(spark, _ordered_files(spark, sf_dir))
+
+
+@query("rejected_lines")
+def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a strict reading of damaged lines leaves out, from the dataset that holds the events too."""
+    source, path = _written_lines(spark, _damaged_lines(spark, sf_dir)), scratch_path(spark, "sorted")
+    write_sorted(sorted_lines(read_lines(spark, source)), path)
+    return rejected_lines(read_sorted(spark, path))
+
+
+@query("sorted_batch_daily")
+def _sorted_batch_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines through the batch job that keeps the rejected ones."""
+    source = _written_lines(spark, _damaged_lines(spark, sf_dir))
+    paths, _ = run_sorted_batch(spark, source, scratch_path(spark, "batch"))
+    return _show_daily(read_daily(spark, paths.daily))
+
+
 # --- cleaning ---------------------------------------------------------------
 
 
@@ -359,6 +405,37 @@ def _sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_daily(read_daily(spark, path))
 
 
+@query("sink_replace_failed")
+def _sink_replace_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second write fails in its tasks; the first one's rows are still the dataset."""
+    path = scratch_path(spark, "daily")
+    write_daily(daily_totals(_events(spark, sf_dir)), path)
+    failure = F.raise_error(F.lit("this write has to fail")).cast("int")
+    bad = F.when(F.col("cell_id") % 97 == 3, failure).otherwise(F.col("cell_id"))
+    try:
+        write_daily(_lineitem_daily(spark, sf_dir).withColumn("cell_id", bad), path)
+    except (PySparkException, Py4JJavaError):
+        return _show_daily(read_daily(spark, path))
+    raise AssertionError("the second write did not fail")
+
+
+@query("daily_incremental")
+def _daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three folders of files come in three steps; the second is first wrong and then replaced."""
+    records = records_from_events(spark, sf_dir)
+    source, root = scratch_path(spark, "lines"), scratch_path(spark, "incremental")
+
+    def put(part: int, rows: DataFrame) -> None:
+        lines = encode_records(rows.filter(F.col("event_id") % 3 == part))
+        publish_to_text(lines, f"{source}/{part}", mode="overwrite")
+
+    shifted = records_from_events(spark, sf_dir, F.col("value") + 1)
+    for part, rows in ((0, records), (1, shifted), (1, records), (2, records)):
+        put(part, rows)
+        refresh_daily(spark, f"{source}/*/*.txt", root)
+    return _show_daily(read_incremental(spark, root))
+
+
 def _batch_job(spark: SparkSession, sf_dir: str):
     source = _written_lines(spark, encode_records(_records(spark, sf_dir)))
     return run_batch(spark, source, scratch_path(spark, "batch"))
@@ -418,17 +495,23 @@ def _stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_hourly(read_hourly(spark, out))
 
 
-@query("stream_hourly_steps")
-def _stream_hourly_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five files in the order of time, one per trigger; the last holds rows without a time too."""
+def _arrive_in_steps(spark: SparkSession, sf_dir: str) -> str:
+    """Five files in the order of time; the last holds rows without a time too."""
     records = _records(spark, sf_dir)
     span = records.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    source, out = scratch_path(spark, "lines"), scratch_path(spark, "streamed_hourly")
+    source = scratch_path(spark, "lines")
     step = F.coalesce(
         F.floor((F.col("timestamp") - span.lo) * 5 / F.lit(span.hi - span.lo + 1)), F.lit(4)
     )
     for number in range(5):  # one after the other, as a stream takes files by their time of arrival
         _arrive(encode_records(records.filter(step == number)).coalesce(1), source)
+    return source
+
+
+@query("stream_hourly_steps")
+def _stream_hourly_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per trigger."""
+    source, out = _arrive_in_steps(spark, sf_dir), scratch_path(spark, "streamed_hourly")
     events = clean(decode_lines(stream_text_lines(spark, source, max_files_per_trigger=1)))
     checkpoint = scratch_path(spark, "progress")
     running = start_hourly(events, out, checkpoint, stream=_stream_settings(spark))
@@ -499,3 +582,93 @@ def _malformed_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged lines through the stream: rows without time are in no window."""
     paths = _stream_job(spark, _damaged_lines(spark, sf_dir))
     return _show_hourly(read_hourly(spark, paths.hourly))
+
+
+@query("stream_rejected_lines")
+def _stream_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines through the stream that keeps the rejected ones."""
+    source = _written_lines(spark, _damaged_lines(spark, sf_dir))
+    out, checkpoint = scratch_path(spark, "sorted"), scratch_path(spark, "progress")
+    rows = sorted_lines(stream_text_lines(spark, source))
+    supervise([start_sorted(rows, out, checkpoint, _stream_settings(spark))], until_all_end=True)
+    return rejected_lines(read_sorted(spark, out))
+
+
+@query("stream_drained")
+def _stream_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished windows, and those that the query's state still held at the end."""
+    source = _written_lines(spark, encode_records(_records(spark, sf_dir)))
+    paths = StreamPaths(scratch_path(spark, "stream"))
+    run_stream(
+        stream_text_lines(spark, source),
+        paths.output,
+        scratch_path(spark, "progress"),
+        stream=_stream_settings(spark),
+        drain=True,
+    )
+    return _show_hourly(read_drained(spark, paths.hourly, paths.open))
+
+
+@query("stream_far_future")
+def _stream_far_future(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One more row, of the year 2099, in the first of five triggers: it closes no window."""
+    source, out = scratch_path(spark, "lines"), scratch_path(spark, "streamed_hourly")
+    far = F.lit(4_070_908_800_000).alias("timestamp")
+    row = spark.range(1).select(F.lit(7).alias("cell_id"), far, *[F.lit(1).alias(f) for f in RECORD_FIELDS[2:]])
+    _arrive(encode_records(row).coalesce(1), source)
+    _arrive(encode_records(_records(spark, sf_dir)), source)
+    events = clean(decode_lines(stream_text_lines(spark, source, max_files_per_trigger=1)))
+    running = start_hourly(events, out, scratch_path(spark, "progress"), stream=_stream_settings(spark))
+    supervise([running], until_all_end=True)
+    return _show_hourly(read_hourly(spark, out))
+
+
+def _shared_job(spark: SparkSession, sf_dir: str) -> str:
+    source = _written_lines(spark, encode_records(_records(spark, sf_dir)))
+    paths = StreamPaths(scratch_path(spark, "stream"))
+    run_shared(
+        stream_text_lines(spark, source),
+        paths.output,
+        scratch_path(spark, "progress"),
+        stream=_stream_settings(spark),
+    )
+    return paths.shared
+
+
+@query("stream_shared_events")
+def _stream_shared_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _show_events(read_shared(spark, _shared_job(spark, sf_dir), "events"))
+
+
+@query("stream_shared_hourly")
+def _stream_shared_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _show_hourly(read_shared(spark, _shared_job(spark, sf_dir), "hourly"))
+
+
+@query("stream_late_rows")
+def _stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table arrives twice; of the second copy, the rows of closed windows are handed out."""
+    lines = encode_records(_records(spark, sf_dir))
+    source, root = scratch_path(spark, "lines"), scratch_path(spark, "shared")
+    checkpoint = scratch_path(spark, "progress")
+    for _ in range(2):
+        _arrive(lines, source)
+        events = clean(decode_lines(stream_text_lines(spark, source)))
+        supervise([start_shared(events, root, checkpoint, stream=_stream_settings(spark))], until_all_end=True)
+    return _show_events(read_shared(spark, root, "late"))
+
+
+@query("stream_compacted")
+def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five triggers, after each of which crowded dates are written anew as one folder."""
+    source, root = _arrive_in_steps(spark, sf_dir), scratch_path(spark, "shared")
+    events = clean(decode_lines(stream_text_lines(spark, source, max_files_per_trigger=1)))
+    running = start_shared(
+        events,
+        root,
+        scratch_path(spark, "progress"),
+        stream=_stream_settings(spark),
+        compaction=Compaction(open_folders=2),
+    )
+    supervise([running], until_all_end=True)
+    return _show_events(read_shared(spark, root, "events"))

@@ -146,6 +146,33 @@ _LINES = f"WITH {_records()} SELECT event_id, {_LINE} AS line FROM records"
 
 _HEAD = f"WITH {_records()} SELECT {_LINE} AS value FROM records ORDER BY event_id LIMIT 5000"
 
+# The damaged lines that are no events, and why.
+_TAB = " || chr(9) || "
+_REJECTED = f"""WITH {_records()}, lines AS (
+  SELECT cell_id, event_id % 10 AS kind, CASE event_id % 10
+    WHEN 0 THEN {_TEXT_FIELDS[0]}{_TAB}'bad'{_TAB}{_TAB.join(_TEXT_FIELDS[2:])}
+    WHEN 1 THEN {_TAB.join(_TEXT_FIELDS[:4])}
+    WHEN 2 THEN {_LINE}{_TAB}'8'{_TAB}'9'
+    WHEN 3 THEN 'x1'{_TAB}{_TAB.join(_TEXT_FIELDS[1:])}
+    ELSE {_LINE} END AS line
+  FROM records
+), judged AS (
+  SELECT line, CASE
+    WHEN kind = 1 THEN 'too few fields'
+    WHEN kind = 2 THEN 'too many fields'
+    WHEN kind = 3 THEN 'cell is no number'
+    WHEN cell_id IS NULL THEN 'cell missing'
+    WHEN cell_id NOT BETWEEN 1 AND 10000 THEN 'cell out of range' END AS reason
+  FROM lines
+)
+SELECT line, reason FROM judged WHERE reason IS NOT NULL"""
+
+_LATE_ROWS = f"""WITH {_records()}, {_CLEAN}, closing AS (
+  SELECT max(event_time) - INTERVAL 10 MINUTE AS watermark FROM cleaned
+)
+SELECT {_FIELDS}, strftime(event_time, '%Y-%m-%d %H:%M:%S.%g') AS event_time, {_DAY}, "hour"
+FROM cleaned, closing WHERE date_trunc('hour', event_time) + INTERVAL 1 HOUR <= watermark"""
+
 ORACLES: dict[str, str] = {
     "typed_projection": _TYPED,
     "tsv_scan": _TYPED,
@@ -159,6 +186,12 @@ ORACLES: dict[str, str] = {
     "replay_head": _HEAD,
     "replay_files": _HEAD,
     "replay_long_head": _HEAD,
+    "replay_odd_names": _HEAD,
+    "replay_numbered": f"""WITH {_records()}
+SELECT row_number() OVER (ORDER BY event_id) AS number, {_LINE} AS value FROM records""",
+    "rejected_lines": _REJECTED,
+    "stream_rejected_lines": _REJECTED,
+    "sorted_batch_daily": f"WITH {_damaged()} {_show_daily(4)}",
     "event_time_parts": f"""WITH {_records()}
 SELECT event_id, "timestamp", strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS event_time,
   strftime(ts, '%Y-%m-%d') AS "date", CAST(extract(hour FROM ts) AS INTEGER) AS "hour"
@@ -196,6 +229,8 @@ cleaned AS (
     "sink_daily": _DAILY,
     "sink_hourly": _HOURLY,
     "sink_overwrite": _DAILY,
+    "sink_replace_failed": _DAILY,
+    "daily_incremental": _DAILY,
     "batch_job_events": _CLEAN_EVENTS,
     "batch_job_hourly": _HOURLY,
     "batch_job_daily": _DAILY,
@@ -206,4 +241,10 @@ cleaned AS (
     "stream_restart": _STREAM_HOURLY,
     "stream_job_events": _CLEAN_EVENTS,
     "stream_job_hourly": _STREAM_HOURLY,
+    "stream_drained": _HOURLY,
+    "stream_far_future": _STREAM_HOURLY,
+    "stream_shared_events": _CLEAN_EVENTS,
+    "stream_shared_hourly": _STREAM_HOURLY,
+    "stream_late_rows": _LATE_ROWS,
+    "stream_compacted": _CLEAN_EVENTS,
 }

@@ -44,6 +44,20 @@ WINDOWED_SCHEMA = T.StructType(
     ]
 )
 
+# Events and rejected lines in one dataset.
+SORTED_SCHEMA = T.StructType(
+    [
+        *RECORD_SCHEMA,
+        EVENT_TIME,
+        HOUR,
+        T.StructField("line", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        DATE,
+    ]
+)
+
 EVENTS_PARTITIONS = ["date"]
 DAILY_PARTITIONS = ["date"]
 HOURLY_PARTITIONS = ["date", "hour"]
+SORTED_PARTITIONS = ["kind", "date"]

@@ -28,8 +28,11 @@ def kafka_sink_options(
 
 
 def messages(lines: DataFrame) -> DataFrame:
-    """Lines as UTF-8 message bodies."""
-    return lines.select(F.encode("value", "UTF-8").alias("value"))
+    """Lines as UTF-8 message bodies; the key of a numbered line is its number."""
+    body = F.encode("value", "UTF-8").alias("value")
+    if "number" not in lines.columns:
+        return lines.select(body)
+    return lines.select(F.encode(F.col("number").cast("string"), "UTF-8").alias("key"), body)
 
 
 def publish_to_kafka(

@@ -1,18 +1,19 @@
-"""Batch Parquet sinks. Each write replaces the whole dataset at its path."""
+"""Batch Parquet sinks. Each write replaces the whole dataset at its path, or, if it fails, nothing of it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from cellflux.schema import DAILY_PARTITIONS, EVENTS_PARTITIONS, HOURLY_PARTITIONS
+from cellflux.commits import replace_dataset
+from cellflux.schema import (
+    DAILY_PARTITIONS,
+    EVENTS_PARTITIONS,
+    HOURLY_PARTITIONS,
+    SORTED_PARTITIONS,
+)
 from cellflux.session import scoped_conf
 
 
-def _replace(df: DataFrame, path: str, keys: list[str]) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*keys).parquet(path)
-
-
 def _regrouped(df: DataFrame, path: str, keys: list[str], task_bytes: str) -> None:
     """Write with the rows of each folder together, in tasks of about `task_bytes`.
 
@@ -24,7 +25,7 @@ def _regrouped(df: DataFrame, path: str, keys: list[str], task_bytes: str) -> No
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes,
     }
     with scoped_conf(df.sparkSession, adaptive):
-        _replace(df.hint("rebalance", *keys), path, keys)
+        replace_dataset(df.hint("rebalance", *keys), path, keys)
 
 
 def write_events(
@@ -40,7 +41,7 @@ def write_events(
     if regroup:
         _regrouped(events, path, EVENTS_PARTITIONS, task_bytes)
     else:
-        _replace(events, path, EVENTS_PARTITIONS)
+        replace_dataset(events, path, EVENTS_PARTITIONS)
 
 
 # Totals are small and their folders many. What takes time is the count of files, not the
@@ -54,3 +55,8 @@ def write_daily(daily: DataFrame, path: str, *, task_bytes: str = _TOTALS_TASK)
 
 def write_hourly(hourly: DataFrame, path: str, *, task_bytes: str = _TOTALS_TASK) -> None:
     _regrouped(hourly, path, HOURLY_PARTITIONS, task_bytes)
+
+
+def write_sorted(sorted_rows: DataFrame, path: str) -> None:
+    """Events and rejected lines of one parse, by kind and date, without a shuffle."""
+    replace_dataset(sorted_rows, path, SORTED_PARTITIONS)

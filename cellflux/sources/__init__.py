@@ -1,6 +1,6 @@
 """Readers: record files, message topics, and the datasets the jobs write."""
 
-from cellflux.sources.datasets import read_daily, read_events, read_hourly, read_windowed
+from cellflux.sources.datasets import read_daily, read_events, read_hourly, read_sorted, read_windowed
 from cellflux.sources.records import read_lines, read_records
 from cellflux.sources.streams import kafka_options, stream_kafka_lines, stream_text_lines
 
@@ -11,6 +11,7 @@ __all__ = [
     "read_hourly",
     "read_lines",
     "read_records",
+    "read_sorted",
     "read_windowed",
     "stream_kafka_lines",
     "stream_text_lines",

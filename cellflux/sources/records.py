@@ -24,7 +24,7 @@ _FIRST_FIELDS = rf"^{_FIELD}(?:\t{_FIELD}){{0,{len(RECORD_SCHEMA) - 1}}}"
 _DDL = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RECORD_SCHEMA)
 
 
-def _files(path: str) -> str:
+def record_files(path: str) -> str:
     """A folder means its record files; a glob or a record file is taken as it is."""
     if any(c in path for c in "*?[{") or path.endswith(RECORD_FILES.lstrip("*")):
         return path
@@ -42,7 +42,7 @@ def read_records(spark: SparkSession, path: str, *, any_width: bool = False) ->
     """
     if not any_width:
         return spark.read.csv(
-            _files(path),
+            record_files(path),
             sep=SEPARATOR,
             header=False,
             schema=RECORD_SCHEMA,
@@ -59,4 +59,4 @@ def read_records(spark: SparkSession, path: str, *, any_width: bool = False) ->
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Undecoded lines, one `value` each."""
-    return spark.read.text(_files(path))
+    return spark.read.text(record_files(path))

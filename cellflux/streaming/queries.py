@@ -14,21 +14,34 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cellflux.config import Settings, StreamSettings
 from cellflux.operators import tumbling_totals
-from cellflux.schema import EVENTS_PARTITIONS, HOURLY_PARTITIONS
+from cellflux.schema import EVENTS_PARTITIONS, HOURLY_PARTITIONS, SORTED_PARTITIONS
 from cellflux.session import scoped_conf
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def in_reach(events: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """Events without an event time where it is further ahead of their arrival than the settings allow.
+
+    The time of arrival is that of the micro-batch, which a restart repeats.
+    """
+    settings = settings or Settings()
+    if settings.max_ahead is None:
+        return events
+    latest = F.current_timestamp() + F.expr(f"INTERVAL {settings.max_ahead}")
+    return events.withColumn("event_time", F.when(F.col("event_time") <= latest, F.col("event_time")))
+
+
 def streamed_hourly_totals(events: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Windowed totals under a watermark.
 
     The state is one row per open window and cell. A window is emitted once, when
     the watermark passes its end; rows for an already emitted window are dropped
-    and counted in the query's progress.
+    and counted in the query's progress. Rows too far ahead of the clock have no window and do not move the watermark.
     """
     settings = settings or Settings()
-    return tumbling_totals(events.withWatermark("event_time", settings.watermark), settings)
+    reached = in_reach(events, settings)
+    return tumbling_totals(reached.withWatermark("event_time", settings.watermark), settings)
 
 
 def _writer(
@@ -44,6 +57,15 @@ def _writer(
     )
 
 
+def start_sorted(
+    sorted_rows: DataFrame, path: str, checkpoint: str, stream: StreamSettings | None = None
+) -> StreamingQuery:
+    """Append events and rejected lines of one parse, by kind and date."""
+    stream = stream or StreamSettings()
+    trigger = stream.trigger(stream.events_trigger)
+    return _writer(sorted_rows, path, checkpoint, SORTED_PARTITIONS, trigger).start()
+
+
 def start_events(
     events: DataFrame, path: str, checkpoint: str, stream: StreamSettings | None = None
 ) -> StreamingQuery:
@@ -85,6 +107,11 @@ def start_hourly(
         return _writer(totals, path, checkpoint, HOURLY_PARTITIONS, trigger).start()
 
 
+def hourly_checkpoint(checkpoints: str) -> str:
+    """Where `start_both` keeps the hourly query's progress and state."""
+    return f"{checkpoints.rstrip('/')}/hourly"
+
+
 def start_both(
     events: DataFrame,
     *,
@@ -101,7 +128,7 @@ def start_both(
     root = checkpoints.rstrip("/")
     first = start_events(events, events_path, f"{root}/events", stream)
     try:
-        second = start_hourly(events, hourly_path, f"{root}/hourly", settings, stream)
+        second = start_hourly(events, hourly_path, hourly_checkpoint(checkpoints), settings, stream)
     except BaseException:
         first.stop()
         raise

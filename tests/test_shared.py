@@ -1,0 +1,201 @@
+"""One query for events, windows and late rows; open windows; clocks that run ahead."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from cellflux import Settings, StreamSettings
+from cellflux.commits import CommitLog
+from cellflux.operators import clean, decode_lines, hourly_totals
+from cellflux.plans import StreamPaths, run_shared, run_stream
+from cellflux.schema import TOTALS
+from cellflux.sources import read_events, read_hourly, stream_text_lines
+from cellflux.streaming import (
+    Compaction,
+    drain_windows,
+    finish_open,
+    in_reach,
+    read_drained,
+    read_shared,
+    shared,
+    start_hourly,
+    start_shared,
+    supervise,
+)
+
+from helpers import parquet_files, rounded
+from test_streaming import HOUR, NOW, arrive, batch_events, clean_stream, line, ordered_lines, sliced  # noqa: F401
+
+TOTAL = [TOTALS[0]]
+
+
+def run(spark, folder, root, checkpoint, per_trigger=1, compaction=Compaction()):
+    query = start_shared(clean_stream(spark, folder, per_trigger), root, checkpoint, stream=NOW, compaction=compaction)
+    assert supervise([query], until_all_end=True) == "finished"
+    return query
+
+
+def test_outputs_are_those_of_two_queries(spark, arrive, ordered_lines, tmp_path):  # noqa: F811
+    for part in sliced(ordered_lines, 4):
+        folder = arrive(part)
+    root = str(tmp_path / "shared")
+    query = run(spark, folder, root, str(tmp_path / "cp"))
+    paths = StreamPaths(str(tmp_path / "two"))
+    run_stream(stream_text_lines(spark, folder, max_files_per_trigger=1), paths.output, str(tmp_path / "cps"), stream=NOW)
+    assert rounded(read_shared(spark, root, "events")) == rounded(read_events(spark, paths.events))
+    hourly = read_hourly(spark, paths.hourly)
+    assert rounded(read_shared(spark, root, "hourly").select(hourly.columns)) == rounded(hourly)
+    assert read_shared(spark, root, "late").count() == 0
+    assert all(len(p["sources"]) == 1 for p in query.recentProgress)
+
+
+def test_restart_goes_on_from_the_commit(spark, arrive, ordered_lines, batch_events, tmp_path):  # noqa: F811
+    root, checkpoint = str(tmp_path / "shared"), str(tmp_path / "cp")
+    for part in sliced(ordered_lines, 3):
+        run(spark, arrive(part), root, checkpoint)
+    events = read_shared(spark, root, "events")
+    assert rounded(events.select(batch_events.columns)) == rounded(batch_events)
+    finish_open(spark, root)
+    finish_open(spark, root)
+    totals = read_shared(spark, root, "hourly")
+    assert rounded(totals.select(hourly_totals(batch_events).columns)) == rounded(hourly_totals(batch_events))
+
+
+@pytest.mark.parametrize("step", ["stage", "commit", "delete_parts"])
+def test_a_batch_that_fails_is_done_once(spark, arrive, ordered_lines, batch_events, tmp_path, monkeypatch, step):  # noqa: F811
+    """Failures before, at and after the commit of the second batch."""
+    root, checkpoint = str(tmp_path / "shared"), str(tmp_path / "cp")
+    folder = [arrive(part) for part in sliced(ordered_lines, 3)][-1]
+    calls = iter(range(100))
+    real = CommitLog.commit if step == "commit" else getattr(shared, step)
+
+    def once(*args, **kwargs):
+        if next(calls) == (6 if step == "stage" else 1):
+            raise RuntimeError("executor lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(*((CommitLog, "commit", once) if step == "commit" else (shared, step, once)))
+    query = start_shared(clean_stream(spark, folder), root, checkpoint, stream=NOW)
+    with pytest.raises(StreamingQueryException, match="executor lost"):
+        supervise([query], until_all_end=True)
+    monkeypatch.undo()
+    run(spark, folder, root, checkpoint)
+    events = read_shared(spark, root, "events")
+    assert rounded(events.select(batch_events.columns)) == rounded(batch_events)
+    finish_open(spark, root)
+    totals = read_shared(spark, root, "hourly")
+    assert rounded(totals.select(hourly_totals(batch_events).columns)) == rounded(hourly_totals(batch_events))
+
+
+def test_late_rows_are_kept_and_not_added(spark, arrive, tmp_path):  # noqa: F811
+    root, checkpoint = str(tmp_path / "shared"), str(tmp_path / "cp")
+    folder = arrive([line(1, 0), line(1, 3 * HOUR)])
+    run(spark, folder, root, checkpoint)
+    arrive([line(1, HOUR - 1, 7.0), line(2, 3 * HOUR, 5.0), line(3, "", 2.0)])
+    run(spark, folder, root, checkpoint)
+    late = read_shared(spark, root, "late").collect()
+    assert [(r.cell_id, r.timestamp, r.sms_in) for r in late] == [(1, HOUR - 1, 7.0)]
+    assert [r[TOTALS[0]] for r in read_shared(spark, root, "hourly").collect()] == [1.0]
+    assert read_shared(spark, root, "events").count() == 5  # with the late row and that without a time
+    still = {(r.cell_id, r[TOTALS[0]]) for r in read_shared(spark, root, "open").collect()}
+    assert still == {(1, 1.0), (2, 5.0)}
+
+
+def test_folders_and_log_stay_few(spark, arrive, tmp_path):  # noqa: F811
+    root, checkpoint = str(tmp_path / "shared"), str(tmp_path / "cp")
+    day = 24 * HOUR
+    for n in range(12):
+        folder = arrive([line(1, n * 6 * HOUR), line(2, n * 6 * HOUR + 1)])
+    run(spark, folder, root, checkpoint, compaction=Compaction(open_folders=2))
+    state = CommitLog(spark, root).latest()
+    dates = [f.split("/")[1] for f in state["events"]]
+    assert len(set(dates)) == 3 and len(dates) <= 4  # 12 triggers, 3 dates, of which one is open
+    assert len(parquet_files(f"{root}/events")) <= 2 * len(dates)
+    assert read_shared(spark, root, "events").count() == 24
+    assert read_shared(spark, root, "events").filter(F.col("timestamp") < day).count() == 8
+
+
+def test_without_compaction_every_batch_has_its_folder(spark, arrive, tmp_path):  # noqa: F811
+    root = str(tmp_path / "shared")
+    for n in range(3):
+        folder = arrive([line(1, n)])
+    run(spark, folder, root, str(tmp_path / "cp"), compaction=None)
+    assert len(CommitLog(spark, root).latest()["events"]) == 3
+
+
+def test_no_rows(spark, arrive, tmp_path):  # noqa: F811
+    root = str(tmp_path / "shared")
+    run(spark, arrive(["nothing"]), root, str(tmp_path / "cp"))
+    assert all(read_shared(spark, root, t).count() == 0 for t in ("events", "hourly", "late", "open"))
+    assert read_shared(spark, str(tmp_path / "never"), "events").count() == 0
+
+
+def test_shared_job_drains(spark, arrive, ordered_lines, batch_events, tmp_path):  # noqa: F811
+    folder = arrive(ordered_lines)
+    run_shared(stream_text_lines(spark, folder), str(tmp_path), str(tmp_path / "cp"), stream=NOW, drain=True)
+    totals = read_shared(spark, StreamPaths(str(tmp_path)).shared, "hourly")
+    want = hourly_totals(batch_events)
+    assert rounded(totals.select(want.columns)) == rounded(want)
+
+
+# ---- open windows of the stateful query ----
+
+
+@pytest.mark.parametrize("rocksdb", [True, False])
+def test_drained_windows_complete_the_totals(spark, arrive, ordered_lines, batch_events, tmp_path, rocksdb):  # noqa: F811
+    """After each of two runs; windows that the second run finishes are not counted twice."""
+    out, checkpoint, drained = (str(tmp_path / n) for n in ("out", "cp", "open"))
+    stream = StreamSettings(available_now=True, state_partitions=3, rocksdb_state=rocksdb)
+    want = hourly_totals(batch_events)
+    first, second = sliced(ordered_lines, 2)
+    for n, part in enumerate((first, second)):
+        folder = arrive(part)
+        query = start_hourly(clean_stream(spark, folder), out, checkpoint, stream=stream)
+        supervise([query], until_all_end=True)
+        if n == 1:  # the drain of the first run is stale by now
+            stale = read_drained(spark, out, drained)
+            assert stale.groupBy("window_start", "cell_id").count().filter("count > 1").count() == 0
+        drain_windows(spark, checkpoint, drained)
+        done = clean(decode_lines(spark.read.text(folder)))
+        assert rounded(read_drained(spark, out, drained).select(want.columns)) == rounded(hourly_totals(done.filter("event_time IS NOT NULL")).select(want.columns))
+
+
+# ---- clocks ----
+
+
+def test_a_row_ahead_of_the_clock_has_no_window(spark, arrive, tmp_path):  # noqa: F811
+    out = str(tmp_path / "out")
+    arrive([line(1, 0), line(9, 4_070_908_800_000)])
+    folder = arrive([line(1, 1), line(1, 2 * HOUR)])
+    query = start_hourly(clean_stream(spark, folder), out, str(tmp_path / "cp"), stream=NOW)
+    supervise([query], until_all_end=True)
+    assert [(r.cell_id, r[TOTALS[0]]) for r in read_hourly(spark, out).collect()] == [(1, 2.0)]
+
+
+def test_the_bound_can_be_left_out(spark, arrive, tmp_path):  # noqa: F811
+    out = str(tmp_path / "out")
+    arrive([line(1, 0), line(9, 4_070_908_800_000)])
+    folder = arrive([line(1, 1), line(1, 2 * HOUR)])
+    events = clean_stream(spark, folder)
+    query = start_hourly(events, out, str(tmp_path / "cp"), Settings(max_ahead=None), NOW)
+    supervise([query], until_all_end=True)
+    # The last window is closed too.
+    assert {(r.cell_id, r[TOTALS[0]]) for r in read_hourly(spark, out).collect()} == {(1, 2.0), (1, 1.0)}
+
+
+def test_in_reach_keeps_the_row(spark):
+    rows = spark.sql("SELECT current_timestamp() + INTERVAL 2 DAYS AS event_time, 1 AS x UNION ALL SELECT NULL, 2 UNION ALL SELECT current_timestamp() + INTERVAL 2 HOURS, 3")
+    got = {r.x: r.event_time is not None for r in in_reach(rows).collect()}
+    assert got == {1: False, 2: False, 3: True}
+
+
+def test_a_far_row_is_an_event_of_the_shared_query(spark, arrive, tmp_path):  # noqa: F811
+    root = str(tmp_path / "shared")
+    arrive([line(1, 0), line(9, 4_070_908_800_000)])
+    folder = arrive([line(1, 1), line(1, 2 * HOUR)])
+    run(spark, folder, root, str(tmp_path / "cp"))
+    assert read_shared(spark, root, "events").count() == 4
+    assert [(r.cell_id, r[TOTALS[0]]) for r in read_shared(spark, root, "hourly").collect()] == [(1, 2.0)]
+    assert read_shared(spark, root, "late").count() == 0
