@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from cellflux.llm.common import materialise, released, worker_cache
 PIECE = 1 << 15  # token ends of both sides in one piece of the merge
 BLOCK = 1 << 22  # bytes of text whose id pairs are counted together
 _TEXT = 1 << 17  # characters that a tokenizer gets at a time
+_KNOWN_WORDS = 200_000  # words that a worker remembers; only speed depends on it
 _PAIRS = 1 << 21  # linked pairs held at a time while they are counted
 _WIDE = 64  # pairs from which on the tokens of a group are added up by id first
 
@@ -41,8 +44,8 @@ class _Side:
         self.tokens = tokens
         self.lengths = np.array([len(t) for t in tokens], np.int64)
 
-    def bytes_of(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+    def bytes_of(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 class ByteLevelSide(_Side):
@@ -86,42 +89,8 @@ class PieceSide(_Side):
         return self.model.encode(texts, num_threads=1)
 
 
-def _parts(text: str) -> list[str]:
-    """A long text cut at single blanks between visible ASCII characters, with those blanks left out.
-
-    Neither tokenizer has a token that reaches over such a blank, and both put a blank before the next part.
-    """
-    out, begin = [], 0
-    while len(text) - begin > _TEXT:
-        cut = _CUT.search(text, begin + _TEXT)
-        if cut is None:
-            break
-        out.append(text[begin : cut.start() + 1])
-        begin = cut.end() - 1
-    out.append(text[begin:])
-    return out
-
-
-_CUT = re.compile(r"[!-~] [!-~]")
-
-
-def _ids(side: _Side, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text, in calls of bounded size."""
-    parts = [_parts(t) for t in texts]
-    flat = [p for text in parts for p in text]
-    ids: list[np.ndarray] = []
-    held, begin = 0, 0
-    for i, part in enumerate(flat):
-        held += len(part)
-        if held > _TEXT or i == len(flat) - 1:
-            ids.extend(np.array(x, np.int32) for x in side.encode(flat[begin : i + 1]))
-            held, begin = 0, i + 1
-    out, at = [], 0
-    for text in parts:
-        own = ids[at : at + len(text)]
-        out.append(own[0] if len(own) == 1 else np.concatenate(own))
-        at += len(text)
-    return out
+# Neither tokenizer has a token that reaches over a blank between these, and both put a blank before the next word.
+_CUT = re.compile(f" (?=[^\\s{_SPACE}])(?<=[^ {_SPACE}] )")
 
 
 def diagonals(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> np.ndarray:
@@ -236,31 +205,80 @@ def _summed(doc: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.nd
     return doc[at], pair[at], np.add.reduceat(times, at) if len(at) else times
 
 
+# A word that can stand between blanks as in `_CUT`.
+_PLAIN = re.compile(rf"^[^\s{_SPACE}](?:.*[^ {_SPACE}])?$", re.DOTALL)
+
+
+def _portions(words: list[str]) -> Iterator[list[str]]:
+    held, begin = 0, 0
+    for i, word in enumerate(words):
+        held += len(word) + 1
+        if held > _TEXT or i == len(words) - 1:
+            yield words[begin : i + 1]
+            held, begin = 0, i + 1
+
+
+def _cut(side: _Side, text: str, whole: bytes, ends: np.ndarray) -> list[bytes] | None:
+    """Ids of each word of a text, by the bytes at which words end; None if not all come back whole."""
+    ids = side.encode([text])[0]
+    if side.bytes_of(ids) != whole:
+        return None
+    raw = np.array(ids, np.int32)
+    token_ends = np.cumsum(side.lengths[raw])
+    stops = np.searchsorted(token_ends, ends)
+    if (token_ends[stops] != ends).any():
+        return None
+    packed, at = raw.tobytes(), [0, *((stops + 1) * 4).tolist()]
+    return [packed[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+
+
 class Aligner:
-    """Groups and links of a block of texts."""
+    """Groups and links of a block of texts.
+
+    A text is cut at single blanks, over which neither tokenizer's tokens reach, so that no group does either. Each
+    distinct word of a block is encoded and aligned once; texts are put together from their words.
+    """
 
     def __init__(self, first: str, second: str):
         self.a, self.b = ByteLevelSide(first), PieceSide(second)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
         # Each id as text, followed by what comes after it: another of its side, the other side, another group.
         self.texts = [f"{i}{after}" for after in ",|;" for i in range(len(self.a.tokens))]
         self.texts += [f"{i}{after}" for after in ",;" for i in range(len(self.b.tokens))]
 
-    def _valid(self, texts: list[str | None]) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
-        """The texts that both tokenizers give back byte for byte, and their ids."""
-        some = [i for i, t in enumerate(texts) if t]
-        given = [texts[i] for i in some]
-        kept, ids_a, ids_b = [], [], []
-        for i, a, b in zip(some, _ids(self.a, given), _ids(self.b, given), strict=True):
-            whole = b" " + texts[i].encode()
-            if self.a.bytes_of(a) == whole and self.b.bytes_of(b) == whole:
-                kept.append(i)
-                ids_a.append(a)
-                ids_b.append(b)
-        return kept, ids_a, ids_b
-
-    def _text(self, a_group, a_ids, b_group, b_ids, doc) -> list[str]:
-        """The groups of each document written out."""
-        n = len(doc)
+    def _learn(self, words: list[str]) -> None:
+        """Encode words not met before. One that does not come back whole has no ids."""
+        plain = [w for w in words if _PLAIN.search(w)]
+        plain_words = set(plain)
+        for some in _portions(plain):
+            # Many words at a time as one text, which is cut at the bytes where words end.
+            sizes = np.array([len(w.encode()) + 1 for w in some], np.int64)
+            whole = b"".join([b" " + w.encode() for w in some])
+            cut = [_cut(side, " ".join(some), whole, np.cumsum(sizes)) for side in (self.a, self.b)]
+            if None in cut:
+                plain_words.difference_update(some)
+            else:
+                self.known.update(zip(some, zip(*cut, strict=True), strict=True))
+        for some in _portions([w for w in words if w not in plain_words]):
+            for w, a, b in zip(some, self.a.encode(some), self.b.encode(some), strict=True):
+                whole = b" " + w.encode()
+                if self.a.bytes_of(a) != whole or self.b.bytes_of(b) != whole:
+                    a = b = []
+                self.known[w] = (array("i", a).tobytes(), array("i", b).tobytes())
+
+    def _encoded(self, words: list[str]) -> tuple[list[bytes], list[bytes]]:
+        if len(self.known) > _KNOWN_WORDS:
+            for old in list(islice(self.known, _KNOWN_WORDS // 2)):
+                del self.known[old]
+        self._learn([w for w in words if w not in self.known])
+        both = [self.known[w] for w in words]
+        return [a for a, _ in both], [b for _, b in both]
+
+    def _texts(self, a_group, a_ids, b_group, b_ids, word) -> list[str]:
+        """The groups of each word written out; `word` is that of each group."""
+        n = len(word)
+        if not n:
+            return []
         a_last = np.r_[a_group[1:] != a_group[:-1], True]
         b_last = np.r_[b_group[1:] != b_group[:-1], True]
         a_count, b_count = np.bincount(a_group, minlength=n), np.bincount(b_group, minlength=n)
@@ -269,53 +287,86 @@ class Aligner:
         out = np.empty(len(a_ids) + len(b_ids), np.int64)
         out[np.arange(len(a_ids)) + (b_through - b_count)[a_group]] = a_ids + size * a_last
         out[np.arange(len(b_ids)) + a_through[b_group]] = 3 * size + b_ids + len(self.b.tokens) * b_last
-        ends = (a_through + b_through)[np.flatnonzero(np.r_[doc[1:] != doc[:-1], True])]
-        words = list(map(self.texts.__getitem__, out.tolist()))
-        return ["".join(words[i:j])[:-1] for i, j in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True)]
+        ends = (a_through + b_through)[np.flatnonzero(np.r_[word[1:] != word[:-1], True])]
+        signs = list(map(self.texts.__getitem__, out.tolist()))
+        return ["".join(signs[i:j])[:-1] for i, j in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True)]
 
     def align(self, texts: list[str | None]) -> tuple[dict, dict]:
         """Per text its counts, groups and linked pairs (places in the pairs of the block, and times); the pairs."""
-        n = len(texts)
-        counts = {c: np.zeros(n, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
-        written = [""] * n
-        kept, ids_a, ids_b = self._valid(texts)
-        if not kept:
-            none = np.zeros(0, np.int64)
-            return {**counts, "groups": written, "sizes": np.zeros(n, np.int64), "pair": none, "times": none}, {
-                "a": none,
-                "b": none,
-                "docs": none,
-            }
-        place = np.array(kept)
-        counts["n_a"][place] = [len(x) for x in ids_a]
-        counts["n_b"][place] = [len(x) for x in ids_b]
-        a_ids, b_ids = np.concatenate(ids_a), np.concatenate(ids_b)
-        a_ends, b_ends = np.cumsum(self.a.lengths[a_ids]), np.cumsum(self.b.lengths[b_ids])
-        a_group, b_group = groups(a_ends, b_ends)
-        # Texts end where both sides end, so that no group reaches over two texts.
-        last = a_group[np.cumsum(counts["n_a"][place]) - 1]
-        counts["n_groups"][place] = np.diff(np.r_[-1, last])
-        doc = np.repeat(place, counts["n_groups"][place])
-        for i, text in zip(kept, self._text(a_group, a_ids, b_group, b_ids, doc), strict=True):
-            written[i] = text
-        docs, pairs, times = (
-            np.concatenate(x) for x in zip(*_linked(doc, a_group, a_ids, b_group, b_ids), strict=True)
-        )
-        np.add.at(counts["n_links"], docs, times)
-        known, where, held = np.unique(pairs, return_inverse=True, return_counts=True)
-        # The pairs of most documents come first, so that places are small numbers.
+        index: dict[str, int] = {}
+        parts = [[index.setdefault(w, len(index)) for w in _CUT.split(t)] if t else [] for t in texts]
+        raw_a, raw_b = self._encoded(list(index))
+        n_a = np.array([len(x) // 4 for x in raw_a], np.int64)
+        n_b = np.array([len(x) // 4 for x in raw_b], np.int64)
+        # A text with a word that does not come back has no tokens.
+        lost = set(np.flatnonzero(n_a == 0).tolist())
+        if lost:
+            parts = [[] if not lost.isdisjoint(p) else p for p in parts]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        text_of = np.repeat(np.arange(len(texts)), sizes)
+        words = np.fromiter((w for p in parts for w in p), np.int64, int(sizes.sum()))
+
+        def total(of_word: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(texts), np.int64)
+            np.add.at(out, text_of, of_word[words])
+            return out
+
+        a_ids, b_ids = np.frombuffer(b"".join(raw_a), np.int32), np.frombuffer(b"".join(raw_b), np.int32)
+        a_group, b_group = groups(np.cumsum(self.a.lengths[a_ids]), np.cumsum(self.b.lengths[b_ids]))
+        # Words end where both sides end, so that no group reaches over two of them.
+        groups_of = np.zeros(len(index), np.int64)
+        some = n_a > 0
+        if len(a_ids):
+            groups_of[some] = np.diff(np.r_[-1, a_group[np.cumsum(n_a[some]) - 1]])
+        word_of = np.repeat(np.arange(len(index)), groups_of)
+        written = dict(zip(np.flatnonzero(some).tolist(), self._texts(a_group, a_ids, b_group, b_ids, word_of), strict=True))
+        links = list(_linked(word_of, a_group, a_ids, b_group, b_ids)) or [(np.zeros(0, np.int64),) * 3]
+        of_word, pairs, times = (np.concatenate(x) for x in zip(*links, strict=True))
+        links_of = np.zeros(len(index), np.int64)
+        np.add.at(links_of, of_word, times)
+        known, which = np.unique(pairs, return_inverse=True)
+
+        text, pair, times = _of_texts(text_of, words, of_word, which, times, len(known))
+        held = np.bincount(pair, minlength=len(known))
+        # The pairs of most texts come first, so that places are small numbers; those of no text stay out.
         order = np.argsort(-held, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
+        order = order[: int((held > 0).sum())]
         rows = {
-            **counts,
-            "groups": written,
-            "sizes": np.bincount(docs, minlength=n),
-            "pair": rank[where],
+            "n_a": total(n_a),
+            "n_b": total(n_b),
+            "n_groups": total(groups_of),
+            "n_links": total(links_of),
+            "groups": [";".join(map(written.__getitem__, p)) for p in parts],
+            "sizes": np.bincount(text, minlength=len(texts)),
+            "pair": rank[pair],
             "times": times,
         }
-        known = known[order]
-        return rows, {"a": known >> 32, "b": known & 0xFFFFFFFF, "docs": held[order]}
+        known, held = known[order], held[order]
+        return rows, {"a": known >> 32, "b": known & 0xFFFFFFFF, "docs": held}
+
+
+def _of_texts(text_of, words, of_word, pair, times, pairs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, pair, times) of the texts' words, each pair of a text once, some texts at a time."""
+    count = np.bincount(of_word, minlength=int(words.max(initial=-1)) + 1)
+    first = np.cumsum(count) - count
+    through = np.cumsum(count[words])
+    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
+    begin = 0
+    while begin < len(words):
+        base = through[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(through, base + _PAIRS, "right")))
+        stop = int(np.searchsorted(text_of, text_of[stop - 1], "right"))  # whole texts
+        own = count[words[begin:stop]]
+        at = np.repeat(first[words[begin:stop]] - np.cumsum(own) + own, own) + np.arange(own.sum())
+        key = np.repeat(text_of[begin:stop], own) * max(pairs, 1) + pair[at]
+        order = np.argsort(key, kind="stable")
+        key, some = key[order], times[at][order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        out.append((key[starts] // max(pairs, 1), key[starts] % max(pairs, 1), np.add.reduceat(some, starts)))
+        begin = stop
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _aligner(first: str, second: str) -> Aligner:

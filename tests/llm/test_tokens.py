@@ -227,9 +227,11 @@ def test_blocks_parts_and_wide_groups_change_nothing(monkeypatch):
     rnd = random.Random(5)
     texts = _random_texts(60) + ["".join(rnd.choices("ab 字🙂", k=300)), "word " * 400, "x" * 3000]
     whole = _brute(texts)
-    for name, value in (("PIECE", 7), ("_TEXT", 50), ("_PAIRS", 3), ("_WIDE", 1)):
+    for name, value in (("PIECE", 7), ("_TEXT", 50), ("_PAIRS", 3), ("_WIDE", 1), ("_KNOWN_WORDS", 2)):
         monkeypatch.setattr(alignment, name, value)
-        rows, pairs = Aligner(FIRST, SECOND).align(texts)
+        aligner = Aligner(FIRST, SECOND)
+        aligner.align(texts[:20])
+        rows, pairs = aligner.align(texts)
         ends = np.cumsum(rows["sizes"])
         for i, (n_a, n_b, text, links) in enumerate(whole):
             some = slice(ends[i] - rows["sizes"][i], ends[i])
@@ -240,6 +242,16 @@ def test_blocks_parts_and_wide_groups_change_nothing(monkeypatch):
             assert (rows["n_a"][i], rows["n_b"][i], rows["groups"][i], own) == (n_a, n_b, text, dict(links)), texts[i]
 
 
+def test_words_are_encoded_as_in_their_text():
+    """Blanks of all kinds around words of all kinds."""
+    signs = ["a", "the", "1", ".", "'s", "é", "字", "🙂", "▁", "\n", "\t", "\u3000", "\xa0", "\x1c", " ", " ", " ", "  "]
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choices(signs, k=rnd.randint(1, 25))) for _ in range(3000)]
+    rows, _ = Aligner(FIRST, SECOND).align(texts)
+    for i, (n_a, n_b, text, _) in enumerate(_brute(texts)):
+        assert (rows["n_a"][i], rows["n_b"][i], rows["groups"][i]) == (n_a, n_b, text), texts[i]
+
+
 def test_many_blocks(spark, documents, monkeypatch):
     """Counts are those of all documents, however these fall into blocks and tasks."""
     docs = documents.limit(60).repartition(5)
