@@ -65,3 +65,11 @@ def ascii_lower(text: str | Column) -> Column:
 def id_fold(doc_id: str | Column, folds: int = 5) -> Column:
     """crc32 of the id written as text, modulo `folds`; a missing id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, with underscores added until no column has it in any spelling."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

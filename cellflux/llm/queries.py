@@ -14,7 +14,7 @@ from cellflux.llm.graphs import nearest
 from cellflux.llm.jaccard import near_groups
 from cellflux.llm.lattice import likelihoods, vocabulary
 from cellflux.llm.licences import licence_matches, licence_sql
-from cellflux.llm.mixing import mixed, mixing_sql, word_count
+from cellflux.llm.mixing import dealt, mixing_sql, word_count
 from cellflux.llm.packing import packed
 from cellflux.llm.pages import extracted
 from cellflux.llm.rollup import RollupStore
@@ -77,16 +77,16 @@ def op6_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's raked weight, its probability and whether the sample has it."""
-    return mixed(table(spark, sf_dir, "documents")).select(
-        "doc_id",
+    """Each document's raked weight, how often it is expected, and how often the sample has it."""
+    return dealt(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"),
         "source",
         "lang",
-        F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("tokens"),
-        F.round("_weight", 8).alias("weight"),
-        F.round("_probability", 8).alias("probability"),
-        F.col("_kept").alias("kept"),
+        "topic",
+        "tokens",
+        F.round("weight", 6).alias("weight"),
+        F.round("expected", 8).alias("expected"),
+        "taken",
     )
 
 

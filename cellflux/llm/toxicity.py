@@ -348,11 +348,10 @@ def labelled_sample(
     picked = known.filter("toxic = 1").orderBy(*order).limit(toxic).unionByName(
         known.filter("toxic = 0").orderBy(*order).limit(clean)
     )
-    return (
-        documents.filter(F.length("text") <= FIT_CHARS)
-        .select("doc_id", "text")
-        .join(F.broadcast(picked), "doc_id")
-    )
+    texts = documents.filter(F.length("text") <= FIT_CHARS).select("doc_id", "text")
+    # One text per id, so that the bounds hold however often an id repeats.
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(one)
 
 
 def fitted(documents: DataFrame, labels: DataFrame, fold: int = 0) -> Machine:

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from cellflux.llm import graphs, jaccard, lattice, packing, pages, toxicity
+from cellflux.llm import graphs, jaccard, lattice, mixing, packing, pages, toxicity
 from cellflux.llm.components import connected
 from cellflux.llm.queries import QUERIES
 from cellflux.llm.words import word_hashes
@@ -485,7 +485,9 @@ def test_stages_take_effect(spark, sf_dir):
     assert sorted(r.doc_id for r in alone.collect()) == sorted(set(component.values()))
     mixed = pipeline.materialise(kept["mixture"](spark, alone, sf_dir), "t")
     assert clean.columns == alone.columns == mixed.columns == docs.columns
-    assert 0 < mixed.count() <= alone.count() and mixed.subtract(alone).isEmpty()
+    assert mixed.subtract(alone).isEmpty() and mixed.count() == mixed.select("doc_id").distinct().count()
+    tokens = [d.agg(F.sum(mixing.word_count("text"))).first()[0] for d in (alone, mixed)]
+    assert pipeline.KEPT_TOKENS - 0.05 < tokens[1] / tokens[0] < 1
     pieces = kept["packing"](spark, mixed, sf_dir)
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in mixed.collect()}
 
@@ -499,6 +501,49 @@ def test_stages_on_odd_rows(spark, odd_documents, sf_dir):
     assert sum(r.doc_id is None for r in alone) == 1
 
 
+def test_whole_pipeline(spark, sf_dir):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    pieces = pipeline.run(spark, sf_dir).collect()
+    by_stage = docs
+    for name, stage in pipeline.STAGES:
+        by_stage = pipeline.materialise(stage(spark, by_stage, sf_dir), f"test-{name}")
+    key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32)
+    assert sorted(map(key, pieces)) == sorted(map(key, by_stage.collect()))
+    in_order = sorted(pieces, key=lambda r: (r.sequence_id, r.offset))
+    ends: dict[int, int] = {}
+    for r in in_order:
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert all(end == 2048 for s, end in ends.items() if s != max(ends))
+
+
+@pytest.fixture
+def clashing_documents(spark, odd_documents):
+    """Columns that bear the names which stages give to their own."""
+    names = ["topic_", "_topic", "_tokens", "_taken", "row", "taken", "weight", "_toxicity", "_toxicity_", "_near_row"]
+    names += ["_group", "place", "_weight", "_source", "_salt", "group", "expected", "topic"]
+    docs = odd_documents.select("doc_id", "text", "lang", "source", "n_chars")
+    return docs.withColumns({c: F.lit(f"own {c}") for c in names})
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_copies", "mixture", "packing"])
+def test_every_stage_on_odd_clashing_and_empty_tables(spark, clashing_documents, sf_dir, name):
+    import corpus_pipeline as pipeline
+
+    stage = dict(pipeline.STAGES)[name]
+    got = stage(spark, clashing_documents, sf_dir)
+    rows = got.collect()
+    if name == "packing":
+        tokens = {r.doc_id: r.doc_tokens for r in rows}
+        assert tokens[1] == tokens[2] == tokens[3] == 1 and tokens[4] > 1  # the end alone, where there is no word
+    else:
+        assert got.columns == clashing_documents.columns
+        assert rows and all(getattr(r, c) == f"own {c}" for r in rows for c in clashing_documents.columns[5:])
+    assert stage(spark, clashing_documents.limit(0), sf_dir).count() == 0
+
+
 def test_texts_not_ids_make_near_copies(spark, sf_dir):
     import corpus_pipeline as pipeline
 
@@ -522,4 +567,4 @@ def test_texts_not_ids_make_near_copies(spark, sf_dir):
 
 
 def test_every_operator_is_a_query():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]

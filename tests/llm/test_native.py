@@ -96,21 +96,84 @@ def test_raked_weights_meet_the_targets(spark):
         "lang": share("lang", ("x", 0.4), (None, 0.6)),
         "topic": share("topic", ("p", 0.5), ("q", 0.5)),
     }
-    rows = mixing.raked(cells, targets, 30).collect()
+    rows = mixing.raked(cells, targets, 1.0, 100.0, 30)
+    total = cells.agg(F.sum("tokens")).first()[0]
     for column, want in (("source", {"a": 0.7, "b": 0.3}), ("lang", {"x": 0.4, None: 0.6}), ("topic", {"p": 0.5, "q": 0.5})):
         for value, goal in want.items():
-            assert sum(r.weight for r in rows if r[column] == value) == pytest.approx(goal, abs=1e-6)
-    assert max(r.probability for r in rows) == pytest.approx(1)
+            assert sum(r.weight for r in rows.collect() if r[column] == value) / total == pytest.approx(goal, abs=1e-6)
+    gaps = mixing.margin_gaps(rows, targets).collect()
+    assert len(gaps) == 6 and max(abs(r.share - r.reached) for r in gaps) < 1e-6
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_bounded_weights_against_plain_loops(spark, monkeypatch, few):
+    """Budget, bounds and targets against the same rule over lists; the way of many cells gives the same."""
+    if not few:
+        monkeypatch.setattr(mixing, "BROADCAST_CELLS", 0)
+    cells = {(s, l, t): 7 ** (i + 1) + 5 * j + k for i, s in enumerate("abc") for j, l in enumerate("xy") for k, t in enumerate("pq")}
+    total, budget, copies = sum(cells.values()), 0.8, 1.0
+    df = spark.createDataFrame([(*c, n) for c, n in cells.items()], "source string, lang string, topic string, tokens long")
+    shares = {c: mixing.tempered_shares(df, c, 0.3) for c in mixing.DIMENSIONS}
+    got = {(r.source, r.lang, r.topic): r.weight for r in mixing.raked(df, shares, budget, copies, 10).collect()}
+    weight = {c: float(n) for c, n in cells.items()}
+    for place, column in enumerate(mixing.DIMENSIONS):
+        share = {r[column]: r.share for r in shares[column].collect()}
+        bound = {v: copies * sum(n for c, n in cells.items() if c[place] == v) for v in share}
+        target, free = {}, set(share)
+        while True:  # fill up: values at their bounds, the others in proportion
+            left = budget * total - sum(bound[v] for v in share if v not in free)
+            target = {v: left * share[v] / sum(share[w] for w in free) if v in free else bound[v] for v in share}
+            over = {v for v in free if target[v] > bound[v]}
+            if not over:
+                break
+            free -= over
+        shares[column] = target
+    for _ in range(10):
+        for place, column in enumerate(mixing.DIMENSIONS):
+            sums = {v: sum(w for c, w in weight.items() if c[place] == v) for v in shares[column]}
+            weight = {c: min(copies * cells[c], w * shares[column][c[place]] / sums[c[place]]) for c, w in weight.items()}
+    assert got == pytest.approx(weight, rel=1e-9)
+    assert sum(got.values()) == pytest.approx(budget * total, rel=0.01)
+    assert all(w <= copies * cells[c] * (1 + 1e-12) for c, w in got.items())
+
+
+def test_a_rare_cell_takes_nothing_from_the_others(spark, documents):
+    """One more document of eleven words, from a new source in a new language."""
+    docs = documents.select("doc_id", "text", "lang", "source")
+    rare = spark.createDataFrame([(10**9, "one two three four five six seven eight nine ten eleven", "zz", "rare")], docs.schema)
+    for budget, copies in ((1.0, 4.0), (0.9, 1.0)):
+        before = {r.row.doc_id: r.expected for r in mixing.dealt(docs, budget=budget, copies=copies).collect()}
+        after = {r.row.doc_id: r.expected for r in mixing.dealt(docs.unionByName(rare), budget=budget, copies=copies).collect()}
+        assert 0.99 < after.pop(10**9) <= copies * (1 + 1e-9)
+        assert max(abs(after[i] / e - 1) for i, e in before.items()) < 0.05
+
+
+def test_margins_of_documents_meet_their_targets(documents):
+    rows = mixing.dealt(documents)
+    cells = mixing.token_cells(rows.select("source", "lang", "topic", "tokens"))
+    shares = {c: mixing.tempered_shares(cells, c) for c in mixing.DIMENSIONS}
+    weights = rows.select("source", "lang", "topic", "weight").distinct()
+    total = cells.agg(F.sum("tokens")).first()[0]
+    for column, share in shares.items():
+        wanted = {r[column]: r.target / total for r in mixing.reachable(cells, column, share, float(total), mixing.COPIES).collect()}
+        reached = {r[column]: r.w / total for r in weights.groupBy(column).agg(F.sum("weight").alias("w")).collect()}
+        assert reached == pytest.approx(wanted, abs=0.01)
+    assert weights.agg(F.sum("weight")).first()[0] == pytest.approx(total, rel=0.01)
 
 
 def test_mixture_of_odd_rows(odd_documents, no_documents, monkeypatch):
-    rows = mixing.mixed(odd_documents).collect()
+    docs = odd_documents.withColumns({c: F.lit(c) for c in ("topic_", "_tokens", "row", "taken", "expected", "_source")})
+    rows = mixing.dealt(docs).collect()
     assert len(rows) == odd_documents.count()
-    assert all(0 <= r._probability <= 1 and r._tokens >= 0 for r in rows)
+    assert all(0 <= r.expected <= mixing.COPIES * (1 + 1e-12) and r.tokens >= 0 and abs(r.taken - r.expected) < 1 for r in rows)
+    assert all(r.row[c] == c for r in rows for c in ("topic_", "_tokens", "row", "taken", "expected", "_source"))
     monkeypatch.setattr(mixing, "BROADCAST_CELLS", 0)  # the way of many cells
-    salted = mixing.mixed(odd_documents).collect()
-    assert sorted(map(repr, salted)) == sorted(map(repr, rows))
-    assert mixing.mixed(no_documents).count() == 0
+    salted = mixing.dealt(docs).collect()
+    place = lambda r: (str(r.row.doc_id), str(r.source), str(r.lang), r.topic, r.taken, round(r.weight, 6))
+    assert sorted(map(place, salted)) == sorted(map(place, rows))
+    assert mixing.dealt(no_documents).count() == 0
+    wordless = mixing.dealt(odd_documents.filter("doc_id IN (1, 2, 3)")).collect()
+    assert [r.taken for r in wordless] == [1, 1, 1]
 
 
 def test_licences_of_odd_rows(spark, odd_documents, no_documents):
