@@ -1,7 +1,8 @@
 """Documents to packed training sequences, stage by stage.
 
 Each stage takes all documents that the one before kept, with the columns of `documents`; the last
-one gives the pieces of the packed sequences. Null texts are empty texts; an empty table passes through.
+one gives the pieces of the packed sequences. Null texts are empty texts; an empty table passes through. Further
+columns come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -9,20 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellflux.llm.common import materialise, table
+from cellflux.llm.common import free_name, materialise, table
 from cellflux.llm.jaccard import BROADCAST_IDS, near_groups
-from cellflux.llm.mixing import mixed
+from cellflux.llm.mixing import dealt
 from cellflux.llm.packing import packed
 from cellflux.llm.queries import word_tokenizer
 from cellflux.llm.toxicity import fitted, scored
 
 TOXIC = 0.5
+KEPT_TOKENS = 0.9  # tokens that the mixture keeps, as a share of those it gets
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the machine, fitted on their labels, does not reject."""
     machine = fitted(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, machine).filter(F.col("_toxicity") < TOXIC).select(docs.columns)
+    score = free_name("_toxicity", docs.columns)
+    return scored(docs, machine, score).filter(F.col(score) < TOXIC).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +36,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     id last; then of the smallest hash of the text, then of the other columns. Only rows to be dropped are
     joined with the texts, and these are broadcast if they are few.
     """
-    rows = materialise(docs.withColumn("_near_row", F.monotonically_increasing_id()), "pipeline-rows")
-    groups = near_groups(rows.select(F.col("_near_row").alias("doc_id"), "text")).select(
-        F.col("doc_id").alias("_near_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_group")
+    row = free_name("_near_row", docs.columns)
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    groups = near_groups(rows.select(F.col(row).alias("doc_id"), "text")).select(
+        F.col("doc_id").alias(row), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group")
     )
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     place = F.struct(
@@ -43,21 +47,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         "doc_id",
         F.xxhash64("text").alias("text"),
         F.xxhash64(F.lit(0), *others).alias("others"),
-        "_near_row",
+        F.col(row).alias("row"),
     )
-    placed = materialise(rows.select("_near_row", place.alias("place")).join(groups, "_near_row"), "pipeline-groups")
-    wordless = F.when(F.col("_group").isNull(), F.col("place.doc_id"))
-    first = placed.groupBy("_group", wordless).agg(F.min("place").alias("place"))
-    first = first.select(F.col("place._near_row").alias("_near_row"))
-    dropped = materialise(placed.select("_near_row").join(first, "_near_row", "left_anti"), "pipeline-dropped")
-    if dropped.count() <= BROADCAST_IDS:
-        dropped = F.broadcast(dropped)
-    return rows.join(dropped, "_near_row", "left_anti").select(docs.columns)
+    # From here on there are no columns of the caller, but for the row number.
+    placed = materialise(rows.select(row, place.alias("#place")).join(groups, row).select(
+        F.col(row).alias("row"), F.col("#place").alias("place"), "group"
+    ), "pipeline-groups")
+    wordless = F.when(F.col("group").isNull(), F.col("place.doc_id"))
+    first = placed.groupBy("group", wordless).agg(F.min("place").alias("place"))
+    first = first.select(F.col("place.row").alias("row"))
+    dropped = materialise(placed.select("row").join(first, "row", "left_anti"), "pipeline-dropped")
+    few = dropped.count() <= BROADCAST_IDS
+    dropped = dropped.select(F.col("row").alias(row))
+    return rows.join(F.broadcast(dropped) if few else dropped, row, "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sample of documents that brings sources, languages and topics to their target weights."""
-    return mixed(docs).filter("_kept").select(docs.columns)
+    """The sample of documents, none of them twice, that brings sources, languages and topics nearest to their weights.
+
+    It has `KEPT_TOKENS` of the tokens: what is scarce stays whole, and what there is too much of gives the rest.
+    """
+    return dealt(docs, budget=KEPT_TOKENS, copies=1.0).filter("taken > 0").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
