@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -21,6 +22,7 @@ ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 10_000
 _KNOWN_WORDS = 600_000
 _SEPARATOR = "<|endoftext|>"
+_GROUP = 4 * PART  # bytes of text whose words are looked up together
 _WHOLE = 1 << 23  # bytes; a longer text is not worth a table of its words
 
 
@@ -50,6 +52,52 @@ def _is_plain(text: bytes) -> bool:
     return bool((points[lead] == 0xC3).all() and not np.isin(after, (0x97, 0xB7)).any())
 
 
+class _Known:
+    """Ids of words by the words' hashes: sorted hashes, and where the ids of each begin in one array.
+
+    Beyond `_KNOWN_WORDS` the half goes that was met longest ago, so that usual words are not learned again.
+    """
+
+    def __init__(self, kind: np.dtype):
+        self.hashes, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, kind)
+        self.turn = 0
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash, and whether it is known."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        self.turn += 1
+        self.used[at[known]] = self.turn
+        return at, known
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        if len(self.hashes) and len(self.hashes) + len(hashes) > _KNOWN_WORDS:
+            self._forget()
+        merged = np.concatenate([self.hashes, hashes])
+        order = np.argsort(merged, kind="stable")
+        begins = len(self.ids) + np.cumsum(sizes) - sizes
+        self.hashes = merged[order]
+        self.used = np.concatenate([self.used, np.full(len(hashes), self.turn)])[order]
+        self.begins = np.concatenate([self.begins, begins])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _forget(self) -> None:
+        """Words of the current turn stay in any case."""
+        keep = self.used > min(np.partition(self.used, len(self.used) // 2)[len(self.used) // 2], self.turn - 1)
+        self.hashes, self.used, sizes = self.hashes[keep], self.used[keep], self.sizes[keep]
+        self.ids = self.ids[_spans(self.begins[keep], sizes)]
+        self.begins, self.sizes = np.cumsum(sizes) - sizes, sizes
+
+
+def _spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after the other."""
+    through = np.cumsum(sizes)
+    return np.repeat(begins - through + sizes, sizes) + np.arange(through[-1] if len(sizes) else 0)
+
+
 class WordEncoder:
     """Ids of a text, word by word, with the ids of words seen before kept.
 
@@ -61,6 +109,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,52 +119,61 @@ class WordEncoder:
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
         self.separator = vocabulary[_SEPARATOR]
-        self.known: dict[bytes, bytes] = {}
+        self.known = {True: _Known(self.kind), False: _Known(self.kind)}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
-
-    def _learn(self, words: list[bytes], *, plain: bool) -> None:
-        letters = [w for w in words if plain and _KINDS[w[0]] == 1]
-        others = [w for w in words if not plain or _KINDS[w[0]] != 1]
-        for part, text, is_end in (
-            (letters, " ", lambda ids: self.ends[ids]),
-            (others, f" {_SEPARATOR} ", lambda ids: ids == self.separator),
-        ):
-            for at in range(0, len(part), 2000):
-                some = part[at : at + 2000]
-                ids = self._ids(text.join(w.decode() for w in some))
-                stops = np.flatnonzero(is_end(ids))
-                if part is letters:
-                    starts = np.r_[0, stops[:-1] + 1]
-                    stops = stops + 1
-                else:
-                    starts, stops = np.r_[0, stops + 1], np.r_[stops, len(ids)]
-                if len(stops) != len(some):
-                    raise ValueError("the tokenizer's word ends do not follow its words")
-                raw, size = ids.tobytes(), self.kind.itemsize
-                for word, a, b in zip(some, (starts * size).tolist(), (stops * size).tolist(), strict=True):
-                    self.known[word] = raw[a:b]
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _learned(self, words: list[bytes], text: str, is_end, keep: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and numbers of ids of words that go to the tokenizer in one text; `keep`: the ending id stays."""
+        all_ids, all_sizes = [], []
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            ids = self._ids(text.join(w.decode() for w in some))
+            last = is_end(ids)
+            stops = np.flatnonzero(last)
+            if keep:
+                sizes = np.diff(np.r_[-1, stops])
+                ended = len(ids) == (stops[-1] + 1 if len(stops) else 0)
+            else:
+                sizes = np.diff(np.r_[-1, stops, len(ids)]) - 1
+                ids, ended = ids[~last], True
+            if len(sizes) != len(some) or not ended:
+                raise ValueError("the tokenizer's word ends do not follow its words")
+            all_ids.append(ids)
+            all_sizes.append(sizes)
+        return all_ids, all_sizes
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray, *, plain: bool) -> None:
+        first = np.array([w[0] for w in words], np.uint8)
+        letters = (_KINDS[first] == 1) if plain else np.zeros(len(words), bool)
+        order = np.r_[np.flatnonzero(letters), np.flatnonzero(~letters)]
+        of_letters = [words[i] for i in order[: letters.sum()].tolist()]
+        others = [words[i] for i in order[letters.sum() :].tolist()]
+        ids, sizes = self._learned(of_letters, " ", lambda ids: self.ends[ids], 1)
+        more_ids, more_sizes = self._learned(others, f" {_SEPARATOR} ", lambda ids: ids == self.separator, 0)
+        self.known[plain].add(
+            hashes[order], np.concatenate(ids + more_ids), np.concatenate(sizes + more_sizes).astype(np.int64)
+        )
 
     def _encode_group(self, texts: list[bytes], *, plain: bool) -> list[bytes]:
         """Ids of the distinct words of all texts, dealt out to where the words stand."""
-        if len(self.known) > _KNOWN_WORDS:
-            self.known.clear()
         ends = np.cumsum([len(t) + 1 for t in texts])
         buffer = b" ".join(texts).lower()
         value, starts, stops = hashed(buffer, _KINDS if plain else NOT_BLANK)
-        _, first, which = np.unique(value, return_index=True, return_inverse=True)
-        words = [buffer[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
-        self._learn([w for w in words if w not in self.known], plain=plain)
-        pieces = [self.known[w] for w in words]
-        flat = np.frombuffer(b"".join(pieces), self.kind)
-        sizes = np.array([len(p) for p in pieces], np.int64) // self.kind.itemsize
-        begins = np.cumsum(sizes) - sizes
-        lengths = sizes[which]
-        through = np.cumsum(lengths)
-        at = np.repeat(begins[which] - through + lengths, lengths) + np.arange(lengths.sum())
-        cuts = np.r_[0, through][np.searchsorted(starts, ends[:-1])]
-        return [part.tobytes() for part in np.split(flat[at], cuts)]
+        distinct, first, which = np.unique(value, return_index=True, return_inverse=True)
+        known = self.known[plain]
+        at, found = known.find(distinct)
+        if not found.all():
+            new = ~found
+            spans = zip(starts[first[new]].tolist(), stops[first[new]].tolist(), strict=True)
+            self._learn([buffer[a:b] for a, b in spans], distinct[new], plain=plain)
+            at, _ = known.find(distinct)
+        at = at[which]
+        lengths = known.sizes[at]
+        flat = known.ids[_spans(known.begins[at], lengths)]
+        cuts = np.r_[0, np.cumsum(lengths)][np.searchsorted(starts, ends[:-1])]
+        return [part.tobytes() for part in np.split(flat, cuts)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text (UTF-8) as little-endian integers of `kind`.
@@ -134,7 +192,7 @@ class WordEncoder:
             at = 0
             while at < len(members):
                 held, stop = 0, at
-                while stop < len(members) and (stop == at or held + len(texts[members[stop]]) <= PART):
+                while stop < len(members) and (stop == at or held + len(texts[members[stop]]) <= _GROUP):
                     held += len(texts[members[stop]])
                     stop += 1
                 part = members[at:stop]
