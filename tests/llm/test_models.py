@@ -54,6 +54,92 @@ def test_articles_keep_passages_that_others_share():
     assert pages.main_texts(bodies) == [f"{passage}\nown {i}" for i in range(3)]
 
 
+CASES = [
+    ("<body><nav>m</nav><div class='content no-sidebar'><article><p>hello world</p></article></div></body>", "hello world"),
+    ("<div class=has-sidebar><article>hello</article></div>", "hello"),
+    ("<body><form><nav>x</nav><article>hello</article></form></body>", "hello"),
+    ("<body><form><div><p>all of the page stands in a form</p></div></form></body>", "all of the page stands in a form"),
+    ("<section id=privacy><article>hello</article></section>", "hello"),
+    ("<section class=privacy><p>what we do with your data, at length</p></section><p>end</p>", "what we do with your data, at length\nend"),
+    ("<article><h2 class=section-header>Head</h2><div class=entry-header><h1>Title</h1></div>text</article>", "Head\nTitle\ntext"),
+    ("<article>one<svg/> two <svg class='a'><path d='x'/></svg>three</article>", "one two three"),
+    ("<article>own text<article class=comment>a reader says</article><div id=comments>more</div></article>", "own text"),
+    ("<article class='post comments-open'>text</article>", "text"),
+    ("<div class=nav>m</div><div ROLE='main'>text</div><div>stray</div>", "text"),
+    ("<article>if <math><mi>x</mi></math> is</article>", "if x is"),
+    ("<article>story of the day</article><aside><article>teaser</article></aside>", "story of the day"),
+    ("<footer><article>the only article</article></footer>", "the only article"),
+    ("<header><h1>Site</h1></header><article><header><h1>T</h1></header>x</article><footer>f</footer>", "T\nx"),
+    ("<article>a<div class='ad-slot'>buy this now</div><p style='display: none'>no</p>b c d e</article>", "a\nb c d e"),
+    ("<nav>only</nav><footer>chrome</footer>", ""),
+    ("a &lt;b&gt;&nbsp;&amp;amp; <!-- <article>no</article> --><br>c\t\n d", "a <b> &amp;\nc d"),
+    ("<article>unclosed <b>text <p>one<p>two", "unclosed text\none\ntwo"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), CASES)
+def test_single_pages(page, text):
+    assert pages.main_texts([page]) == [text]
+
+
+def _host(number: int) -> list[str]:
+    """Pages of one host whose text is known: a sign-up line on two thirds, a passage on a few, some pages without marks."""
+    line = "please sign up for our weekly letter and never miss a story"
+    passage = " ".join(f"shared{k}" for k in range(60))
+    out = []
+    for i in range(number):
+        own = [f"page {i} " + " ".join(f"w{i}x{k}x{j}" for k in range(12)) for j in range(3)]
+        body = f"<p>{own[0]}</p>" + (f"<p>{line}</p>" if i % 3 else "") + f"<p>{own[1]}</p>"
+        body += (f"<p>{passage}</p>" if i % 20 == 1 else "") + f"<p>{own[2]}</p>"
+        site = "<p>all of this site is written by the same three people since long ago</p>"
+        out.append(f"<div>{site}{body}</div>" if i % 5 == 2 else f"<div>{site}</div><article>{body}</article>")
+    return out
+
+
+def _known_text(page: str) -> str:
+    parts = re.findall("<p>(.*?)</p>", page)
+    return "\n".join(p for p in parts if not p.startswith(("please sign", "all of this site")))
+
+
+def test_pages_with_known_text():
+    host = _host(90)
+    assert pages.main_texts(host) == [_known_text(p) for p in host]
+
+
+def test_repetition_decides(monkeypatch):
+    host = _host(90)
+    monkeypatch.setattr(pages, "run_counts", lambda tokens, *rest: np.zeros(len(tokens), np.int64))
+    without = pages.main_texts(host)
+    assert sum(a != _known_text(p) for a, p in zip(without, host, strict=True)) == sum(i % 3 > 0 or i % 5 == 2 for i in range(90))
+
+
+def test_the_size_of_shards_changes_nothing(spark):
+    host = [(i, f"http://one.example/{i}", p) for i, p in enumerate(_host(90))]
+    host += [(1000 + i, "HTTP://One.example/copy", host[4][2]) for i in range(40)]  # copies: many shards' worth
+    host += [(None, "http://one.example/x", host[0][2]), (None, None, host[1][2]), (5000, "http://two.example", host[0][2])]
+    df = spark.createDataFrame(host, "page_id long, url string, html string").repartition(3)
+    for size in (7, 512):
+        rows = pages.extracted(df, size).collect()
+        got = Counter((r.page_id, r.url, r.text) for r in rows)
+        small = {None: "", "http://two.example": ""}
+        want = Counter()
+        for page_id, url, page in host:
+            # A page that is alone on its host repeats nothing.
+            text = _known_text(page) if url not in small else pages.main_texts([page])[0]
+            want[page_id, url, text] += 1
+        assert got == want, size
+
+
+def test_lists_of_runs_in_several_parts(spark, monkeypatch):
+    monkeypatch.setattr(pages, "_RUNS_AT_ONCE", 1)
+    monkeypatch.setattr(pages, "BROADCAST_ROWS", 0)
+    rows = [(i, f"http://h{h}.example/{i}", p) for h in range(3) for i, p in enumerate(_host(30))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = Counter((r.url, r.text) for r in pages.extracted(df, 7).collect())
+    want = Counter((url, text) for h in range(3) for (_, url, _), text in zip(rows[h * 30 :], pages.main_texts(_host(30)), strict=False))
+    assert got == want
+
+
 def test_suffix_runs_against_brute_force():
     draw = np.random.default_rng(1)
     streams = [draw.integers(0, 3, draw.integers(0, 60)) for _ in range(12)]
