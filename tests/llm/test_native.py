@@ -184,6 +184,54 @@ def test_licences_of_odd_rows(spark, odd_documents, no_documents):
     assert [(r.doc_id, r.template, r.dice, r.units) for r in got] == [(1, "mit", 1.0, 2)]
 
 
+MIT = licences.TEMPLATES["mit-text"]
+NOTICES = [
+    ("This work is licensed under the GNU General\nPublic License, version 3." + " more words" * 10, "gpl-3.0"),
+    ("Some code.\n\n# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General\n"
+     "# Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\nx = 1", "gpl-3.0-notice"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Preamble follows here", "gpl-3.0-title"),
+    ("word " * 50 + MIT.replace(" ", "\n", 40) + " word" * 50, "mit-text"),
+    ("intro " + MIT.replace("merge, ", "").replace("hereby ", "") + " end", "mit-text"),
+    ("a paragraph that goes on. " + licences.TEMPLATES["apache-2.0-notice"] + " http://www.apache.org/ and on it goes", "apache-2.0-notice"),
+]
+
+
+@pytest.mark.parametrize(("text", "template"), NOTICES)
+def test_notices_are_found_across_lines_and_sentences(spark, duck, text, template):
+    rows = [(1, text), (2, "nothing of the kind under any licence"), (3, "")]
+    got = licences.licence_matches(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    best = {r.template: r.dice for r in got}
+    assert {r.doc_id for r in got} == {1} and best[template] >= 0.9
+
+
+def test_windows_against_brute_force(spark):
+    """Every probe of every template in random mixtures of the templates' words."""
+    rnd = random.Random(2)
+    plan = licences._Plan(licences.TEMPLATES, licences.THRESHOLD)
+    pieces = [w[i : i + n] for w in plan.words.values() for n in (3, 6, 12, 40) for i in range(0, len(w), n)]
+    texts = [" ".join(w for _ in range(rnd.randint(1, 8)) for w in rnd.choice(pieces)) for _ in range(150)]
+    texts += [" ".join(w + ["x"] + w[1:]) for w in plan.words.values()]
+    want = {}
+    for doc, text in enumerate(texts):
+        words = text.split()
+        pairs = [" ".join(p) for p in zip(words, words[1:], strict=False)]
+        starts = {
+            (k, max(min(i - place, len(words) - len(plan.words[k])), 0))
+            for i, g in enumerate(pairs)
+            for k, place in plan.probes.get(g, [])
+        }
+        for k, s in starts:
+            window, b = set(pairs[s : s + len(plan.words[k]) - 1]), set(plan.places[k])
+            dice = 2 * len(window & b) / (len(window) + len(b))
+            if dice >= licences.THRESHOLD:
+                old = want.get((doc, k), (0, 0))
+                want[doc, k] = (max(old[0], dice), old[1] + 1)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {(r.doc_id, r.template): (r.dice, r.units) for r in licences.licence_matches(df).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert {k for d, k in want if d >= 150} == set(plan.words)
+
+
 def test_rollup_takes_each_batch_once(spark, tmp_path):
     def events(*rows):
         return spark.createDataFrame(
