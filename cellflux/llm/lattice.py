@@ -19,15 +19,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellflux.llm.common import id_fold, materialise
+from cellflux.llm.common import id_fold, materialise, released
 from cellflux.llm.words import hashed
 
 ROUNDS = 3
 CLASSES = 8  # most frequent languages that are a class each; the others are one more
 HELD_OUT = 1  # of five folds
 BLOCK_BYTES = 8 << 20  # text in one block of documents
-DOCUMENTS_PER_BUCKET = 2000
-_LONGEST = 16  # characters of a piece
+_LONGEST = 16  # characters of a piece; longer ones, of which the given vocabulary has none, are left out
 _PRIOR = 0.1  # added to the expected count of each piece
 _SPACE = "▁"
 
@@ -151,7 +150,7 @@ def vocabulary(path: str) -> tuple[list[str], np.ndarray]:
     return pieces, np.log(weight / weight.sum())
 
 
-# --- blocks of documents, and buckets of words ----------------------------------
+# --- blocks of documents, and their words ----------------------------------------
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -162,24 +161,14 @@ def _unpacked(raw: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(raw, max_output_size=2**31), kind)
 
 
-_BLOCKS = (
-    "block string, bucket int, hashes binary, words binary, train binary, ids binary, held binary, "
-    "which binary, lengths binary"
-)
+_BLOCKS = "block bigint, words binary, train binary, ids binary, held binary, which binary, lengths binary"
 
 
-def _blocks(buckets: int, block_bytes: int, classes: int):
-    """Per block of documents one row with its texts as word numbers, and one per bucket with its words.
-
-    The words of a block are numbered by hash; a bucket holds a range of hashes.
-    """
+def _blocks(block_bytes: int, classes: int):
+    """Per block of documents one row: its distinct words with their training counts, and its texts as places among them."""
     names = [c.split()[0] for c in _BLOCKS.split(", ")]
-    edges = (np.arange(1, buckets, dtype=object) * (2**64) // buckets).astype(np.uint64)
 
-    def rows_of(part: list[tuple]) -> pa.RecordBatch:
-        import uuid
-
-        block = uuid.uuid4().hex
+    def row_of(block: int, part: list[tuple]) -> pa.RecordBatch:
         texts = [t for _, _, t, _ in part]
         buffer = b" ".join(texts).lower()
         value, starts, stops = hashed(buffer)
@@ -194,23 +183,15 @@ def _blocks(buckets: int, block_bytes: int, classes: int):
         words = [buffer[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
         ids = np.array([d if d is not None else -(2**63) for d, *_ in part], np.int64)
         held = np.array([h for _, h, _, _ in part], bool)
-        rows = [
-            (block, -1, None, None, None, _packed(ids), _packed(held), _packed(which.astype(np.uint32)), _packed(lengths))
-        ]
-        bounds = np.r_[0, np.searchsorted(distinct, edges), len(distinct)].tolist()
-        for bucket, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-            if a < b:
-                text = zstandard.compress(b"\n".join(words[a:b]), 1)
-                rows.append((block, bucket, distinct[a:b].tobytes(), text, _packed(counts[a:b]), *[None] * 4))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(c, pa.string() if n == "block" else pa.int32() if n == "bucket" else pa.binary())
-                for n, c in zip(names, zip(*rows, strict=True), strict=True)
-            ],
-            names=names,
-        )
+        row = [zstandard.compress(b"\n".join(words), 1), _packed(counts), _packed(ids), _packed(held)]
+        row += [_packed(which.astype(np.uint32)), _packed(lengths)]
+        columns = [pa.array([block], pa.int64()), *[pa.array([x], pa.binary()) for x in row]]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 32
         part: list[tuple] = []
         held_bytes = 0
         for batch in batches:
@@ -218,162 +199,155 @@ def _blocks(buckets: int, block_bytes: int, classes: int):
             own = [batch.column(c).to_pylist() for c in ("doc_id", "held_out", "kind")]
             for row in zip(own[0], own[1], texts, own[2], strict=True):
                 if part and held_bytes + len(row[2]) > block_bytes:
-                    yield rows_of(part)
-                    part, held_bytes = [], 0
+                    yield row_of(block, part)
+                    part, held_bytes, block = [], 0, block + 1
                 part.append(row)
                 held_bytes += len(row[2]) + 1
         if part:
-            yield rows_of(part)
+            yield row_of(block, part)
 
     return run
 
 
-_BUCKETS = "bucket int, block string, words binary, counts binary, at binary"
-
-
-def _counted(classes: int):
-    """The distinct words of a bucket with their training counts, and each block's places among them."""
-
-    def run(rows):
-        import pandas as pd
+def _opened(raw: bytes) -> list[bytes]:
+    text = zstandard.decompress(raw, max_output_size=2**31)
+    return text.split(b"\n") if text else []
 
-        hashes = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
-        distinct, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        counts = np.zeros((len(distinct), classes), np.int64)
-        bucket = int(rows["bucket"].iloc[0])
-        out, at = [], 0
-        sample = np.empty(len(distinct), object)
-        for block, own, text, train in zip(rows["block"], hashes, rows["words"], rows["train"], strict=True):
-            mine = which[at : at + len(own)]
-            counts[mine] += _unpacked(train, np.int64).reshape(-1, classes)
-            words = zstandard.decompress(text, max_output_size=2**31).split(b"\n")
-            for place in np.flatnonzero((first >= at) & (first < at + len(own))).tolist():
-                sample[place] = words[first[place] - at]
-            at += len(own)
-            out.append((bucket, block, None, None, _packed(np.diff(mine, prepend=0).astype(np.uint32))))
-        text = zstandard.compress(b"\n".join(sample.tolist()), 1)
-        out.append((bucket, None, text, _packed(counts), None))
-        return pd.DataFrame(out, columns=["bucket", "block", "words", "counts", "at"])
-
-    return run
 
+def _count_names(classes: int) -> list[str]:
+    return [f"c{k}" for k in range(classes)]
 
-def _words_of(raw: bytes) -> list[str]:
-    return [w.decode("utf-8", "replace") for w in zstandard.decompress(raw, max_output_size=2**31).split(b"\n")]
 
-
-def _totals(classes: int):
-    """Training tokens of each class, and at -1 the number of distinct training words."""
+def _entries(classes: int | None):
+    """The words of the blocks as rows: word and counts; without `classes` word, block and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for raw in batch.column("counts").to_pylist():
-                counts = _unpacked(raw, np.int64).reshape(-1, classes)
-                total = [*counts.sum(axis=0).tolist(), int((counts.sum(axis=1) > 0).sum())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*range(classes), -1], pa.int64()), pa.array(total, pa.int64())], names=["kind", "tokens"]
-                )
-
-    return run
+            for i in range(batch.num_rows):
+                words = _opened(batch.column("words")[i].as_py())
+                if classes:
+                    counts = _unpacked(batch.column("train")[i].as_py(), np.int64).reshape(-1, classes)
+                    # Words of held-out texts only have no part in any count.
+                    columns = [pa.array(np.ascontiguousarray(counts[:, k])) for k in range(classes)]
+                    names = _count_names(classes)
+                else:
+                    block = np.full(len(words), batch.column("block")[i].as_py(), np.int64)
+                    columns, names = [pa.array(block), pa.array(np.arange(len(words), dtype=np.int32))], ["block", "place"]
+                word = pa.array(words, pa.binary()).cast(pa.string())
+                out = pa.RecordBatch.from_arrays([word, *columns], names=["word", *names])
+                for at in range(0, len(words), 20_000):
+                    yield out.slice(at, 20_000)
+
+    return lambda batches: released(run(batches))
 
 
 def _shares(counts: np.ndarray, tokens: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Relative frequencies of words in each class and in all, with `less` taken from every count."""
+    """Relative frequencies of words in each class and in all, with `less` taken from every count.
+
+    `tokens` are words without ends, so that the shares of all words add up to 1.
+    """
     own = np.maximum(counts - less, 0) / np.maximum(tokens - less, 1)
     whole = np.maximum(counts.sum(axis=1) - less, 0) / max(1, tokens.sum() - less)
     return own, whole[:, None]
 
 
+def _word_batches(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
+    for batch in batches:
+        counts = [batch.column(c).to_numpy(zero_copy_only=False) for c in _count_names(classes)]
+        yield batch, batch.column("word").to_pylist(), np.stack(counts, axis=1)
+
+
 def _expectation(lattice, weights, mix: tuple[float, ...], tokens: np.ndarray):
     """Expected uses of each piece, and at -3, -2 and -1 how many tokens each kind of arc accounts for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, logs = lattice.value, weights.value
         total, by_kind = np.zeros(len(logs)), np.zeros(3)
-        for batch in batches:
-            for raw, packed in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                counts = _unpacked(packed, np.int64).reshape(-1, len(tokens))
-                seen = np.flatnonzero(counts.any(axis=1))
-                every = _words_of(raw)
-                words, counts = [every[i] for i in seen.tolist()], counts[seen]
-                for places, chars in by_length(words):
-                    arcs = trie.arcs(chars)
-                    pieces = np.exp(trie.forward(chars, arcs, logs)[:, -1])[:, None]
-                    c = counts[places]
-                    own, whole = _shares(c, tokens, 1)
-                    parts = [mix[0] * own, mix[1] * whole, mix[2] * pieces]
-                    scale = c / np.maximum(parts[0] + parts[1] + parts[2], 1e-300)
-                    by_kind += [float((p * scale).sum()) for p in parts]
-                    trie.expected(chars, arcs, logs, (parts[2] * scale).sum(axis=1), total)
+        for _, words, counts in _word_batches(batches, len(tokens)):
+            for places, chars in by_length(words):
+                arcs = trie.arcs(chars)
+                pieces = np.exp(trie.forward(chars, arcs, logs)[:, -1])[:, None]
+                c = counts[places]
+                own, whole = _shares(c, tokens, 1)
+                parts = [mix[0] * own, mix[1] * whole, mix[2] * pieces]
+                scale = c / np.maximum(parts[0] + parts[1] + parts[2], 1e-300)
+                by_kind += [float((p * scale).sum()) for p in parts]
+                trie.expected(chars, arcs, logs, (parts[2] * scale).sum(axis=1), total)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.r_[used, -3, -2, -1]), pa.array(np.r_[total[used], by_kind])], names=["piece", "uses"]
         )
 
-    return run
+    return lambda batches: released(run(batches))
+
 
+def word_logs(
+    lattice: Lattice, logs: np.ndarray, mix: tuple[float, ...], tokens: np.ndarray, ends: np.ndarray, words: list[str], counts: np.ndarray
+) -> np.ndarray:
+    """Natural log probability of each word, before which no end came, in each class.
 
-def _answered(lattice, weights, classes: int):
-    """For each block its words' counts and log probabilities by pieces, in the order of the block's words."""
+    What is not an end is a word: by its share of the class's words, by that of all words, or by the pieces. Each of
+    the three adds up to 1 over all words (the pieces', since a word goes on until the next piece begins with a
+    space), or to less, so that words and end together do.
+    """
+    by_pieces = np.empty(len(words))
+    for places, chars in by_length(words):
+        by_pieces[places] = lattice.forward(chars, lattice.arcs(chars), logs)[:, -1]
+    own, whole = _shares(counts, tokens)
+    with np.errstate(divide="ignore"):
+        by_words = np.log(mix[0] * own + mix[1] * whole)
+        either = np.logaddexp(by_words, (by_pieces + math.log(mix[2]))[:, None])
+        return either + np.log1p(-ends)
 
-    def run(rows):
-        import pandas as pd
 
-        trie, logs = lattice.value, weights.value
-        head = rows[rows["block"].isna()].iloc[0]
-        words, counts = _words_of(head["words"]), _unpacked(head["counts"], np.int64).reshape(-1, classes)
-        score = np.empty(len(words))
-        for places, chars in by_length(words):
-            score[places] = trie.forward(chars, trie.arcs(chars), logs)[:, -1]
-        out = []
-        for block, at in zip(rows["block"], rows["at"], strict=True):
-            if isinstance(block, str):
-                mine = np.cumsum(_unpacked(at, np.uint32).astype(np.int64))
-                scores = score[mine].astype(np.float32).tobytes()
-                out.append((block, int(head["bucket"]), _packed(counts[mine]), scores))
-        return pd.DataFrame(out, columns=["block", "bucket", "counts", "scores"])
+def _scored_words(lattice, weights, mix: tuple[float, ...], tokens: np.ndarray, ends: np.ndarray):
+    """Words with their counts over all classes and their log probability in each."""
+    names = ["word", "count", *[f"l{k}" for k in range(len(tokens))]]
 
-    return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, words, counts in _word_batches(batches, len(tokens)):
+            logs = word_logs(lattice.value, weights.value, mix, tokens, ends, words, counts).astype(np.float32)
+            columns = [pa.array(np.ascontiguousarray(logs[:, k])) for k in range(len(tokens))]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(counts.sum(axis=1)), *columns], names=names)
+
+    return lambda batches: released(run(batches))
+
+
+_SCORES = "doc_id bigint, held_out boolean, n_words bigint, n_known bigint, count_logs double, score double"
 
 
-def _document_scores(mix: tuple[float, ...], tokens: np.ndarray, priors: np.ndarray, ends: np.ndarray):
+def _document_scores(priors: np.ndarray, ends: np.ndarray):
     """Per document of a block its tokens and sums."""
-    classes = len(tokens)
-
-    def run(blocks, answers):
-        import pandas as pd
-
-        names = ["doc_id", "held_out", "n_words", "n_known", "count_logs", "score"]
-        answers = answers.sort_values("bucket")
-        counts = np.concatenate(
-            [_unpacked(c, np.int64) for c in answers["counts"]] + [np.zeros(0, np.int64)]
-        ).reshape(-1, classes)
-        logs = np.concatenate([np.frombuffer(s, np.float32) for s in answers["scores"]] + [np.zeros(0, np.float32)])
-        own, whole = _shares(counts, tokens)
-        by_words = mix[0] * own + mix[1] * whole
-        with np.errstate(divide="ignore"):
-            word_logs = np.logaddexp(np.log(by_words), (logs.astype(np.float64) + math.log(mix[2]))[:, None])
-            end_logs = np.log(priors) + np.log(ends)
-        counts = counts.sum(axis=1)
-        parts = []
-        for _, row in blocks.iterrows():
+    classes = len(priors)
+    with np.errstate(divide="ignore"):
+        end_logs = np.log(priors) + np.log(ends)
+
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        names = [field.split()[0] for field in _SCORES.split(", ")]
+        place = answers.column("place").to_numpy()
+        counts = np.zeros(len(place), np.int64)
+        counts[place] = answers.column("count").to_numpy()
+        logs = np.zeros((len(place), classes))
+        for k in range(classes):
+            logs[place, k] = answers.column(f"l{k}").to_numpy()
+        out = []
+        for row in blocks.select(["ids", "held", "which", "lengths"]).to_pylist():
             which, lengths = _unpacked(row["which"], np.uint32), _unpacked(row["lengths"], np.int64)
-            stops = np.cumsum(lengths)
+            text = np.repeat(np.arange(len(lengths)), lengths)
 
-            def sums(values, stops=stops, lengths=lengths, which=which):
-                through = np.r_[0.0, np.cumsum(values[which])]
-                return through[stops] - through[stops - lengths]
+            def sums(values, text=text, which=which, lengths=lengths):
+                return np.bincount(text, weights=values[which], minlength=len(lengths)).astype(float)
 
-            by_class = np.stack([sums(word_logs[:, k]) + end_logs[k] for k in range(classes)])
+            by_class = np.stack([sums(logs[:, k]) + end_logs[k] for k in range(classes)])
             best = by_class.max(axis=0)
             score = (best + np.log(np.exp(by_class - best).sum(axis=0))) / math.log(10)
             raw = _unpacked(row["ids"], np.int64)
-            ids = pd.array(raw, dtype="Int64")
-            ids[raw == -(2**63)] = pd.NA
             known = sums((counts > 0).astype(np.float64)).round().astype(np.int64)
-            columns = (ids, _unpacked(row["held"], bool), lengths, known, sums(np.log10(counts + 0.5)), score)
-            parts.append(pd.DataFrame(dict(zip(names, columns, strict=True))))
-        return pd.concat(parts) if parts else pd.DataFrame(columns=names)
+            columns = [pa.array(raw, mask=raw == -(2**63)), _unpacked(row["held"], bool), lengths, known]
+            columns += [sums(np.log10(counts + 0.5)), score]
+            out.append(pa.table(dict(zip(names, [pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], strict=True))))
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.concat_tables(out) if out else pa.schema(zip(names, kinds, strict=True)).empty_table()
 
     return run
 
@@ -388,8 +362,9 @@ def likelihoods(
     whole-word arcs have no weight and the pieces keep the vocabulary's. Rows with equal doc_id are scored each.
 
     Documents travel as blocks of some megabytes in which a word stands once, so that the most frequent word of the
-    corpus is one entry per block, and words as buckets of their hashes. What the driver gets is a number per piece.
-    A word's log probability is rounded to single precision on its way to the blocks.
+    corpus is one row per block, added up in each task before it is shuffled. A word's probabilities go back to the blocks
+    that hold it as one row each, in single precision; adaptive execution splits those of a very frequent word.
+    What the driver gets is a number per piece.
     """
     spark = documents.sparkSession
     rows = documents.select(
@@ -398,11 +373,8 @@ def likelihoods(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
     )
-    per_class = rows.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("documents"), F.count_if(~F.col("held_out")).alias("train")
-    )
+    per_class = rows.groupBy("lang").agg(F.count_if(~F.col("held_out")).alias("train"))
     per_class = materialise(per_class, "lm-classes")
-    number = per_class.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
     all_ends = per_class.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
     named = per_class.filter("train > 0").orderBy(F.desc("train"), "lang").limit(CLASSES).collect()
     classes = len(named) + 1
@@ -412,22 +384,26 @@ def likelihoods(
         kind = F.when(F.col("lang") == r.lang, i).otherwise(kind)
     rows = rows.withColumn("kind", kind).drop("lang")
 
-    buckets = max(1, math.ceil(number / DOCUMENTS_PER_BUCKET))
-    blocks = materialise(rows.mapInArrow(_blocks(buckets, block_bytes, classes), _BLOCKS), "lm-blocks")
-    asked = blocks.filter("bucket >= 0").select("block", "bucket", "hashes", "words", "train")
-    counted = materialise(asked.groupBy("bucket").applyInPandas(_counted(classes), _BUCKETS), "lm-words")
-    words = counted.filter("block IS NULL").select("words", "counts")
-    found = words.select("counts").mapInArrow(_totals(classes), "kind bigint, tokens bigint")
-    sums = {r.kind: r.tokens for r in found.groupBy("kind").agg(F.sum("tokens").alias("tokens")).collect()}
-    tokens = ends + np.array([sums.get(k, 0) for k in range(classes)], np.int64)
-    train_tokens, kinds = int(tokens.sum()), sums.get(-1, 0) + (all_ends > 0)
+    made = rows.mapInArrow(lambda batches: released(_blocks(block_bytes, classes)(batches)), _BLOCKS)
+    blocks = materialise(made, "lm-blocks")
+    names = _count_names(classes)
+    counted = blocks.select("words", "train").mapInArrow(
+        _entries(classes), "word string, " + ", ".join(f"{c} bigint" for c in names)
+    )
+    words = counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in names])
+    words = materialise(words, "lm-words")
+    seen = sum((F.col(c) for c in names[1:]), F.col(names[0])) > 0
+    sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.count_if(seen).alias("kinds")).first()
+    tokens = np.array([sums[c] for c in names], np.int64)  # words, without the ends
+    train_tokens, kinds = int(tokens.sum()) + all_ends, sums["kinds"] + (all_ends > 0)
 
     lattice = spark.sparkContext.broadcast(Lattice(pieces))
     logs = np.asarray(start, np.float64)
-    mix = (0.5, 0.2, 0.3) if train_tokens > all_ends else (0.0, 0.0, 1.0)
-    for _ in range(rounds if train_tokens > all_ends else 0):
+    learned = int(tokens.sum()) > 0
+    mix = (0.5, 0.2, 0.3) if learned else (0.0, 0.0, 1.0)
+    for _ in range(rounds if learned else 0):
         sent = spark.sparkContext.broadcast(logs)
-        found = words.mapInArrow(_expectation(lattice, sent, mix, tokens), "piece bigint, uses double")
+        found = words.filter(seen).mapInArrow(_expectation(lattice, sent, mix, tokens), "piece bigint, uses double")
         uses = {r.piece: r.uses for r in found.groupBy("piece").agg(F.sum("uses").alias("uses")).collect()}
         by_kind = np.maximum([uses.pop(k, 0.0) for k in (-3, -2, -1)], 1e-6)
         mix = tuple((by_kind / by_kind.sum()).tolist())
@@ -435,18 +411,18 @@ def likelihoods(
         total[list(uses)] += list(uses.values())
         logs = np.log(total / total.sum())
     sent = spark.sparkContext.broadcast(logs)
-    answers = counted.groupBy("bucket").applyInPandas(
-        _answered(lattice, sent, classes), "block string, bucket int, counts binary, scores binary"
-    )
-    texts = blocks.filter("bucket < 0").select("block", "ids", "held", "which", "lengths")
     # Without training documents every class is alike, and an end as likely as not.
     priors = ends / all_ends if all_ends else np.full(classes, 1 / classes)
-    at_end = ends / np.maximum(tokens, 1) if all_ends else np.full(classes, 0.5)
-    shape = "doc_id bigint, held_out boolean, n_words bigint, n_known bigint, count_logs double, score double"
+    at_end = ends / np.maximum(tokens + ends, 1) if all_ends else np.full(classes, 0.5)
+    shape = "word string, count bigint, " + ", ".join(f"l{k} float" for k in range(classes))
+    answers = materialise(words.mapInArrow(_scored_words(lattice, sent, mix, tokens, at_end), shape), "lm-scores")
+    held = blocks.select("block", "words").mapInArrow(_entries(None), "word string, block bigint, place int")
+    told = held.join(answers, "word").drop("word").withColumnRenamed("block", "of_block")
+    texts = blocks.select("block", "ids", "held", "which", "lengths")
     scored = (
         texts.groupBy("block")
-        .cogroup(answers.groupBy("block"))
-        .applyInPandas(_document_scores(mix, tokens, priors, at_end), shape)
+        .cogroup(told.groupBy("of_block"))
+        .applyInArrow(_document_scores(priors, at_end), _SCORES)
     )
     below = math.log10(train_tokens + 0.5 * (kinds + 1))
     return scored.select(

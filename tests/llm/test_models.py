@@ -220,15 +220,88 @@ def test_likelihood_contract(spark, documents, odd_documents, no_documents):
     assert lattice.likelihoods(no_documents, *vocabulary).count() == 0
 
 
-def test_word_probabilities_sum_to_less_than_one(spark):
-    """All texts of up to one word over two letters, under a model fitted to some of them."""
+def _fitted(spark, rows, monkeypatch, **settings):
+    """The scores, and what the model consists of."""
     import public_tokenizers
 
+    known = {}
+    real = lattice._scored_words
+
+    def spy(trie, weights, mix, tokens, ends):
+        known.update(trie=trie.value, logs=weights.value, mix=mix, tokens=tokens, ends=ends)
+        return real(trie, weights, mix, tokens, ends)
+
+    monkeypatch.setattr(lattice, "_scored_words", spy)
     vocabulary = lattice.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
-    texts = [""] + [format(i, f"0{n}b").translate({48: "a", 49: "b"}) for n in range(1, 9) for i in range(2**n)]
-    rows = [(i, t, "en") for i, t in enumerate(texts)]
-    scores = lattice.likelihoods(spark.createDataFrame(rows, "doc_id long, text string, lang string"), *vocabulary, rounds=3)
-    assert 0.3 < sum(10**r.score for r in scores.collect()) < 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return lattice.likelihoods(df, *vocabulary, **settings).collect(), known
+
+
+def test_scores_against_brute_force(spark, monkeypatch):
+    """The whole mixture: classes, their words, all words, and every segmentation of each word."""
+    draw = np.random.default_rng(5)
+    stock = ["the", "that", "one", "of", "sum", "é", "ab", "abab", "zzz", "x1"]
+    langs = ["en", "fr", None, "de"]
+    rows = [(i, " ".join(draw.choice(stock, draw.integers(0, 9)).tolist()), langs[i % 4]) for i in range(60)]
+    rows += [(100, "unseen words here", "xx"), (101, None, "en"), (102, "", "fr")]
+    got, model = _fitted(spark, rows, monkeypatch, rounds=2)
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, *_ in rows}
+    train = [(t or "", "" if k is None else k) for i, t, k in rows if not held[i]]
+    kinds = sorted(Counter(k for _, k in train).items(), key=lambda x: (-x[1], x[0]))[: lattice.CLASSES]
+    classes = [k for k, _ in kinds]
+    by_class = [Counter(w for t, k in train if k == c for w in t.split()) for c in classes]
+    whole = sum(by_class, Counter())
+    numbers = {p: math.exp(x) for p, x in zip(model["trie"].pieces, model["logs"], strict=False)}
+
+    def pieces(word):
+        if not word:
+            return 1.0
+        out = sum(numbers[word[:n]] * pieces(word[n:]) for n in range(1, len(word) + 1) if word[:n] in numbers)
+        if word[0] not in numbers:
+            own = sum(model["logs"][len(model["trie"].pieces) + b] for b in word[0].encode())
+            out += math.exp(own) * pieces(word[1:])
+        return out
+
+    for r in got:
+        text = next(t for i, t, _ in rows if i == r.doc_id) or ""
+        total = 0.0
+        for k, c in enumerate(classes):
+            ends = sum(kind == c for _, kind in train)
+            size = sum(by_class[k].values())
+            end = ends / (size + ends)
+            chance = ends / len(train) * end
+            for w in text.split():
+                share = model["mix"][0] * by_class[k][w] / max(size, 1) + model["mix"][1] * whole[w] / sum(whole.values())
+                chance *= (1 - end) * (share + model["mix"][2] * pieces("▁" + w))
+            total += chance
+        assert r.score == pytest.approx(math.log10(total), abs=1e-4), text
+
+
+def test_probabilities_of_all_texts_sum_to_one(spark, monkeypatch):
+    """By closed sums over all lengths, nothing cut: words by pieces, then texts by words."""
+    rows = [(i, t, "en" if i % 3 else "de") for i, t in enumerate(["a b", "ab", "", "b b b a", "ba a"] * 12)]
+    _, model = _fitted(spark, rows, monkeypatch, rounds=3)
+    weights = np.exp(model["logs"])
+    first = np.array([p.startswith("▁") for p in model["trie"].pieces] + [False] * 256)
+    # A word is a first piece and any number of others: a geometric series, which is 1 where weights add up to 1.
+    words_by_pieces = weights[first].sum() / (1 - weights[~first].sum())
+    assert words_by_pieces == pytest.approx(1, abs=1e-9)
+    seen = sorted({w for _, t, _ in rows for w in t.split()})
+    train = [(t, k) for i, t, k in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    langs = [k for k, _ in Counter(k for _, k in train).most_common()]
+    counts = np.array([[sum(t.split().count(w) for t, k in train if k == c) for c in langs] + [0] for w in seen])
+    assert (counts.sum(axis=0) == model["tokens"]).all()
+    own, whole = lattice._shares(counts, model["tokens"])
+    for k, end in enumerate(model["ends"][:-1]):
+        words = (1 - end) * (model["mix"][0] * own[:, k].sum() + model["mix"][1] * whole.sum() + model["mix"][2] * words_by_pieces)
+        # Texts of any number of words, then the end.
+        assert end / (1 - words) == pytest.approx(1, abs=1e-9)
+
+
+def test_likelihood_without_training_rows(spark, monkeypatch):
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
+    got, model = _fitted(spark, [(i, "some words", "en") for i in held], monkeypatch)
+    assert model["mix"] == (0.0, 0.0, 1.0) and all(-60 < r.score < 0 for r in got) and len(got) == len(held)
 
 
 # --- op 4 -----------------------------------------------------------------------
