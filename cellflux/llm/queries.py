@@ -18,7 +18,7 @@ from cellflux.llm.mixing import dealt, mixing_sql, word_count
 from cellflux.llm.packing import packed
 from cellflux.llm.pages import extracted
 from cellflux.llm.rollup import RollupStore
-from cellflux.llm.simhash import edited_pairs, likeness
+from cellflux.llm.simhash import NEAR_BITS, edited_pairs, likeness, near_counts
 from cellflux.llm.toxicity import fitted, scored
 from cellflux.llm.whitening import whitened
 from cellflux.session import scratch_path
@@ -40,10 +40,13 @@ def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all texts, and how like they are to those of the edited and the next text."""
-    prints = edited_pairs(table(spark, sf_dir, "documents"))
+    """Fingerprints of all texts, how like they are to those of the edited and the next text, and what is near.
+
+    `near_prints` is the number of other fingerprints of the table within three bits, by permuted block tables.
+    """
+    prints = materialise(edited_pairs(table(spark, sf_dir, "documents")), "simhash-prints")
     own = F.col("fingerprint")
-    return prints.select(
+    return near_counts(prints, NEAR_BITS).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -51,6 +54,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "edited_fingerprint",
         likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
         likeness(own, F.col("next_fingerprint")).alias("near_next"),
+        F.col("near").alias("near_prints"),
     )
 
 

@@ -13,6 +13,9 @@ from cellflux.llm.common import WORD, ascii_lower, materialise
 BITS = 128
 ROWS_PER_RANGE = 2_500
 MAX_RANGES = 10_000
+NEAR_BITS = 3  # radius of the search over all fingerprints
+BROADCAST_PRINTS = 500_000
+SALTS = 16
 _LANE = 32  # two votes share a long; each side counts up to 2^31 terms
 
 
@@ -123,60 +126,107 @@ def near_fingerprints(queries: DataFrame, prints: DataFrame, radius: int, blocks
     return near.filter(F.col("distance") <= radius).select("query", "found", "distance").distinct()
 
 
-def _range_of(bounds: list[int]) -> Column:
-    """Number of bounds at or below the id, found in two steps; a missing id is in the first range."""
-    step = max(1, math.isqrt(len(bounds)))
-    coarse = bounds[::step]
-    one = F.lit(1)
-    top = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in coarse]), lambda b: b <= F.col("doc_id")))
-    whole = F.array(*[F.lit(b).cast("long") for b in bounds])
-    fine = F.slice(whole, (F.greatest(top, one) - 1) * step + 1, step)
-    count = F.size(F.filter(fine, lambda b: b <= F.col("doc_id")))
-    return F.when(F.col("doc_id").isNull(), 0).otherwise(
-        F.when(top > 0, (top - 1) * step + count).otherwise(0)
-    )
+def near_counts(prints: DataFrame, radius: int) -> DataFrame:
+    """`near`: for each row of `prints` (a column `fingerprint` among others), how many other fingerprints are in the radius.
+
+    Fingerprints are searched once each, whatever number of rows has them; the few that have a neighbour are broadcast if
+    they are few, and joined over salts otherwise, since one fingerprint may be that of very many rows.
+    """
+    once = materialise(prints.select("fingerprint").distinct(), "distinct-prints")
+    pairs = near_fingerprints(once, once, radius)
+    counts = pairs.groupBy(F.col("query").alias("_print")).agg(F.count(F.lit(1)).alias("near"))
+    counts = materialise(counts, "near-counts")
+    same = F.col("fingerprint") == F.col("_print")
+    if counts.count() <= BROADCAST_PRINTS:
+        joined = prints.join(F.broadcast(counts), same, "left")
+    else:
+        salted = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = prints.withColumn("_deal", F.floor(F.rand(0) * SALTS).cast("int"))
+        joined = dealt.join(salted, same & (F.col("_deal") == F.col("_salt")), "left").drop("_deal", "_salt")
+    return joined.withColumn("near", F.coalesce("near", F.lit(0)).cast("long")).drop("_print")
+
+
+class _Ranges:
+    """Ranges of rows in the order of (doc_id, hash of the text), of about equal size.
+
+    `quantiles` are those of the ids. An id that is several of them has as many ranges of its own, by hash; a range
+    of ids is cut into `parts` by their size. Missing ids come first, in `nameless` ranges by hash.
+    """
+
+    def __init__(self, quantiles: list[int], low: int, high: int, nameless: int, parts: int):
+        times: dict[int, int] = {}
+        for q in quantiles:
+            times[q] = times.get(q, 0) + 1
+        hot = {q: n for q, n in times.items() if n > 1}
+        starts = sorted({low, *times, *(q + 1 for q in hot if q < high)})
+        ends = [*starts[1:], high + 1]
+        self.nameless = max(1, nameless)
+        self.starts, self.widths = starts, [b - a for a, b in zip(starts, ends, strict=True)]
+        self.parts = [hot[a] if a in hot else min(parts, w) for a, w in zip(starts, self.widths, strict=True)]
+        self.first = [self.nameless + sum(self.parts[:i]) for i in range(len(starts))]
+
+    def column(self) -> Column:
+        """The range of a row with `doc_id` and `_hash`, found among the starts in two steps."""
+        step = max(1, math.isqrt(len(self.starts)))
+        wide = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+        coarse, fine = wide(self.starts[::step]), wide(self.starts)
+        top = F.size(F.filter(coarse, lambda b: b <= F.col("doc_id"))) - 1
+        near = F.slice(fine, top * step + 1, step)
+        at = top * step + F.size(F.filter(near, lambda b: b <= F.col("doc_id"))) - 1
+        start, width = F.get(fine, at), F.get(wide(self.widths), at).cast("double")
+        parts, first = F.get(wide(self.parts), at), F.get(wide(self.first), at)
+        share = F.col("_hash").cast("double") / 2.0**64 + 0.5
+        within = F.when(width == 1, share).otherwise((F.col("doc_id") - start) / width)
+        part = F.least(F.floor(within * parts), parts - 1)
+        nameless = F.least(F.floor(share * self.nameless), F.lit(self.nameless - 1))
+        return F.when(F.col("doc_id").isNull(), nameless).otherwise(first + part).cast("int")
 
 
 def with_next(documents: DataFrame) -> DataFrame:
     """Each document (`_range`, `_at`, doc_id, text) with the text of the next one, `next_text`.
 
-    Documents are in the order of doc_id, missing ids first, equal ids by text; after the last comes the
-    first. Rows are dealt by ranges of ids of about equal size, whose bounds Spark's quantile sketch
-    gives; the driver holds no more than `MAX_RANGES` of them. The first document of each range is added to
-    the range before as a guest, so that a window within the range sees each row's next. Guests come
-    last (`_guest`), and have no next text.
+    Documents are in the order of doc_id, missing ids first, equal ids by a hash of the text and then by the text; after
+    the last comes the first. Rows are dealt to ranges of about equal size, whose bounds Spark's quantile sketch
+    gives; the driver holds no more than `MAX_RANGES` of them, each of which is cut into parts where
+    there are more rows. Very many rows of one id, or without id, have ranges of their own (equal texts under one id stay
+    together). The first document of each range is added to the range before as a guest, so that a window within
+    the range sees each row's next. Guests come last (`_guest`), and have no next text.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    number = rows.count()
-    ranges = min(MAX_RANGES, max(1, math.ceil(number / ROWS_PER_RANGE)))
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds: list[int] = []
-    if shares:
-        found = rows.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0]
-        bounds = sorted(set(found or []))
-    ranged = rows.withColumn("_range", (_range_of(bounds) if bounds else F.lit(0)).cast("int"))
-
-    # The smallest id of each range; nulls are smallest of all.
-    low = ranged.groupBy("_range").agg(
-        F.min("doc_id").alias("_low"), F.max(F.col("doc_id").isNull()).alias("_null")
-    )
-    low = low.withColumn("_low", F.when(~F.col("_null"), F.col("_low"))).drop("_null")
+    facts = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.count("doc_id").alias("named"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+    ).first()
+    wanted = max(1, math.ceil(facts.named / ROWS_PER_RANGE))
+    ranges = min(MAX_RANGES, wanted)
+    quantiles: list[int] = []
+    if ranges > 1:
+        shares = [i / ranges for i in range(1, ranges)]
+        quantiles = rows.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] or []
+    low, high = (facts.low, facts.high) if facts.named else (0, 0)
+    nameless = math.ceil((facts.rows - facts.named) / ROWS_PER_RANGE)
+    dealt = _Ranges(quantiles, low, high, nameless, math.ceil(wanted / ranges))
+    ranged = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_range", dealt.column())
+
+    # The first row of each range; missing ids are first of all.
+    place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "_hash")
+    low = ranged.groupBy("_range").agg(F.min(place).alias("_low"))
     ring = Window.partitionBy().orderBy("_range")
     before = F.coalesce(
         F.lag("_range").over(ring),
         F.max("_range").over(Window.partitionBy()),
     )
-    low = low.select("_low", F.col("_range").alias("_own"), before.alias("_before"))
-    firsts = rows.join(F.broadcast(low), F.col("doc_id").eqNullSafe(F.col("_low")))
+    low = low.select(F.col("_range").alias("_own"), "_low", before.alias("_before"))
+    at_front = (F.col("_range") == F.col("_own")) & place.eqNullSafe(F.col("_low"))
+    firsts = ranged.join(F.broadcast(low), at_front)
     firsts = firsts.groupBy(F.col("_before").alias("_range"), "_own").agg(
-        F.min_by("doc_id", "text").alias("doc_id"), F.min("text").alias("text")
+        F.first("doc_id").alias("doc_id"), F.min("text").alias("text"), F.first("_hash").alias("_hash")
     )
-    guests = firsts.select("doc_id", "text", "_range", F.lit(True).alias("_guest"))
+    guests = firsts.select("doc_id", "text", "_hash", "_range", F.lit(True).alias("_guest"))
     both = ranged.withColumn("_guest", F.lit(False)).unionByName(guests)
-    order = Window.partitionBy("_range").orderBy("_guest", F.asc_nulls_first("doc_id"), "text")
+    order = Window.partitionBy("_range").orderBy("_guest", F.asc_nulls_first("doc_id"), "_hash", "text")
     return both.withColumns(
         {"_at": F.row_number().over(order), "next_text": F.lead("text").over(order)}
-    )
+    ).drop("_hash")
 
 
 def edited_pairs(documents: DataFrame) -> DataFrame:

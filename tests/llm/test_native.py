@@ -25,20 +25,52 @@ def test_query_matches_its_sql(spark, duck, sf_dir, name):
 
 def _edited(rows):
     """(id, length, digest of the edited text) by the definition; missing ids first."""
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2], r[1]))
     out = []
-    for i, (doc, text) in enumerate(order):
+    for i, (doc, text, _) in enumerate(order):
         cut, after = len(text) // 4, order[(i + 1) % len(order)][1]
         edited = text[: len(text) - cut] + after[:cut]
         out.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest()))
     return sorted(out, key=repr)
 
 
+def _hashed(df):
+    text = F.coalesce("text", F.lit(""))
+    return [tuple(r) for r in df.select("doc_id", text, F.xxhash64(text)).collect()]
+
+
+def test_hot_and_missing_ids_have_ranges_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ROWS_PER_RANGE", 20)
+    rows = [(None, f"no id {i}") for i in range(300)] + [(7, f"hot {i}") for i in range(400)]
+    rows += [(i * i, f"text {i}") for i in range(200)] + [(7, "same")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (10_000, 4):  # and where there are more ranges than the driver holds
+        monkeypatch.setattr(simhash, "MAX_RANGES", most)
+        sizes = [r["count"] for r in simhash.with_next(df).filter("NOT _guest").groupBy("_range").count().collect()]
+        assert sum(sizes) == len(rows) and max(sizes) <= (90 if most > 4 else 250)
+        got = simhash.edited_pairs(df).collect()
+        assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == _edited(_hashed(df))
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_near_counts_against_brute_force(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(simhash, "BROADCAST_PRINTS", 0)
+    rnd = random.Random(8)
+    base = [rnd.getrandbits(simhash.BITS) for _ in range(12)]
+    numbers = base + [b ^ sum(1 << k for k in rnd.sample(range(simhash.BITS), rnd.randint(0, 5))) for b in base for _ in range(6)]
+    rows = [(i, f"{n:0{simhash.BITS // 4}x}") for i, n in enumerate(numbers)] + [(900 + i, f"{base[0]:032x}") for i in range(30)]
+    got = simhash.near_counts(spark.createDataFrame(rows, "k long, fingerprint string"), 3).collect()
+    distinct = {f for _, f in rows}
+    want = {k: sum(0 < (int(f, 16) ^ int(g, 16)).bit_count() <= 3 for g in distinct) for k, f in rows}
+    assert {r.k: r.near for r in got} == want and len(got) == len(rows) and any(want.values())
+
+
 def test_simhash_edits_follow_the_definition(spark, odd_documents, documents, monkeypatch):
     monkeypatch.setattr(simhash, "ROWS_PER_RANGE", 3)  # several ranges
     for df in (odd_documents, documents):
         got = simhash.edited_pairs(df).collect()
-        rows = [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+        rows = _hashed(df)
         assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == _edited(rows)
         assert all(len(r.fingerprint) == simhash.BITS // 4 for r in got)
     by_id = {r.doc_id: r for r in simhash.edited_pairs(odd_documents).collect()}
