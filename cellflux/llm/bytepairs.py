@@ -249,8 +249,8 @@ def _mapped(rows: DataFrame, column: str, kind: str, result: str, work) -> DataF
     return rows.mapInArrow(lambda batches: released(run(batches)), f"{given}, {result} binary")
 
 
-def encoded(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, ids: the BPE ids of every whole text, as little-endian unsigned 32-bit integers in a binary.
+def encoded(docs: DataFrame, ranks: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep`, and ids: the BPE ids of every whole text, as little-endian unsigned 32-bit integers in a binary.
 
     `ranks` is a file of base64 tokens and ranks, readable on every executor; `pattern` cuts a text into the
     pieces that are merged by themselves. A missing or empty text has no ids (an empty binary). Rows keep
@@ -262,8 +262,8 @@ def encoded(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
         splitter, known = _encoder(ranks, pattern)
         return [b"".join([b"".join(map(known.__getitem__, p)) for p in splitter.pieces(t or "")]) for t in texts]
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return _mapped(rows, "text", "string", "ids", work).select("doc_id", "ids")
+    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    return _mapped(rows, "text", "string", "ids", work).select(*keep, "ids")
 
 
 def decoded(rows: DataFrame, ranks: str) -> DataFrame:

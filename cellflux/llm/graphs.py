@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import io
 import math
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellflux.llm.common import materialise
 
 SHARD = 4096  # distinct vectors in one graph
+QUERIES = 2048  # that search a graph together
+MOST_TASKS = 10_000
+BROADCAST_LENGTHS = 100_000
 DEGREE = 40
 BEAM = 80  # kept while a graph is built
 SEARCH_BEAM = 192  # kept by a query
@@ -158,21 +163,49 @@ def usable(vector: str | Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def _shard_search(k: int, beam: int):
-    def run(points, asked):
-        import pandas as pd
+def _packed(graph: Graph, ids: list[np.ndarray]) -> bytes:
+    """A graph, and the ids of each of its points, as bytes."""
+    out = io.BytesIO()
+    sizes = np.array([len(i) for i in ids], np.int64)
+    np.savez(
+        out, vectors=graph.vectors, edges=graph.edges.astype(np.int32), entry=graph.entry, ids=np.concatenate(ids), sizes=sizes
+    )
+    return out.getvalue()
+
+
+def _unpacked(raw: bytes) -> tuple[Graph, list[np.ndarray]]:
+    with np.load(io.BytesIO(raw)) as held:
+        x = held["vectors"]
+        graph = Graph(x, np.einsum("ij,ij->i", x, x), held["edges"].astype(np.int64), int(held["entry"]))
+        return graph, np.split(held["ids"], np.cumsum(held["sizes"])[:-1])
+
 
-        columns = ["query", "vec_id", "score"]
-        if not len(points) or not len(asked):
-            return pd.DataFrame({"query": pd.Series(dtype=str), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype=float)})
-        graph = build(np.stack(points["vector"].to_numpy()))
-        ids, far = search(graph, np.stack(asked["vector"].to_numpy()), k, beam)
-        own = points["ids"].to_numpy()
-        rows = []
-        for query, row, distances in zip(asked["digest"], ids, far, strict=True):
-            pairs = [(d, int(v)) for i, d in zip(row, distances, strict=True) if i >= 0 for v in own[i]]
-            rows += [(query, v, d) for d, v in sorted(pairs)[:k]]
-        return pd.DataFrame(rows, columns=columns)
+def _built(points: pa.Table) -> pa.Table:
+    """The graph of one shard, as one row."""
+    size, shard = points.column("size")[0].as_py(), points.column("shard")[0].as_py()
+    vectors = points.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    graph = build(vectors.reshape(len(points), size))
+    ids = [np.array(i, np.int64) for i in points.column("ids").to_pylist()]
+    return pa.table({"size": pa.array([size], pa.int32()), "shard": pa.array([shard], pa.int32()), "graph": [_packed(graph, ids)]})
+
+
+def _searched(k: int, beam: int):
+    """The best answers of one shard to one block of queries."""
+
+    def run(graphs: pa.Table, asked: pa.Table) -> pa.Table:
+        queries, found, scores = [], [], []
+        if len(graphs) and len(asked):
+            graph, own = _unpacked(graphs.column("graph")[0].as_py())
+            flat = asked.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            ids, far = search(graph, flat.reshape(len(asked), -1), k, beam)
+            for query, row, distances in zip(asked.column("digest").to_pylist(), ids, far, strict=True):
+                pairs = sorted((d, v) for i, d in zip(row.tolist(), distances.tolist(), strict=True) if i >= 0 for v in own[i].tolist())
+                queries += [query] * len(pairs[:k])
+                found += [v for _, v in pairs[:k]]
+                scores += [d for d, _ in pairs[:k]]
+        return pa.table(
+            {"query": pa.array(queries, pa.string()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(scores, pa.float64())}
+        )
 
     return run
 
@@ -188,8 +221,9 @@ def nearest(
     of its own length only; rows with the query's id are not its neighbours.
 
     Equal vectors are one point with its `k + 1` smallest ids, which is all that an answer can hold. Points are
-    dealt by content to shards of about `shard`, each with a graph of its own; all queries, in
-    one block per shard, search all shards, and the best answers are merged.
+    dealt by content to shards of about `shard`, each with a graph of its own, which is built once and written as
+    a row. Queries search all shards, in blocks of `QUERIES`, so that a task holds one graph and one block whatever the
+    size of the table; the best answers are merged.
     """
     ids = F.col("vec_id").cast("long")
     rows = vectors.select(ids.alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
@@ -210,18 +244,32 @@ def nearest(
     counts = points.groupBy("size").agg(F.count(F.lit(1)).alias("points")).select(
         F.col("size").alias("_size"), F.ceil(F.col("points") / shard).cast("int").alias("_shards")
     )
-    dealt = points.join(F.broadcast(counts), F.col("size") == F.col("_size")).withColumn(
+    counts = materialise(counts, "shards")
+    lengths, shards = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_shards"), F.lit(0))).first()
+    few = F.broadcast(counts) if lengths <= BROADCAST_LENGTHS else counts
+    dealt = points.join(few, F.col("size") == F.col("_size")).withColumn(
         "shard", F.pmod(F.xxhash64("digest"), F.col("_shards")).cast("int")
     )
+    # A stated number of partitions, which adaptive execution does not merge: each shard is much work.
+    tasks = max(1, min(MOST_TASKS, 2 * shards))
+    dealt = dealt.select("size", "shard", "vector", "ids").repartition(tasks, "size", "shard")
+    graphs = dealt.groupBy("size", "shard").applyInArrow(_built, "size int, shard int, graph binary")
+    graphs = materialise(graphs, "graphs", 16)
+
     once = asked.dropDuplicates(["digest"]).select("digest", "vector", F.size("vector").alias("size"))
-    sent = once.join(F.broadcast(counts), F.col("size") == F.col("_size")).withColumn(
+    blocks = max(1, math.ceil(once.count() / QUERIES))
+    once = once.withColumn("block", F.pmod(F.xxhash64("digest", F.lit(1)), F.lit(blocks)).cast("int"))
+    sent = once.join(few, F.col("size") == F.col("_size")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.col("_shards") - 1))
     )
+    held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    key, tasks = ["size", "shard", "block"], max(1, min(MOST_TASKS, 2 * shards * blocks))
+    sent = sent.select(*key, "digest", "vector").toDF("_size", "_shard", "_block", "digest", "vector")
     found = (
-        dealt.select("size", "shard", "vector", "ids")
-        .groupBy("size", "shard")
-        .cogroup(sent.select("size", "shard", "digest", "vector").groupBy("size", "shard"))
-        .applyInPandas(_shard_search(k + 1, beam), "query string, vec_id bigint, score double")
+        held.repartition(tasks, *key)
+        .groupBy(*key)
+        .cogroup(sent.repartition(tasks, "_size", "_shard", "_block").groupBy("_size", "_shard", "_block"))
+        .applyInArrow(_searched(k + 1, beam), "query string, vec_id bigint, score double")
     )
     best = Window.partitionBy("query").orderBy("score", "vec_id")
     merged = found.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k + 1).drop("_n")

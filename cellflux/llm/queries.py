@@ -157,6 +157,37 @@ def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.totals()
 
 
+def op9_bpe_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by a real tokenizer version: loaded with an estimate, revised to the counts of its ids, replayed, and what is empty deleted."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = encoded(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, ("source", "lang", "n_chars"))
+    counted = ids.select(
+        "source",
+        "lang",
+        F.lit("byte_bpe_multi_50k").alias("tokenizer"),
+        F.floor(F.octet_length("ids") / 4).alias("count"),
+        F.floor(F.coalesce("n_chars", F.lit(0)) / 3).alias("estimate"),
+    )
+    counted = materialise(counted, "bpe-counts")
+
+    def events(action: str, tokens: str, old: str | None = None) -> DataFrame:
+        before = F.col(old) if old else F.lit(None).cast("long")
+        rows = counted.withColumns({"action": F.lit(action), "tokens": F.col(tokens), "old_tokens": before})
+        return rows.select("source", "lang", "tokenizer", "action", "tokens", "old_tokens", F.col("count").alias("size"))
+
+    store = RollupStore(spark, scratch_path(spark, "bpe-rollup"))
+    for batch, rows in (
+        ("load", events("insert", "estimate")),
+        ("count", events("revise", "count", "estimate")),
+        ("count", events("revise", "count", "estimate")),
+        ("empty", events("delete", "count").filter("size = 0")),
+    ):
+        store.commit(batch, rows.drop("size"))
+    return store.totals()
+
+
 OP9_SQL = r"""
 WITH counted AS (
     SELECT source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words,
@@ -227,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "op7_mixture": op7_mixture,
     "op8_licences": op8_licences,
     "op9_token_rollup": op9_token_rollup,
+    "op9_bpe_rollup": op9_bpe_rollup,
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
     "op12_byte_bpe": op12_byte_bpe,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cellflux.llm import alignment, bytepairs
 from cellflux.llm.alignment import Aligner, aligned, diagonals, groups
 from cellflux.llm.bytepairs import MergeTable, Splitter, decoded, encoded, unpacked_ids
-from cellflux.llm.queries import op12_byte_bpe, op13_alignment
+from cellflux.llm.queries import op9_bpe_rollup, op12_byte_bpe, op13_alignment
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 FIRST = public_tokenizers.path("byte_bpe_50k.json")
@@ -118,6 +118,18 @@ def test_digests_of_documents(spark, sf_dir, documents, tiktoken_encoding):
     assert not rows
 
 
+def test_rollup_of_a_real_tokenizer(spark, sf_dir, documents, tiktoken_encoding):
+    want: dict[tuple, list[int]] = {}
+    for r in documents.collect():
+        size = len(tiktoken_encoding.encode_ordinary(r.text or ""))
+        if size:
+            total = want.setdefault((r.source, r.lang, "byte_bpe_multi_50k"), [0, 0])
+            total[0] += 1
+            total[1] += size
+    got = {(r.source, r.lang, r.tokenizer): [r.docs, r.tokens] for r in op9_bpe_rollup(spark, sf_dir).collect()}
+    assert got == want
+
+
 def test_no_documents(spark, no_documents):
     ids = encoded(no_documents, RANKS, public_tokenizers.PATTERN)
     assert decoded(ids, RANKS).count() == 0
