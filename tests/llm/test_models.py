@@ -453,6 +453,60 @@ def test_groups_of_large_families(spark, monkeypatch, frequent):
     assert len(set(assert_groups(spark.createDataFrame(rows, "doc_id long, text string")).values())) > 1
 
 
+@pytest.mark.parametrize("long", [300, 13])
+def test_groups_of_documents_that_are_near_and_not_linked(spark, monkeypatch, long):
+    """A family of which each pair shares about 70 %, some of them linked, in lists of all kinds."""
+    monkeypatch.setattr(jaccard, "FREQUENT_LEAST", 4)
+    monkeypatch.setattr(jaccard, "LONG", long)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "SMALL", 3)
+    draw = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for at in draw.choice(100, int(draw.choice([1, 2, 3])), replace=False).tolist():
+            text[at] = f"own{i}x{at}"
+        rows.append((1000 + i, " ".join(text)))
+    component = assert_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert len(set(component.values())) > 1
+
+
+def test_links_within_against_brute_force():
+    draw = np.random.default_rng(4)
+    for dense in (0, 2, 64):
+        jaccard._DENSE, before = dense, jaccard._DENSE
+        sets = [np.sort(draw.choice(30, int(draw.integers(22, 31)), replace=False)).astype(np.uint64) for _ in range(70)]
+        sets += [np.zeros(0, np.uint64), np.array([99], np.uint64), np.array([99], np.uint64), sets[0][:1]]
+        got = {tuple(p) for p in jaccard.links_within(sets, 80).tolist()}
+        want = {(i, j) for i in range(74) for j in range(i + 1, 74) if jaccard.similar(sets[i], sets[j], 80)}
+        jaccard._DENSE = before
+        assert got == want and want
+
+
+def test_a_list_of_very_many_separate_documents(spark):
+    """Twenty thousand documents near each other and none linked, all in the same lists, are compared in bounded groups."""
+    import time
+
+    draw = np.random.default_rng(9)
+    base = np.array([f"b{i}" for i in range(60)])
+    rows = []
+    for i in range(20_000):
+        text = base.copy()
+        for at in draw.choice(60, 4, replace=False).tolist():
+            text[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(text.tolist())))
+    lists = spark.createDataFrame([(key, i, i) for key in (1, 2, 3) for i in range(20_000)], "key long, doc_id long, component long")
+    pools = jaccard._of_long_lists(lists).withColumns({"n": F.lit(56), "side": F.lit(0)})
+    assert pools.count() == 20_000  # one pool, not three
+    began = time.monotonic()
+    got = jaccard._compared(spark.createDataFrame(rows, "doc_id long, text string"), pools, 5, 80).collect()
+    assert time.monotonic() - began < 240
+    for r in got[:50]:
+        pair = [jaccard.shingle_sets(word_hashes([rows[i][1].encode()]))[0] for i in (r.a, r.b)]
+        assert jaccard.similar(*pair, 80)
+
+
 class _Sent:
     """A broadcast value without a session."""
 
