@@ -22,7 +22,7 @@ ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 10_000
 _KNOWN_WORDS = 600_000
 _SEPARATOR = "<|endoftext|>"
-_GROUP = 4 * PART  # bytes of text whose words are looked up together
+_GROUP = PART  # bytes of text whose words are looked up together
 _WHOLE = 1 << 23  # bytes; a longer text is not worth a table of its words
 
 
