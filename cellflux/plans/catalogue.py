@@ -14,6 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellflux.commits import names
 from cellflux.config import Settings, StreamSettings
 from cellflux.functions import record_line, repaired, strip_line
 from cellflux.operators import (
@@ -53,6 +54,7 @@ from cellflux.streaming import (
     Compaction,
     read_drained,
     read_shared,
+    start_both,
     start_events,
     start_hourly,
     start_shared,
@@ -256,6 +258,19 @@ def _replay_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head_of_files(read_lines(spark, source), REPLAY_HEAD).select("value")
 
 
+@query("replay_single_file")
+def _replay_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of two record files by its own path, replayed whole."""
+    lines = records_from_events(spark, sf_dir).select("event_id", record_line().alias("value"))
+    source, sink = scratch_path(spark, "lines"), scratch_path(spark, "published")
+    for half, rows in enumerate((F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1)):
+        part = lines.filter(rows).coalesce(1).select("value")
+        part.write.mode("append").option("mapreduce.output.basename", f"half{half}").text(source)
+    first = next(name for name in names(spark, source) if name.startswith("half0"))
+    run_replay(spark, f"{source}/{first}", lambda out: publish_to_text(out, sink))
+    return spark.read.text(sink)
+
+
 @query("replay_numbered")
 def _replay_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines with their numbers in the order of the files."""
@@ -584,6 +599,53 @@ def _malformed_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_hourly(read_hourly(spark, paths.hourly))
 
 
+@query("stream_triggered")
+def _stream_triggered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both queries by processing-time triggers, until their input is taken and then for a limited time."""
+    source = _written_lines(spark, encode_records(_records(spark, sf_dir)))
+    paths = StreamPaths(scratch_path(spark, "stream"))
+    settings = StreamSettings(
+        events_trigger="1 second",
+        hourly_trigger="1 second",
+        state_partitions=spark.sparkContext.defaultParallelism,
+    )
+    running = start_both(
+        clean(decode_lines(stream_text_lines(spark, source))),
+        events_path=paths.events,
+        hourly_path=paths.hourly,
+        checkpoints=scratch_path(spark, "progress"),
+        stream=settings,
+    )
+    for one in running:
+        one.processAllAvailable()
+    if supervise(running, time_limit_seconds=0.5) != "time_limit" or any(one.isActive for one in running):
+        raise AssertionError("the queries did not run until their time was up")
+    return _show_hourly(read_hourly(spark, paths.hourly))
+
+
+@query("stream_failure_stops_all")
+def _stream_failure_stops_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of two queries fails: its failure is raised, the other one is stopped, and a new start goes on."""
+    source = _written_lines(spark, encode_records(_records(spark, sf_dir)))
+    out, checkpoint = scratch_path(spark, "streamed_events"), scratch_path(spark, "progress")
+    events = clean(decode_lines(stream_text_lines(spark, source)))
+    failing = events.withColumn("cell_id", F.raise_error(F.lit("this query has to fail")).cast("int"))
+    settings = StreamSettings(events_trigger="1 second")
+    running = [
+        start_events(events, out, checkpoint, settings),
+        start_events(failing, scratch_path(spark, "never"), scratch_path(spark, "progress"), settings),
+    ]
+    try:
+        supervise(running, time_limit_seconds=300)
+    except PySparkException:
+        if any(one.isActive for one in running):
+            raise
+    else:
+        raise AssertionError("the failure was not raised")
+    supervise([start_events(events, out, checkpoint, _stream_settings(spark))], until_all_end=True)
+    return _show_events(read_events(spark, out))
+
+
 @query("stream_rejected_lines")
 def _stream_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged lines through the stream that keeps the rejected ones."""

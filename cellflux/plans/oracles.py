@@ -187,6 +187,7 @@ ORACLES: dict[str, str] = {
     "replay_files": _HEAD,
     "replay_long_head": _HEAD,
     "replay_odd_names": _HEAD,
+    "replay_single_file": f"WITH {_records()} SELECT {_LINE} AS value FROM records WHERE event_id % 2 = 0",
     "replay_numbered": f"""WITH {_records()}
 SELECT row_number() OVER (ORDER BY event_id) AS number, {_LINE} AS value FROM records""",
     "rejected_lines": _REJECTED,
@@ -241,6 +242,8 @@ cleaned AS (
     "stream_restart": _STREAM_HOURLY,
     "stream_job_events": _CLEAN_EVENTS,
     "stream_job_hourly": _STREAM_HOURLY,
+    "stream_triggered": _STREAM_HOURLY,
+    "stream_failure_stops_all": _CLEAN_EVENTS,
     "stream_drained": _HOURLY,
     "stream_far_future": _STREAM_HOURLY,
     "stream_shared_events": _CLEAN_EVENTS,
