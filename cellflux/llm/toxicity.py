@@ -30,10 +30,16 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cellflux.llm.common import id_fold, released, worker_cache
 
-# Bounds of the sample of labelled rows that the machine is fitted on.
+# Bounds of the sample of labelled rows that the machine is fitted on. Rows with longer texts are left out of what was picked.
 FIT_TOXIC = 1200
 FIT_CLEAN = 2400
 FIT_CHARS = 20_000  # longer texts are scored whole, but not fitted on
+# Bounds within the fit, so that its time is bounded too; scoring has none.
+FIT_CANDIDATES = 1000  # units among which landmarks are spread
+FIT_NEGATIVES = 15_000  # units of clean documents, drawn at random
+FIT_SUSPECTED = 2000  # clean documents against which the first suspects are counted
+FIT_STRETCHED = 2000  # suspect units that are also shown with a character put in
+FIT_HARD = 5000  # clean units that the machine takes for toxic, added after a round
 LANDMARKS = 192
 ROUNDS = 3
 
@@ -64,7 +70,8 @@ def units(text: str | None) -> set[str]:
 def _symbols() -> np.ndarray:
     """A number from 2 up for each character below 65536; 0 is padding, 1 a unit's start.
 
-    Latin letters have numbers of their own, all digits share one, the rest share what is left.
+    Latin letters have numbers of their own, all digits share one, the rest share what is left: characters of other
+    scripts that are 66 apart are one to the machine, so that it tells insults in those scripts apart less well.
     """
     table = 62 + np.arange(65536) % (_SYMBOLS - 62)
     table[ord("a") : ord("z") + 1] = 2 + np.arange(26)
@@ -220,7 +227,7 @@ def _spread(words: list[str], number: int) -> list[str]:
     """Words far from each other: each next one is the least like all those before."""
     if len(words) <= number:
         return words
-    words = words[:1000]
+    words = words[:FIT_CANDIDATES]
     places, marks = _landmark_rows(words)
     taken, near = [0], marks.T @ marks[:, 0]
     while len(taken) < number:
@@ -287,9 +294,9 @@ def fit(
     fit_t, fit_c = toxic[hold_t:], clean[hold_c:]
     draw = np.random.default_rng(7)
     negative = sorted(set().union(*fit_c))
-    sample = [negative[i] for i in draw.permutation(len(negative))[:15_000]]
+    sample = [negative[i] for i in draw.permutation(len(negative))[:FIT_NEGATIVES]]
     hard: set[str] = set()
-    suspects = _suspects(fit_t, fit_c[:2000])
+    suspects = _suspects(fit_t, fit_c[:FIT_SUSPECTED])
     machine = None
     for _ in range(rounds):
         clean_words = set(negative)
@@ -304,7 +311,7 @@ def fit(
         size, vector = np.linalg.eigh(gram)
         keep = size > 1e-4
         root = (vector[:, keep] / np.sqrt(size[keep])).astype(np.float32)
-        wanted = common + [w for w in _stretched(common[:2000], draw) if w not in clean_words]
+        wanted = common + [w for w in _stretched(common[:FIT_STRETCHED], draw) if w not in clean_words]
         words = wanted + sample + sorted(hard)
         y = np.r_[np.ones(len(wanted)), -np.ones(len(words) - len(wanted))]
         weight = np.where(y > 0, max(1.0, 0.3 * len(sample) / len(wanted)), 1.0)
@@ -313,7 +320,7 @@ def fit(
         table[places >= 0] = (marks @ (root @ w[:-1]))[places[places >= 0]]
         machine = Machine(table, float(w[-1]), (4.0, 0.0, 0.0, 0.0))
         scores = machine.unit_scores(negative)
-        order = np.argsort(-scores)[:5000]
+        order = np.argsort(-scores)[:FIT_HARD]
         hard |= {negative[i] for i in order if scores[i] > -0.7}
         suspects = []
         known = sorted(set().union(*fit_t))
