@@ -5,12 +5,13 @@ from pyspark.errors import AnalysisException
 
 from cellflux import object_store_conf
 from cellflux.jobs import batch, options, replay, stream
-from cellflux.operators import clean, daily_totals, encode_records, hourly_totals
+from cellflux.operators import clean, daily_totals, encode_records, hourly_totals, rejected_lines
 from cellflux.plans import BatchPaths, StreamPaths
 from cellflux.session import build_session, scratch_path
 from cellflux.sinks import publish_to_text
-from cellflux.sources import read_daily, read_events, read_hourly
+from cellflux.sources import read_daily, read_events, read_hourly, read_sorted
 from cellflux.sources.adapters import records_from_events
+from cellflux.streaming import read_drained, read_shared
 
 from helpers import rounded
 
@@ -67,6 +68,35 @@ def test_replay_then_stream(spark, sf_dir, record_folder, tmp_path):
     assert len(batch_hours) - len(streamed) < 10
 
 
+def test_batch_job_that_keeps_rejected_lines(spark, line_file, tmp_path, capsys):
+    good = "1\t1383260400000\t39\t1\t2\t3\t4\t5"
+    folder, out = line_file([good, "x" + good, "", good + "\t9"]), str(tmp_path / "out")
+    batch.main([folder, out, "--keep-rejected"])
+    assert "read=4 kept=2 rejected=2" in capsys.readouterr().out
+    rows = read_sorted(spark, BatchPaths(out).sorted)
+    assert {r.reason for r in rejected_lines(rows).collect()} == {"cell is no number", "blank"}
+    assert read_daily(spark, BatchPaths(out).daily).first().internet_total == 10.0
+    with pytest.raises(SystemExit):
+        batch.main([folder, out, "--keep-rejected", "--regroup-events"])
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_stream_job_drains(spark, sf_dir, record_folder, tmp_path, shared):
+    """With its last windows, the stream's totals are those of the batch, by two queries or by one."""
+    out = str(tmp_path / "out")
+    argv = [out, str(tmp_path / "cp"), "--text-input", record_folder, "--available-now", "--state-partitions", "4", "--drain"]
+    stream.main([*argv, *(["--shared"] if shared else [])])
+    paths, want = StreamPaths(out), hourly_totals(clean(records_from_events(spark, sf_dir)))
+    got = read_shared(spark, paths.shared, "hourly") if shared else read_drained(spark, paths.hourly, paths.open)
+    assert rounded(got.select(want.columns)) == rounded(want)
+
+
+def test_max_ahead_option():
+    parse = stream.parser().parse_args
+    assert parse(["out", "cp"]).max_ahead == "1 day"
+    assert parse(["out", "cp", "--max-ahead", "none"]).max_ahead == "none"
+
+
 def test_replay_limit_and_strip(spark, line_file, tmp_path):
     folder = line_file([f"{i}\t\t" for i in range(10)])
     out = str(tmp_path / "head")
