@@ -15,17 +15,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellflux.llm.common import id_fold, materialise, released
-from cellflux.llm.words import hashed
+from cellflux.llm.words import PART, hashed
+from cellflux.session import scoped_conf
 
 ROUNDS = 3
 CLASSES = 8  # most frequent languages that are a class each; the others are one more
 HELD_OUT = 1  # of five folds
 BLOCK_BYTES = 8 << 20  # text in one block of documents
+WORDS_AT_ONCE = 60_000  # that a Python worker gets; words of one length are read together
 _LONGEST = 16  # characters of a piece; longer ones, of which the given vocabulary has none, are left out
 _PRIOR = 0.1  # added to the expected count of each piece
 _SPACE = "▁"
@@ -153,6 +156,19 @@ def vocabulary(path: str) -> tuple[list[str], np.ndarray]:
 # --- blocks of documents, and their words ----------------------------------------
 
 
+def _hashed(buffer: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of each word, some of the text at a time, cut between words."""
+    found, at = [], 0
+    while at < len(buffer):
+        stop = buffer.find(b" ", at + PART) if len(buffer) - at > PART else -1
+        part = buffer[at : stop if stop >= 0 else len(buffer)]
+        value, starts, stops = hashed(part)
+        found.append((value, starts + at, stops + at))
+        at += len(part) + (stop >= 0)
+    empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return tuple(np.concatenate(x) for x in zip(empty, *found, strict=True))
+
+
 def _packed(values: np.ndarray) -> bytes:
     return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
 
@@ -161,6 +177,8 @@ def _unpacked(raw: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(raw, max_output_size=2**31), kind)
 
 
+# A word's place in the texts is one number: task, block of the task, place in the block.
+_BLOCK_BITS, _PLACE_BITS = 15, 26
 _BLOCKS = "block bigint, words binary, train binary, ids binary, held binary, which binary, lengths binary"
 
 
@@ -171,7 +189,7 @@ def _blocks(block_bytes: int, classes: int):
     def row_of(block: int, part: list[tuple]) -> pa.RecordBatch:
         texts = [t for _, _, t, _ in part]
         buffer = b" ".join(texts).lower()
-        value, starts, stops = hashed(buffer)
+        value, starts, stops = _hashed(buffer)
         ends = np.cumsum([len(t) + 1 for t in texts])
         cuts = np.r_[0, np.searchsorted(starts, ends)]
         lengths = np.diff(cuts)
@@ -191,7 +209,7 @@ def _blocks(block_bytes: int, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << _BLOCK_BITS
         part: list[tuple] = []
         held_bytes = 0
         for batch in batches:
@@ -219,7 +237,7 @@ def _count_names(classes: int) -> list[str]:
 
 
 def _entries(classes: int | None):
-    """The words of the blocks as rows: word and counts; without `classes` word, block and place."""
+    """The words of the blocks as rows: word and counts; without `classes` word and where it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,8 +249,8 @@ def _entries(classes: int | None):
                     columns = [pa.array(np.ascontiguousarray(counts[:, k])) for k in range(classes)]
                     names = _count_names(classes)
                 else:
-                    block = np.full(len(words), batch.column("block")[i].as_py(), np.int64)
-                    columns, names = [pa.array(block), pa.array(np.arange(len(words), dtype=np.int32))], ["block", "place"]
+                    first = batch.column("block")[i].as_py() << _PLACE_BITS
+                    columns, names = [pa.array(np.arange(first, first + len(words), dtype=np.int64))], ["at"]
                 word = pa.array(words, pa.binary()).cast(pa.string())
                 out = pa.RecordBatch.from_arrays([word, *columns], names=["word", *names])
                 for at in range(0, len(words), 20_000):
@@ -282,33 +300,63 @@ def _expectation(lattice, weights, mix: tuple[float, ...], tokens: np.ndarray):
 
 
 def word_logs(
-    lattice: Lattice, logs: np.ndarray, mix: tuple[float, ...], tokens: np.ndarray, ends: np.ndarray, words: list[str], counts: np.ndarray
+    by_pieces: np.ndarray, count: np.ndarray, whole: np.ndarray, mix: tuple[float, ...], tokens: int, end: float
 ) -> np.ndarray:
-    """Natural log probability of each word, before which no end came, in each class.
+    """Natural log probability of each word, before which no end came, in one class.
 
-    What is not an end is a word: by its share of the class's words, by that of all words, or by the pieces. Each of
-    the three adds up to 1 over all words (the pieces', since a word goes on until the next piece begins with a
-    space), or to less, so that words and end together do.
+    What is not an end is a word: by its share of the class's words (`count` of `tokens`), by that of all words (`whole`), or
+    by the pieces. Each of the three adds up to 1 over all words (the pieces', since a word goes on until the next
+    piece begins with a space), or to less, so that words and end together do.
     """
-    by_pieces = np.empty(len(words))
-    for places, chars in by_length(words):
-        by_pieces[places] = lattice.forward(chars, lattice.arcs(chars), logs)[:, -1]
-    own, whole = _shares(counts, tokens)
     with np.errstate(divide="ignore"):
-        by_words = np.log(mix[0] * own + mix[1] * whole)
-        either = np.logaddexp(by_words, (by_pieces + math.log(mix[2]))[:, None])
-        return either + np.log1p(-ends)
-
-
-def _scored_words(lattice, weights, mix: tuple[float, ...], tokens: np.ndarray, ends: np.ndarray):
-    """Words with their counts over all classes and their log probability in each."""
-    names = ["word", "count", *[f"l{k}" for k in range(len(tokens))]]
+        by_words = np.log(mix[0] * (count / max(tokens, 1)) + mix[1] * whole)
+        return np.logaddexp(by_words, by_pieces + math.log(mix[2])) + np.log1p(-end)
+
+
+# A word's answer: its log probability by pieces, then its counts in the classes where it has any.
+_COUNT = np.dtype([("kind", "u1"), ("low", "<u4"), ("high", "<u2")])
+_HEAD = 4
+
+
+def _packed_answers(score: np.ndarray, counts: np.ndarray) -> pa.Array:
+    rows, kinds = np.nonzero(counts)
+    held = np.empty(len(rows), _COUNT)
+    held["kind"], held["low"], held["high"] = kinds, counts[rows, kinds] & 0xFFFFFFFF, counts[rows, kinds] >> 32
+    number = np.bincount(rows, minlength=len(score))
+    offsets = np.r_[0, np.cumsum(_HEAD + number * _COUNT.itemsize)]
+    out = np.zeros(int(offsets[-1]), np.uint8)
+    out[offsets[:-1, None] + np.arange(_HEAD)] = score.astype("<f4").view(np.uint8).reshape(-1, _HEAD)
+    rank = np.arange(len(rows)) - (np.cumsum(number) - number)[rows]
+    at = offsets[rows] + _HEAD + rank * _COUNT.itemsize
+    out[at[:, None] + np.arange(_COUNT.itemsize)] = held.view(np.uint8).reshape(-1, _COUNT.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(score), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out)])
+
+
+def _unpacked_answers(packed: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Scores; row, class and count of all counts that are not 0."""
+    raw = np.frombuffer(b"".join(packed.to_pylist()), np.uint8)
+    sizes = pc.binary_length(packed).to_numpy().astype(np.int64)
+    offsets = np.cumsum(sizes) - sizes
+    head = offsets[:, None] + np.arange(_HEAD)
+    score = np.ascontiguousarray(raw[head]).view("<f4").ravel().astype(np.float64)
+    rest = np.ones(len(raw), bool)
+    rest[head] = False
+    held = raw[rest].view(_COUNT)
+    row = np.repeat(np.arange(len(sizes)), (sizes - _HEAD) // _COUNT.itemsize)
+    return score, row, held["kind"], held["low"].astype(np.int64) | held["high"].astype(np.int64) << 32
+
+
+def _scored_words(lattice, weights, classes: int):
+    """Words with their log probability by pieces and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, words, counts in _word_batches(batches, len(tokens)):
-            logs = word_logs(lattice.value, weights.value, mix, tokens, ends, words, counts).astype(np.float32)
-            columns = [pa.array(np.ascontiguousarray(logs[:, k])) for k in range(len(tokens))]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(counts.sum(axis=1)), *columns], names=names)
+        trie, logs = lattice.value, weights.value
+        for batch, words, counts in _word_batches(batches, classes):
+            score = np.empty(len(words))
+            for places, chars in by_length(words):
+                score[places] = trie.forward(chars, trie.arcs(chars), logs)[:, -1]
+            columns = [batch.column("word"), _packed_answers(score, counts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "answer"])
 
     return lambda batches: released(run(batches))
 
@@ -316,7 +364,7 @@ def _scored_words(lattice, weights, mix: tuple[float, ...], tokens: np.ndarray,
 _SCORES = "doc_id bigint, held_out boolean, n_words bigint, n_known bigint, count_logs double, score double"
 
 
-def _document_scores(priors: np.ndarray, ends: np.ndarray):
+def _document_scores(mix: tuple[float, ...], tokens: np.ndarray, priors: np.ndarray, ends: np.ndarray):
     """Per document of a block its tokens and sums."""
     classes = len(priors)
     with np.errstate(divide="ignore"):
@@ -324,27 +372,35 @@ def _document_scores(priors: np.ndarray, ends: np.ndarray):
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         names = [field.split()[0] for field in _SCORES.split(", ")]
-        place = answers.column("place").to_numpy()
-        counts = np.zeros(len(place), np.int64)
-        counts[place] = answers.column("count").to_numpy()
-        logs = np.zeros((len(place), classes))
-        for k in range(classes):
-            logs[place, k] = answers.column(f"l{k}").to_numpy()
+        place = answers.column("at").to_numpy() & ((1 << _PLACE_BITS) - 1)
+        pieces, number = np.zeros(len(place)), np.zeros(len(place), np.int64)
+        score, row, kind, count = _unpacked_answers(answers.column("answer"))
+        pieces[place] = score
+        at = place[row]
+        np.add.at(number, at, count)
+        whole = number / max(1, int(tokens.sum()))
+
+        def logs(k: int) -> np.ndarray:
+            own = np.zeros(len(place), np.int64)
+            own[at[kind == k]] = count[kind == k]
+            return word_logs(pieces, own, whole, mix, int(tokens[k]), ends[k])
+
         out = []
-        for row in blocks.select(["ids", "held", "which", "lengths"]).to_pylist():
-            which, lengths = _unpacked(row["which"], np.uint32), _unpacked(row["lengths"], np.int64)
+        for part in blocks.select(["ids", "held", "which", "lengths"]).to_pylist():
+            which, lengths = _unpacked(part["which"], np.uint32), _unpacked(part["lengths"], np.int64)
             text = np.repeat(np.arange(len(lengths)), lengths)
 
             def sums(values, text=text, which=which, lengths=lengths):
                 return np.bincount(text, weights=values[which], minlength=len(lengths)).astype(float)
 
-            by_class = np.stack([sums(logs[:, k]) + end_logs[k] for k in range(classes)])
+            # One class at a time, since a block may have very many words.
+            by_class = np.stack([sums(logs(k)) + end_logs[k] for k in range(classes)])
             best = by_class.max(axis=0)
             score = (best + np.log(np.exp(by_class - best).sum(axis=0))) / math.log(10)
-            raw = _unpacked(row["ids"], np.int64)
-            known = sums((counts > 0).astype(np.float64)).round().astype(np.int64)
-            columns = [pa.array(raw, mask=raw == -(2**63)), _unpacked(row["held"], bool), lengths, known]
-            columns += [sums(np.log10(counts + 0.5)), score]
+            raw = _unpacked(part["ids"], np.int64)
+            known = sums((number > 0).astype(np.float64)).round().astype(np.int64)
+            columns = [pa.array(raw, mask=raw == -(2**63)), _unpacked(part["held"], bool), lengths, known]
+            columns += [sums(np.log10(number + 0.5)), score]
             out.append(pa.table(dict(zip(names, [pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], strict=True))))
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.concat_tables(out) if out else pa.schema(zip(names, kinds, strict=True)).empty_table()
@@ -400,11 +456,13 @@ def likelihoods(
     lattice = spark.sparkContext.broadcast(Lattice(pieces))
     logs = np.asarray(start, np.float64)
     learned = int(tokens.sum()) > 0
+    many = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(WORDS_AT_ONCE)}
     mix = (0.5, 0.2, 0.3) if learned else (0.0, 0.0, 1.0)
     for _ in range(rounds if learned else 0):
         sent = spark.sparkContext.broadcast(logs)
         found = words.filter(seen).mapInArrow(_expectation(lattice, sent, mix, tokens), "piece bigint, uses double")
-        uses = {r.piece: r.uses for r in found.groupBy("piece").agg(F.sum("uses").alias("uses")).collect()}
+        with scoped_conf(spark, many):
+            uses = {r.piece: r.uses for r in found.groupBy("piece").agg(F.sum("uses").alias("uses")).collect()}
         by_kind = np.maximum([uses.pop(k, 0.0) for k in (-3, -2, -1)], 1e-6)
         mix = tuple((by_kind / by_kind.sum()).tolist())
         total = np.full(len(logs), _PRIOR)
@@ -414,15 +472,16 @@ def likelihoods(
     # Without training documents every class is alike, and an end as likely as not.
     priors = ends / all_ends if all_ends else np.full(classes, 1 / classes)
     at_end = ends / np.maximum(tokens + ends, 1) if all_ends else np.full(classes, 0.5)
-    shape = "word string, count bigint, " + ", ".join(f"l{k} float" for k in range(classes))
-    answers = materialise(words.mapInArrow(_scored_words(lattice, sent, mix, tokens, at_end), shape), "lm-scores")
-    held = blocks.select("block", "words").mapInArrow(_entries(None), "word string, block bigint, place int")
-    told = held.join(answers, "word").drop("word").withColumnRenamed("block", "of_block")
+    with scoped_conf(spark, many):
+        found = words.mapInArrow(_scored_words(lattice, sent, classes), "word string, answer binary")
+        answers = materialise(found, "lm-scores")
+    held = blocks.select("block", "words").mapInArrow(_entries(None), "word string, at bigint")
+    told = held.join(answers, "word").select(F.shiftright("at", _PLACE_BITS).alias("of_block"), "at", "answer")
     texts = blocks.select("block", "ids", "held", "which", "lengths")
     scored = (
         texts.groupBy("block")
         .cogroup(told.groupBy("of_block"))
-        .applyInArrow(_document_scores(priors, at_end), _SCORES)
+        .applyInArrow(_document_scores(mix, tokens, priors, at_end), _SCORES)
     )
     below = math.log10(train_tokens + 0.5 * (kinds + 1))
     return scored.select(

@@ -18,7 +18,7 @@ from cellflux.llm.words import NOT_BLANK, PART, hashed
 SEQUENCE = 2048
 END = 1  # the id after each document
 WINDOW_SEQUENCES = 32  # sequences in which the sources meet their shares
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 MAX_BUCKETS = 10_000
 _KNOWN_WORDS = 600_000
 _SEPARATOR = "<|endoftext|>"

@@ -225,13 +225,18 @@ def _fitted(spark, rows, monkeypatch, **settings):
     import public_tokenizers
 
     known = {}
-    real = lattice._scored_words
+    words, documents = lattice._scored_words, lattice._document_scores
 
-    def spy(trie, weights, mix, tokens, ends):
-        known.update(trie=trie.value, logs=weights.value, mix=mix, tokens=tokens, ends=ends)
-        return real(trie, weights, mix, tokens, ends)
+    def spy_words(trie, weights, classes):
+        known.update(trie=trie.value, logs=weights.value)
+        return words(trie, weights, classes)
 
-    monkeypatch.setattr(lattice, "_scored_words", spy)
+    def spy_documents(mix, tokens, priors, ends):
+        known.update(mix=mix, tokens=tokens, ends=ends)
+        return documents(mix, tokens, priors, ends)
+
+    monkeypatch.setattr(lattice, "_scored_words", spy_words)
+    monkeypatch.setattr(lattice, "_document_scores", spy_documents)
     vocabulary = lattice.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     return lattice.likelihoods(df, *vocabulary, **settings).collect(), known
@@ -298,6 +303,11 @@ def test_probabilities_of_all_texts_sum_to_one(spark, monkeypatch):
         assert end / (1 - words) == pytest.approx(1, abs=1e-9)
 
 
+def test_likelihood_of_texts_without_words(spark, monkeypatch):
+    got, _ = _fitted(spark, [(i, t, "en") for i, t in enumerate([None, "", " \n"] * 4)], monkeypatch, block_bytes=1)
+    assert len(got) == 12 and all(r.n_tokens == 1 and r.score == pytest.approx(0, abs=1e-9) for r in got)
+
+
 def test_likelihood_without_training_rows(spark, monkeypatch):
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
     got, model = _fitted(spark, [(i, "some words", "en") for i in held], monkeypatch)
