@@ -158,13 +158,13 @@ def numbered_lines(lines: DataFrame) -> DataFrame:
     ranges.write.parquet(blocks_path)
     blocks = spark.read.parquet(blocks_path)
     sums = blocks.groupBy("range").agg(F.sum("lines").alias("lines")).collect()
-    before, ahead = 0, []
-    for row in sorted(sums, key=lambda r: r["range"]):
-        ahead.append((row["range"], before))
-        before += row.lines
-    starts = spark.createDataFrame(ahead, "range int, before long")
+    own = {row["range"]: row.lines for row in sums}
+    before = [0]
+    for number in range(max(own, default=0)):
+        before.append(before[-1] + own.get(number, 0))
+    ahead = F.get(F.array(*[F.lit(lines) for lines in before]), F.col("range")).cast("long")
     within = F.sum("lines").over(Window.partitionBy("range").orderBy("path", "block")) - F.col("lines")
-    starts = blocks.withColumn("within", within).join(F.broadcast(starts), "range")
+    starts = blocks.withColumns({"within": within, "before": ahead})
     offset = (F.col("before") + F.col("within") - F.col("first")).alias("offset")
     starts = starts.select(F.col("path").alias("_path"), F.col("block").alias("_block"), offset)
     numbered = placed.join(starts, (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block")))
