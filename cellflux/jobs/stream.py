@@ -105,7 +105,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         time_limit_seconds=args.time_limit,
     )
     run = run_shared if args.shared else run_stream
-    outcome = run(lines, args.output, args.checkpoints, settings, stream, drain=args.drain)
+    last = {"drain": True} if args.drain else {}
+    outcome = run(lines, args.output, args.checkpoints, settings, stream, **last)
     if outcome == "stopped":
         sys.exit("a query was stopped that should have run on")
 
