@@ -20,7 +20,7 @@ END = 1  # the id after each document
 WINDOW_SEQUENCES = 32  # sequences in which the sources meet their shares
 ROWS_PER_BUCKET = 2_000
 MAX_BUCKETS = 10_000
-_KNOWN_WORDS = 600_000
+_KNOWN_WORDS = 250_000
 _SEPARATOR = "<|endoftext|>"
 _GROUP = PART  # bytes of text whose words are looked up together
 _WHOLE = 1 << 23  # bytes; a longer text is not worth a table of its words

@@ -50,7 +50,7 @@ _WIDTH = 32  # longer units are read in overlapping parts of this width
 _STRIDE = _WIDTH - _SPAN + 1
 _PAIRS = [(a, b) for b in range(2, _SPAN) for a in range(1, b)]
 _WEIGHTS = np.array([_DECAY ** (b - 2) for b in range(2, _SPAN)], dtype=np.float32)
-_CACHE = 250_000
+_CACHE = 120_000
 _FLOOR = -2.0  # the score of nothing
 _HIGH = -0.3  # units above this count towards a document's sum
 
