@@ -392,4 +392,5 @@ def packed(
     in one sequence of the whole table. A missing or empty text is its end id alone; rows with equal
     doc_id are packed each; an empty table gives no pieces.
     """
-    return placed_ids(documents, tokenizer, targets, window_tokens).mapInArrow(_cut(sequence), PIECES)
+    cut = _cut(sequence)
+    return placed_ids(documents, tokenizer, targets, window_tokens).mapInArrow(lambda batches: released(cut(batches)), PIECES)

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from cellflux.llm import graphs, jaccard, lattice, mixing, packing, pages, toxicity
+from cellflux.llm import common, graphs, jaccard, lattice, mixing, packing, pages, toxicity
 from cellflux.llm.components import connected
 from cellflux.llm.queries import QUERIES
 from cellflux.llm.words import word_hashes
@@ -517,6 +517,53 @@ def test_a_list_of_very_many_separate_documents(spark):
         assert jaccard.similar(*pair, 80)
 
 
+def test_compared_blocks_are_written_before_the_next_python_step(spark):
+    """A task that joins two steps in Python holds two workers, which stay with the executor."""
+    rows = [(i, f"a b c d e f g h i j k l m n o p q r s t u v w x y z {i}") for i in range(6)]
+    pools = spark.createDataFrame([("p", 0, i, i, 23) for i in range(6)], "pool string, side int, doc_id long, component long, n long")
+    got = jaccard._compared(spark.createDataFrame(rows, "doc_id long, text string"), pools, 5, 80)
+    assert "InArrow" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.component for r in connected(got).collect()} == {0}
+
+
+def test_counting_shingles_copies_little():
+    """What a task has counted is not copied several times over when more texts come."""
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 50_000, 4000)) for _ in range(500)]
+    for i in (0, 1, 2, 3, 150, 450):
+        texts[i] = f"a b c d e {texts[i]}"
+    texts[7] = texts[300]  # a copy counts once
+    batches = pa.Table.from_pydict({"doc_id": pa.array(range(500), pa.int64()), "text": texts}).to_batches(100)
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        last = list(jaccard._facts(5)(iter(batches)))[-1]
+        peak = (tracemalloc.get_traced_memory()[1] - before) / 1e6
+    finally:
+        tracemalloc.stop()
+    assert peak < 120, peak  # MB, for up to two million shingles of 8 bytes and as many counts; 150 with copies
+    assert last.column("n").to_pylist() == [6]  # the only shingle of four texts or more
+
+
+def test_python_workers_give_back_what_they_do_not_use(monkeypatch):
+    """Words of another operator go when shingles are worked on, and Arrow's own pool is emptied."""
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append(len(common._WORKER))
+
+    monkeypatch.setattr(common, "_WORKER", {})
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    common.worker_cache("toxicity:1")["word"] = 1.0
+    assert not calls
+    assert list(jaccard._trimmed(iter)([1, 2])) == [1, 2]
+    assert calls == [0, 1]  # when the words went, and after the batches
+    assert "toxicity:1" not in common._WORKER
+
+
 class _Sent:
     """A broadcast value without a session."""
 
