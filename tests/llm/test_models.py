@@ -482,6 +482,58 @@ def test_groups_of_documents_that_are_near_and_not_linked(spark, monkeypatch, lo
     assert len(set(component.values())) > 1
 
 
+@pytest.mark.parametrize("ids", [1_000_000, 40])
+def test_groups_of_components_that_are_compared_in_blocks(spark, monkeypatch, ids):
+    """A large component among separate documents near it and each other, and small families, in blocks and in turns."""
+    for name, value in {"FREQUENT_LEAST": 4, "BLOCK": 16, "SMALL": 0, "EACH": 0, "BROADCAST_IDS": ids}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    draw = np.random.default_rng(5)
+    rows = []
+    for family, (docs, least) in enumerate([(90, 0), (12, 0), (12, 0), (5, 1), (2, 0), (2, 2)]):
+        base = [f"f{family}b{i}" for i in range(100)]
+        for i in range(docs):
+            text = list(base)
+            for at in draw.choice(100, int(draw.integers(least, 4)), replace=False).tolist():
+                text[at] = f"own{family}x{i}x{at}"
+            rows.append((len(rows) * 7 % 123, " ".join(text)))
+    component = assert_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert len(set(component.values())) > 6
+
+
+def test_pairs_are_dealt_into_few_groups(spark):
+    """A component of 300 documents near 200 others, and 150 that are all near each other, are not one group a pair; none is lost."""
+    nodes = {0: list(range(300))} | {i: [i] for i in range(300, 650)}
+    pairs = [(0, i) for i in range(300, 500)] + [(i, j) for i in range(500, 650) for j in range(i + 1, 650)] + [(310, 640)]
+    members = spark.createDataFrame([(k, doc, 60) for k, own in nodes.items() for doc in own], "node long, doc_id long, n long")
+    heads = spark.createDataFrame([(k, 0 if k < 500 else 500) for k in nodes], "node long, head long")
+    placed, single = jaccard._dealt(spark.createDataFrame(pairs, "a long, b long"), heads, members, 30, 2)
+    rows = placed.collect()
+    assert len(rows) < 4000  # 60 200 and 22 350 documents, group by group
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.x, r.y), []).append(r)
+    got = {tuple(r) for r in single.collect()}
+    for (x, y), own in groups.items():
+        for r in own:
+            got |= {(r.doc_id, s.doc_id) for s in own if r.doc_id < s.doc_id and {r.block, s.block} == {x, y}}
+    assert got >= {(a, b) for i, j in pairs for a in nodes[i] for b in nodes[j]}
+
+
+def test_near_copies_under_many_keys_are_not_written_pair_by_pair():
+    """Twelve near copies have nearly all of their keys in common."""
+    n = 500
+    keys = np.repeat(np.arange(100), 12)
+    columns = [keys, np.zeros(1200), np.tile(np.arange(12), 100), np.full(1200, n), keys, n - keys]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    table = pa.Table.from_arrays(
+        [pa.array(c, pa.int64()).cast(k) for c, k in zip([np.asarray(c, np.int64) for c in columns], kinds, strict=True)],
+        names=["key", "salt", "doc_id", "n", "before", "rest"],
+    )
+    met = pa.Table.from_batches(jaccard._meetings(80)(iter(table.to_batches(max_chunksize=50))))
+    assert met.num_rows == 100  # not 66 pairs for each key
+    assert set(map(tuple, met["docs"].to_pylist())) == {tuple(range(12))}
+
+
 def test_links_within_against_brute_force():
     draw = np.random.default_rng(4)
     for dense in (0, 2, 64):
